@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from nomograph.llm.common import pick, small_batches, table
 
 #: Kept transitions and kept pieces in a worker; a full table starts anew, which changes no result.
-MOST_STATES = 200_000
-MOST_PIECES = 400_000
+MOST_STATES = 700_000
+MOST_PIECES = 500_000
 #: Pieces longer than this aren't kept.
 LONG_PIECE = 64
 
