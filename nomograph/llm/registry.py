@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nomograph.llm import bpe, cover_tree, langid, minhash, mixing, pii, rules, secrets
+from nomograph.llm import bpe, cover_tree, html_extract, langid, minhash, mixing, pii, rules, secrets, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_cover_tree": cover_tree.op2_cover_tree,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_mixing": mixing.op4_mixing,
+    "op5_weak_quality": weak_quality.op5_weak_quality,
     "op6_minhash": minhash.op6_minhash,
+    "op7_page_text": html_extract.op7_page_text,
     "op8_language": langid.op8_language,
     "op9_quality_rules": rules.op9_quality_rules,
     "op10_secret_scan": secrets.op10_secret_scan,
