@@ -61,7 +61,7 @@ def part_urls(index: Column) -> Column:
 
 def assemble(parts: DataFrame, root: str = "documents") -> DataFrame:
     """parts: doc, seq, body (null: not available). One document of the parts in order, without their prologs, under one root; null unless every part is there."""
-    clean = F.trim(F.regexp_replace("body", r"^\s*<\?xml[^>]*\?>|<!DOCTYPE[^>]*>", ""))
+    clean = F.trim(F.regexp_replace("body", r"^\s*<\?xml[^>]*\?>\s*|<!DOCTYPE[^>]*>\s*", ""))
     whole = parts.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("seq", clean.alias("body")))).alias("p"), F.bool_and(F.col("body").isNotNull()).alias("complete"), F.count("*").alias("n_parts"))
     text = F.array_join(F.transform("p", lambda x: x["body"]), "\n")
     return whole.select("doc", "n_parts", F.when(F.col("complete"), F.concat(F.lit(f"<{root}>\n"), text, F.lit(f"\n</{root}>"))).alias("body"))
