@@ -119,7 +119,7 @@ def _joined(spans: Column) -> Column:
 def digest(found: DataFrame) -> DataFrame:
     spans = F.col("spans")
     base = F.filter(spans, lambda x: x["rank"] < len(BASE))
-    counts = [F.size(F.filter(spans, lambda x, i=i: x["rank"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(BASE)]
+    counts = [F.size(F.filter(spans, lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]  # noqa: B023  filter calls it at once
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"))
 
 
@@ -128,7 +128,8 @@ def redact(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     and columns stay. Blobs with findings are broadcast while they are few, else joined by shuffle."""
     found = cut(findings_of(docs, ledger).where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"]))
     found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
-    text, zero = F.col("text"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    row = F.col("_row")  # a document's own columns, whatever their names
+    text, zero = row["text"], F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def add(acc: Column, x: Column) -> Column:
         put = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit("<"), x["kind"], F.lit(">"))
@@ -136,8 +137,8 @@ def redact(docs: DataFrame, ledger: str | None = None) -> DataFrame:
 
     rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
     new = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", zero, add, rest))
-    own = [new.alias("text") if c == "text" else docs[f"`{c}`"] for c in docs.columns]
-    return docs.join(found, blob_of(text) == F.col("_blob"), "left").select(*own)
+    own = [(new if c == "text" else row[c]).alias(c) for c in docs.columns]
+    return docs.select(F.struct("*").alias("_row")).join(found, blob_of(text) == F.col("_blob"), "left").select(*own)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
