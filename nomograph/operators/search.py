@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomograph.functions import dims, text
+from nomograph.plans.config import logged
 from nomograph.plans.errors import RequestError
 from nomograph.plans.paging import Page, fetch, page
 from nomograph.plans.requests import CEILING, CaseRequest, SearchRequest
@@ -112,9 +113,11 @@ def search_cases(corpus: Corpus, request: CaseRequest) -> DataFrame:
 
 
 def _eager(found: DataFrame, request: SearchRequest | CaseRequest) -> Page:
-    result = fetch(newest_first(found), request.offset, request.limit, CEILING, request.echo())
-    if not result.rows:
-        raise RequestError("no_results", f"Nothing matches {request.echo()}.")
+    with logged("search", **request.echo()) as line:
+        result = fetch(newest_first(found), request.offset, request.limit, CEILING, request.echo())
+        line["rows"] = result.total
+        if not result.rows:
+            raise RequestError("no_results", f"Nothing matches {request.echo()}.")
     return result
 
 

@@ -372,6 +372,34 @@ def _(c: Corpus) -> DataFrame:
     return content.assemble(parts).select("doc", "n_parts", F.md5(F.col("body").cast("binary")).alias("body_md5"))
 
 
+@query(
+    "multipart_urls",
+    with_tables("parts")
+    + """, u AS (SELECT doc, seq, '/resource/' || CAST(doc AS VARCHAR) || '/' || CASE WHEN seq % 4 = 3 THEN 'x' || CAST(seq AS VARCHAR) ELSE 'DOC_' || CAST(seq AS VARCHAR) || '?a=1&b=2' END AS url, CASE WHEN seq % 4 = 3 THEN NULL ELSE seq END AS n FROM (SELECT DISTINCT doc, seq FROM parts))
+SELECT doc, string_agg(url, ' ' ORDER BY n NULLS LAST, seq DESC) AS urls FROM u GROUP BY doc""",
+)
+def _(c: Corpus) -> DataFrame:
+    """Indexes that list their parts backwards, each twice."""
+    name = F.when(F.col("seq") % 4 == 3, F.concat(F.lit("x"), F.col("seq").cast("string"))).otherwise(F.concat(F.lit("DOC_"), F.col("seq").cast("string"), F.lit("?a=1&amp;b=2")))
+    link = F.concat(F.lit('<li><a href="/resource/'), F.col("doc").cast("string"), F.lit("/"), name, F.lit('">part</a></li>'))
+    ordered = F.sort_array(F.collect_set(F.struct("seq", link.alias("a"))), asc=False)
+    index = F.array_join(F.concat(F.transform(ordered, lambda x: x["a"]), F.transform(ordered, lambda x: x["a"])), "\n")
+    return c["parts"].groupBy("doc").agg(index.alias("index")).select("doc", F.array_join(content.part_urls(F.col("index")), " ").alias("urls"))
+
+
+@query(
+    "visible_text",
+    r"""SELECT page_id, md5(trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '&nbsp;', ' ', 'gi'), '&amp;', '&', 'gi'), '&lt;', '<'), '&gt;', '>'), '\s+', ' ', 'g'))) AS text_md5 FROM pages""",
+)
+def _(c: Corpus) -> DataFrame:
+    return c["pages"].select("page_id", F.md5(text.visible(F.col("html")).cast("binary")).alias("text_md5"))
+
+
+@query("json_fields", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def _(c: Corpus) -> DataFrame:
+    return c["events"].select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
 # --- structure ---
 
 _VISIBLE = r"trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(line, '<[^>]*>', ' ', 'g'), '&nbsp;', ' ', 'gi'), '&amp;', '&', 'gi'), '&lt;', '<'), '&gt;', '>'), '\s+', ' ', 'g'))"
