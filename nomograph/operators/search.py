@@ -45,15 +45,16 @@ def in_dates(date: Column, first: str | None, last: str | None) -> list[Column]:
 def collapse(works: DataFrame, types: DataFrame, titles: DataFrame, offset: int, limit: int) -> DataFrame:
     """A page of CELEX numbers with their types, date, title and work.
 
-    The page is found on (celex, date) alone; types and titles are joined for its works only. The page's keys number
-    limit at most, so they are broadcast. A CELEX may stand for several works: the work with a title is preferred,
-    and titles and works are each the greatest of theirs."""
+    The page is found on (celex, date) alone, and its keys, limit at most, are broadcast. Types and titles are joined for
+    its works by inner joins, whose large side a runtime filter on the page's works prunes before any shuffle; what has
+    neither comes back by the page's keys. A CELEX may stand for several works: the work with a title is preferred, and
+    titles and works are each the greatest of theirs."""
     keys = page(works.groupBy("celex").agg(F.min("doc_date").alias("date")), [F.col("date").desc_nulls_last(), F.col("celex")], offset, min(limit, CEILING))
-    ours = works.select("work_uri", "celex").join(F.broadcast(keys), "celex")
-    by_work = titles.groupBy("work_uri").agg(F.max("title").alias("title"))
-    with_titles = ours.join(by_work, "work_uri", "left").groupBy("celex", "date").agg(F.min("work_uri").alias("any_work"), F.max(F.when(F.col("title").isNotNull(), F.col("work_uri"))).alias("titled_work"), F.max("title").alias("title"))
-    of_types = ours.join(types, "work_uri").groupBy("celex").agg(F.collect_set("type_uri").alias("types"))
-    rows = with_titles.join(of_types, "celex", "left")
+    ours = works.select("work_uri", "celex").join(F.broadcast(keys.select("celex")), "celex", "left_semi")
+    any_work = ours.groupBy("celex").agg(F.min("work_uri").alias("any_work"))
+    titled = titles.where(F.col("title").isNotNull()).join(ours, "work_uri").groupBy("celex").agg(F.max("work_uri").alias("titled_work"), F.max("title").alias("title"))
+    of_types = types.join(ours, "work_uri").groupBy("celex").agg(F.collect_set("type_uri").alias("types"))
+    rows = keys.join(any_work, "celex", "left").join(titled, "celex", "left").join(of_types, "celex", "left")
     return rows.select(
         F.coalesce("titled_work", "any_work", F.lit("")).alias("work_uri"),
         F.col("celex").alias("celex_number"),
