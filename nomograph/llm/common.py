@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
-import zipfile
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from nomograph.session import ship
+
 #: The bytes 0x09-0x0D and 0x20 separate words. bytes.split() without arguments splits on exactly these.
 SPACE = " \t\n\x0b\x0c\r"
 #: Rows in an Arrow batch. Texts can be long, so a batch holds far fewer rows than Spark's default.
 BATCH_ROWS = 1000
-SHIPPED = "nomograph_package.zip"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,23 +37,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Before Python runs on executors: gives them this package, and bounds a worker's memory by fewer rows of long text in each Arrow batch."""
-    _ship(spark)
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def _ship(spark: SparkSession) -> None:
-    """Adds the package to the application's Python files, once: executors need no copy of the repository."""
-    sc = spark.sparkContext
-    if any(Path(f).name == SHIPPED for f in sc._python_includes):
-        return
-    top, to = Path(__file__).resolve().parents[1], Path(os.path.realpath(tempfile.mkdtemp(prefix="nomograph-"))) / SHIPPED
-    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(top.rglob("*.py")):
-            z.write(f, f.relative_to(top.parent))
-    sc.addPyFile(str(to))
-
-
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The column's strings as UTF-8 bytes, without decoding them."""
     return column.cast(pa.binary()).to_pylist()

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nomograph.llm.common import cut, pick, table
@@ -34,14 +34,13 @@ RANGE_ROWS = 20_000
 BROADCAST_SOURCES = 50_000
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    """The columns that mixing works on: source, whether it is null, and the random key."""
-    return docs.select(
-        "*",
-        F.coalesce(F.col("source"), F.lit("")).alias("_src"),
-        F.col("source").isNull().alias("_none"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_key"),
-    )
+def _source(source: Column, doc_id: Column) -> list[Column]:
+    """What mixing works on: the source, whether it is null, and the random key."""
+    return [F.coalesce(source, F.lit("")).alias("_src"), source.isNull().alias("_none"), F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))).alias("_key")]
+
+
+def _size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def targets(sums: DataFrame) -> DataFrame:
@@ -101,7 +100,8 @@ def few(sources: DataFrame) -> DataFrame:
 
 def words_taken(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken (words the mix takes, repeats counted) of every row."""
-    sized = cut(_named(pick(docs, "doc_id", "source", "text")).select("doc_id", "_src", "_none", "_key", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    rows = pick(docs, "doc_id", "source", "text")
+    sized = cut(rows.select("doc_id", *_source(F.col("source"), F.col("doc_id")), _size(F.col("text")).alias("size")))
     part = F.when(F.col("_key") < F.col("cut_key"), F.col("size")).when(F.col("_key") == F.col("cut_key"), F.expr("size * cut_part div cut_whole")).otherwise(F.lit(0))
     return sized.join(few(cuts(sized)), ["_src", "_none"]).select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"))
 
@@ -110,12 +110,13 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus with docs' columns: whole documents, each once per epoch that takes it. The document at
     a source's cut is in if at least half of it is within the budget, so a source misses its target by
     less than a document."""
-    named = _named(docs)
-    sized = cut(named.select("_src", "_none", "_key", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    sized = cut(pick(docs, "doc_id", "source", "text").select(*_source(F.col("source"), F.col("doc_id")), _size(F.col("text")).alias("size")))
     last = F.coalesce((F.col("_key") < F.col("cut_key")) | ((F.col("_key") == F.col("cut_key")) & (2 * F.col("cut_part") >= F.col("cut_whole"))), F.lit(False))
     copies = F.col("epochs") + last.cast("long")
-    joined = named.join(few(cuts(sized)), ["_src", "_none"]).where(copies > 0)
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*docs.columns)
+    row = F.col("_row")  # a document's own columns, whatever their names
+    rows = docs.select(F.struct("*").alias("_row")).select("_row", *_source(row["source"], row["doc_id"]))
+    joined = rows.join(few(cuts(sized)), ["_src", "_none"]).where(copies > 0)
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*[row[c].alias(c) for c in docs.columns])
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,7 +100,7 @@ class LabelModel:
     """Accuracies by expectation-maximisation: for each labeller, the probability of each vote on good and on bad texts."""
 
     def fit(self, counts: dict[int, int], rounds: int = 200) -> LabelModel:
-        votes = np.array([votes_of(c) for c in counts]).reshape(len(counts), len(LABELLERS)) + 1
+        votes = np.array([votes_of(c) for c in counts], np.int64).reshape(len(counts), len(LABELLERS)) + 1
         n = np.array(list(counts.values()), float)
         self.prior = 0.8
         self.table = np.empty((2, len(LABELLERS), 3))  # bad and good texts, labeller, vote
@@ -123,7 +123,7 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(bad + np.log(1 - self.prior) - good - np.log(self.prior), -60, 60)))
 
     def posterior(self, codes: list[int]) -> np.ndarray:
-        return self._posterior(np.array([votes_of(c) for c in codes]).reshape(len(codes), len(LABELLERS)) + 1)
+        return self._posterior(np.array([votes_of(c) for c in codes], np.int64).reshape(len(codes), len(LABELLERS)) + 1)
 
 
 def hashed(t: Votes) -> tuple[np.ndarray, np.ndarray]:
