@@ -131,7 +131,7 @@ def decoded(text: Column) -> Column:
     named = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "(?i)&nbsp;", " "), "(?i)&amp;", "&"), "(?i)&lt;", "<"), "(?i)&gt;", ">")
     codes = F.regexp_extract_all(named, F.lit(r"&#(\d{1,7});"), F.lit(1))
     pieces = F.split(named, r"&#\d{1,7};", -1)
-    char = lambda c: F.decode(F.unhex(F.lpad(F.hex(c.cast("int")), 8, "0")), "UTF-32BE")
+    char = lambda c: F.decode(F.unhex(F.lpad(F.hex(c.cast("int")), 8, "0")), "UTF-32")
     both = F.zip_with(pieces, codes, lambda p, c: F.concat(p, F.when(c.isNull(), "").otherwise(char(c))))
     return F.when(F.size(codes) == 0, named).otherwise(F.array_join(both, ""))
 
