@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +44,23 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+Table = TypeVar("Table")
+_kept: dict[str, object] = {}
+
+
+def worker_table(name: str, make: Callable[[], Table]) -> Table:
+    """A table that a worker process keeps between tasks. It keeps one, so that operators in turn don't add up."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]  # type: ignore[return-value]
+
+
+def no_table() -> None:
+    """For operators without a table: lets go of another's."""
+    _kept.clear()
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The column's strings as UTF-8 bytes, without decoding them."""
     return column.cast(pa.binary()).to_pylist()

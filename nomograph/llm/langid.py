@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import pick, small_batches, table
+from nomograph.llm.common import pick, small_batches, table, worker_table
 
 SIZE = 1024
 PER_LANGUAGE = 5000
@@ -89,14 +89,9 @@ class Space:
         return counts.astype(np.float32) @ self.matrix(codes).astype(np.float32)
 
 
-_space: list[Space] = []
-
-
 def space() -> Space:
     """One space for each worker process."""
-    if not _space:
-        _space.append(Space())
-    return _space[0]
+    return worker_table("trigrams", Space)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -9,8 +9,10 @@ confirmed on the full sets.
 
 Documents with equal sets form a class, and one stands for it. In a band's group, members are compared with
 two hubs, its most connected member and one drawn by hash, and all with all only in groups of a few. Confirmed links give
-components. What remains are pairs of one group whose members lie in different components: further hubs join
-them, and the last ones are compared one by one, so no candidate is dropped.
+components. What remains are groups whose members lie in different components. Their documents meet in blocks, each
+document once whatever the number of bands it shares, and a task compares two blocks: only documents of different
+components, sketches first, and full sets where the sketches are alike; a link found joins two components at once, so a
+task returns a link for each join and not the pairs. No candidate is dropped.
 
 Defined cases: null and blank texts have an empty set, 0 shingles and no links; texts of fewer than five words have
 one shingle; repeated rows and exact copies link; an empty table gives an empty result; texts of any
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import checkpoint_dir, cut, pick, small_batches, table, utf8
+from nomograph.llm.common import checkpoint_dir, cut, no_table, pick, small_batches, table, utf8
 from nomograph.llm.components import connected
 
 WORDS = 5
@@ -42,8 +44,8 @@ MARGIN = 5 * (0.75 * 0.25 / REGISTERS) ** 0.5
 CHANCE = 2.0**-MANTISSA / 3
 #: Groups up to this size are compared all with all at once.
 FEW = 5
-#: Rounds of new hubs while over this many pairs a member remain to compare.
-ROUNDS, PAIRS_EACH = 8, 4
+#: Documents in a block of those that remain to compare.
+BLOCK = 2048
 #: Tables of ids are broadcast up to this many rows of a few bytes.
 BROADCAST_IDS = 200_000
 
@@ -104,6 +106,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         for batch in batches:
             sizes, digests, registers, bands = [], [], [], []
             for text in utf8(batch.column(1)):
@@ -126,6 +129,7 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         for batch in batches:
             sets = [shingles(x).view(np.int64) for x in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
@@ -140,37 +144,81 @@ def estimate(x: Column, y: Column) -> Column:
     return (equal / F.lit(float(REGISTERS)) - F.lit(CHANCE)) / F.lit(1 - CHANCE)
 
 
-class _Links:
-    """Confirms candidate pairs and keeps what has been compared."""
-
-    def __init__(self, docs: DataFrame, reps: DataFrame):
-        self.docs, self.regs = docs, reps.select("doc_id", "registers")
-        self.links: DataFrame | None = None
-        self.tried: DataFrame | None = None
-
-    def confirm(self, pairs: DataFrame) -> None:
-        """pairs: a < b, distinct."""
-        if self.tried is not None:
-            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
-        regs = self.regs
-        likely = cut(
-            pairs.join(regs.select(F.col("doc_id").alias("a"), F.col("registers").alias("x")), "a")
-            .join(regs.select(F.col("doc_id").alias("b"), F.col("registers").alias("y")), "b")
-            .where(estimate(F.col("x"), F.col("y")) >= PERCENT / 100 - MARGIN)
-            .select("a", "b")
-        )
-        ids = cut(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-        sets = cut(sets_of(self.docs, ids))
-        both = F.size(F.array_intersect("x", "y"))
-        found = cut(
-            likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-            .where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both))
-            .select("a", "b")
-        )
-        self.links = found if self.links is None else self.links.unionByName(found)
+def confirmed(docs: DataFrame, registers: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The links among pairs (a < b, distinct): those that the sketches let pass and the full sets confirm."""
+    pairs = cut(pairs)
+    likely = cut(
+        pairs.join(registers.select(F.col("doc_id").alias("a"), F.col("registers").alias("x")), "a")
+        .join(registers.select(F.col("doc_id").alias("b"), F.col("registers").alias("y")), "b")
+        .where(estimate(F.col("x"), F.col("y")) >= PERCENT / 100 - MARGIN)
+        .select("a", "b")
+    )
+    sets = cut(sets_of(docs, cut(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())))
+    both = F.size(F.array_intersect("x", "y"))
+    return cut(
+        likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+        .where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both))
+        .select("a", "b")
+    )
+
+
+def _rows(column: pa.ChunkedArray, kind: np.dtype) -> list[np.ndarray]:
+    return [x.values.to_numpy().astype(kind, copy=False) for x in column]
+
+
+def _compare(block: pa.Table) -> pa.Table:
+    """Links between documents of two blocks, or of one, that lie in different components; one link joins two."""
+    first = block["side"].to_numpy() == 0
+    one = block["i"][0].as_py() == block["j"][0].as_py()
+    a = block.filter(pa.array(first))
+    b = a if one else block.filter(pa.array(~first))
+    out: list[tuple[int, int]] = []
+    if len(a) and len(b):
+        ids, part = [t["doc_id"].to_numpy() for t in (a, b)], [t["part"].to_numpy().copy() for t in (a, b)]
+        if one:
+            part[1] = part[0]
+        regs = [np.stack(_rows(t["registers"], np.int16)) for t in (a, b)]
+        sets = [[x.view(np.uint64) for x in _rows(t["shingles"], np.int64)] for t in (a, b)]  # sorted as they were hashed
+        need = REGISTERS * (CHANCE + (1 - CHANCE) * (PERCENT / 100 - MARGIN))
+        for i in range(len(a)):
+            far = np.flatnonzero(part[1][i + 1 if one else 0 :] != part[0][i]) + (i + 1 if one else 0)
+            equal = np.count_nonzero(regs[1][far] == regs[0][i], axis=1)
+            far, equal = far[equal >= need], equal[equal >= need]
+            for j in far[np.argsort(-equal, kind="stable")]:
+                x, y = sets[0][i], sets[1][j]
+                if part[0][i] == part[1][j] or 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
+                    continue
+                n = int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x))
+                if 100 * n >= PERCENT * (len(x) + len(y) - n):
+                    out.append((int(ids[0][i]), int(ids[1][j])))
+                    gone, stays = part[1][j], part[0][i]
+                    for p in part[: 1 if one else 2]:
+                        p[p == gone] = stays
+    return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
+
+
+def remaining(docs: DataFrame, registers: DataFrame, groups: DataFrame, parts: DataFrame) -> DataFrame | None:
+    """Links that join components among the members of one group; None if every group lies in one component."""
+    sides = groups.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component_id", "doc_id").alias("part"))
+    open_keys = sides.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min("doc_id").alias("least")).where(F.col("low") < F.col("high")).select("key", "least")
+    sides = cut(sides.join(open_keys, "key"))
+    if sides.isEmpty():
+        return None
+    # areas: members of a group belong together. An edge for each document, and one for each two of their ends that a group joins
+    ends = cut(sides.groupBy("doc_id").agg(F.min("least").alias("end")))
+    by_key = sides.select("key", "doc_id").join(ends, "doc_id").groupBy("key", "end").agg(F.count("*").alias("n"))
+    lowest = by_key.groupBy("key").agg(F.min("end").alias("low"))
+    edges = ends.select(F.col("doc_id").alias("a"), F.col("end").alias("b")).unionByName(by_key.join(lowest, "key").select(F.col("low").alias("a"), F.col("end").alias("b")).distinct())
+    where = cut(connected(edges)).select(F.col("id").alias("doc_id"), F.col("component_id").alias("area"))
+    members = sides.select("doc_id", "part").distinct().join(where, "doc_id")
+    sizes = members.groupBy("area").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    members = members.join(sizes, "area").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    sets = sets_of(docs, cut(members.select("doc_id")))
+    members = cut(members.join(registers, "doc_id").join(sets, "doc_id"))
+    each = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    each = each.select("doc_id", "part", "registers", "shingles", "area", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    return each.groupBy("area", "i", "j").applyInArrow(_compare, "a long, b long").select(*_pairs(F.col("a"), F.col("b")))
 
 
 def _pairs(one: Column, other: Column) -> list[Column]:
@@ -185,39 +233,24 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.join(reps, "digest", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
     standing = all_rows.join(reps, "digest").where((F.col("doc_id") == F.col("rep")) & F.col("bands").isNotNull()).select("doc_id", "registers", "bands").dropDuplicates(["doc_id"])
     standing = cut(standing)
-    work = _Links(docs, standing)
+    registers = standing.select("doc_id", "registers")
 
     banded = standing.select("doc_id", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     groups = cut(banded.join(shared, "key"))
     central = groups.groupBy("doc_id").agg(F.sum("n").alias("weight"))
     hubs = groups.join(central, "doc_id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("id"))).alias("c"), F.min(F.struct(F.xxhash64("doc_id", "key").alias("h"), F.col("doc_id").alias("id"))).alias("r"))
-    hubs = hubs.select("key", F.explode(F.array((-F.col("c.id")), F.col("r.id"))).alias("hub"))
+    hubs = hubs.select("key", F.explode(F.array_distinct(F.array(-F.col("c.id"), F.col("r.id")))).alias("hub"))
     stars = groups.join(hubs, "key").where(F.col("hub") != F.col("doc_id")).select(*_pairs(F.col("hub"), F.col("doc_id")))
     small = groups.where(F.col("n") <= FEW).select("key", "doc_id")
     small = small.join(small.select("key", F.col("doc_id").alias("other")), "key").where(F.col("doc_id") < F.col("other")).select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
-    work.confirm(stars.unionByName(small).distinct())
-
-    for turn in range(ROUNDS + 1):
-        parts = cut(connected(work.links))
-        # groups whose members are not yet in one component: a member's side of it is its component
-        sides = groups.where(F.col("n") > FEW).join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component_id", "doc_id").alias("side"))
-        open_keys = sides.groupBy("key", "side").agg(F.count("*").alias("m")).groupBy("key").agg(F.count("*").alias("k"), F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("q")).where(F.col("k") > 1)
-        sides = cut(sides.join(open_keys.select("key"), "key"))
-        members, pairs = sides.count(), open_keys.agg(F.sum(F.expr("(n * n - q) div 2"))).first()[0] or 0
-        if not members:
-            break
-        if turn == ROUNDS or pairs <= PAIRS_EACH * members:
-            other = sides.select("key", F.col("doc_id").alias("other"), F.col("side").alias("far"))
-            rest = sides.join(other, "key").where((F.col("side") != F.col("far")) & (F.col("doc_id") < F.col("other"))).select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
-            before = work.links.count()
-            work.confirm(rest.distinct())
-            if work.links.count() > before:
-                parts = cut(connected(work.links))
-            break
-        # a hub of each side's least hash joins the side to the members of others
-        hub = sides.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), F.col("doc_id").alias("hub"), F.col("side").alias("far"))).alias("s")).select("key", "s.hub", "s.far")
-        work.confirm(sides.join(hub, "key").where(F.col("side") != F.col("far")).select(*_pairs(F.col("hub"), F.col("doc_id"))).distinct())
+    links = confirmed(docs, registers, stars.unionByName(small).distinct())
+    parts = cut(connected(links))
+    more = remaining(docs, registers, groups.where(F.col("n") > FEW), parts)
+    if more is not None:
+        more = cut(more)
+        if not more.isEmpty():
+            parts = cut(connected(parts.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(more)))
     return rows, parts
 
 
@@ -232,7 +265,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """docs without the rows whose document is a near duplicate of an earlier one. The ids that go are broadcast while they are few."""
     gone = cut(near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, docs["`doc_id`"] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["`doc_id`"] == gone["_gone"], "left_anti")
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

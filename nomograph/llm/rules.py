@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import SPACE, pick, small_batches, table, utf8
+from nomograph.llm.common import SPACE, no_table, pick, small_batches, table, utf8
 
 #: Documents on which costs and rejection rates are estimated; the verdicts don't depend on it.
 SAMPLE_ROWS = 400
@@ -150,6 +150,7 @@ def quality_features(docs: DataFrame) -> DataFrame:
     order = [x for x in sampled_order(docs) if x not in ("few_words", "repeated_windows")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         for batch in batches:
             rows = []
             for raw in utf8(batch.column(1)):
@@ -172,6 +173,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     order, at = sampled_order(docs), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         for batch in batches:
             yield batch.filter(pa.array([passes(Text(x), order) for x in utf8(batch.column(at))], pa.bool_()))
 
