@@ -301,3 +301,20 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
 def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_dir(spark)
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) / (sqrt(a.q) * sqrt(b.q)) >= 0.95
+), n AS (
+  SELECT x AS vec_id, count(*) AS n FROM l GROUP BY x
+), r AS (
+  SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT l.y, r.c FROM r JOIN l ON l.x = r.vec_id
+), m AS (
+  SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id
+)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, m.c AS component_id, e.vec_id = m.c AS kept FROM embeddings e JOIN m USING (vec_id) LEFT JOIN n USING (vec_id)
+"""

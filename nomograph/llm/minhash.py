@@ -271,3 +271,26 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_dir(spark)
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS g FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * both_ >= 75 * (nx.n + ny.n - both_)
+), e AS (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r AS (
+  SELECT DISTINCT doc_id, doc_id AS c FROM d UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.doc_id
+), m AS (
+  SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept FROM d JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

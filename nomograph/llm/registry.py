@@ -20,4 +20,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": rules.op9_quality_rules,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
-ORACLE_SQL: dict[str, str] = {"op4_mixing": mixing.OP4_SQL, "op9_quality_rules": rules.OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_cover_tree": cover_tree.OP2_SQL, "op6_minhash": minhash.OP6_SQL, "op4_mixing": mixing.OP4_SQL, "op9_quality_rules": rules.OP9_SQL, "op10_secret_scan": secrets.OP10_SQL}

@@ -144,3 +144,20 @@ def redact(docs: DataFrame, ledger: str | None = None) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_dir(spark)
     return digest(findings_of(table(spark, sf_dir, "documents")))
+
+
+def _kind_sql(rank: int, kind: str) -> str:
+    pattern, _, least, group = RULES[kind]
+    p = pattern.replace("'", "''")
+    return f"""SELECT rid, {rank} AS rank, '{kind}' AS kind, CAST(list_sum(list_transform(ps[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k-1], lambda x: length(x))), 0) AS BIGINT) AS s, length(m[k]) AS n
+  FROM (SELECT rid, m, v, ps, unnest(range(1, len(m) + 1)) AS k FROM (
+    SELECT rid, regexp_extract_all(t, '{p}', 0) AS m, regexp_extract_all(t, '{p}', {group}) AS v, regexp_split_to_array(t, '{p}') AS ps FROM d WHERE regexp_matches(t, '{p}'))) WHERE length(v[k]) >= {least}"""
+
+
+OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(_kind_sql(i, k) for i, k in enumerate(RULES))}),
+g AS (SELECT rid, string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, rank) AS spans, string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, rank) FILTER (rank < {len(BASE)}) AS base,
+  {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)} FROM f GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (rid)
+"""
