@@ -27,11 +27,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from nomograph.llm.common import pick, small_batches, table
+from nomograph.llm.common import pick, small_batches, table, worker_table
 
-#: Kept transitions and kept pieces in a worker; a full table starts anew, which changes no result.
-MOST_STATES = 700_000
-MOST_PIECES = 500_000
+#: Transitions that a worker keeps for good, those made first and so the commonest, and further ones until these start
+#: anew; pieces in each of two generations, of which a full one replaces the older. What is forgotten is made again, so the
+#: bounds change no result.
+KEPT_MOVES, FRESH_MOVES = 300_000, 100_000
+MOST_PIECES = 120_000
 #: Pieces longer than this aren't kept.
 LONG_PIECE = 64
 
@@ -43,6 +45,15 @@ def read_ranks(path: str) -> list[bytes]:
     return [found[i] for i in range(len(found))]
 
 
+def _pack(tail: bytes, live: list[tuple[int, int]]) -> bytes:
+    return b"".join([bytes([len(live)]), *[bytes([back]) + (before + 1).to_bytes(3) for back, before in live], tail])
+
+
+def _unpack(state: bytes) -> tuple[bytes, list[tuple[int, int]]]:
+    end = 1 + 4 * state[0]
+    return state[end:], [(state[i], int.from_bytes(state[i + 1 : i + 4]) - 1) for i in range(1, end, 4)]
+
+
 class Transducer:
     """Encodes single pieces. Ids are ranks; every single byte must be a token."""
 
@@ -50,16 +61,22 @@ class Transducer:
         self.tokens = tokens
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.prefixes = {t[:k] for t in tokens for k in range(1, len(t))}
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.edges: tuple[dict[int, list[tuple[bytes, int]]], ...] = ({}, {})
-        self.reset()
-
-    def reset(self) -> None:
-        #: A state: the bytes since the earliest live position, and for each live position, the last of which is the present one, (bytes since it, last token before it or -1).
-        self.states: list[tuple[bytes, tuple[tuple[int, int], ...]]] = [(b"", ((0, -1),))]
+        #: A state, packed by _pack: the bytes since the earliest live position, and for each live position, the last of which is the present one, (bytes since it, last token before it or -1).
+        self.states: list[bytes] = [_pack(b"", [(0, -1)])]
         self.number = {self.states[0]: 0}
-        self.moves: dict[int, tuple[int, int, bool]] = {}
+        #: (state, byte) -> (next state, token, whether settled), each packed in one number.
+        self.moves: dict[int, int] = {}
+        self.fresh: dict[int, int] = {}
+        self.kept_states = 0
+
+    def _forget(self) -> None:
+        for state in self.states[self.kept_states :]:
+            del self.number[state]
+        del self.states[self.kept_states :]
+        self.fresh.clear()
 
     def split(self, token: int) -> tuple[int, int] | None:
         """The two tokens that the token's last merge joins; None for a byte, and for a token that merging its own bytes doesn't give."""
@@ -93,7 +110,7 @@ class Transducer:
 
     def may_follow(self, a: int, b: int) -> bool:
         """Whether no merge crosses from a to b: each pair of neighbours at the boundary must end before its own merge would come. Of equal ranks the left merge is first."""
-        known = self.follows.get((a, b))
+        known = self.follows.get(a << 32 | b)
         if known is None:
             left, right, i, j, known = self._edge(a, 1), self._edge(b, 0), 0, 0, True
             while True:
@@ -108,12 +125,12 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            self.follows[a, b] = known
+            self.follows[a << 32 | b] = known
         return known
 
-    def _move(self, state: int, byte: int) -> tuple[int, int, bool]:
-        """The next state, the token that ends with this byte, and whether everything up to here is settled."""
-        tail, starts = self.states[state]
+    def _move(self, state: int, byte: int) -> int:
+        """Packed: the next state, the token that ends with this byte, and whether everything up to here is settled."""
+        tail, starts = _unpack(self.states[state])
         tail += bytes([byte])
         ranks, n, now = self.ranks, len(tail), -1
         for back, before in starts:  # the earliest first: the longest token that may end here
@@ -125,16 +142,25 @@ class Transducer:
             raise ValueError("a byte that is no token")
         live = [(back + 1, before) for back, before in starts if tail[n - back - 1 :] in self.prefixes]
         live.append((0, now))
-        key = (tail[n - live[0][0] :], tuple(live))
+        key = _pack(tail[n - live[0][0] :], live)
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)
             self.states.append(key)
-        return to, now, len(live) == 1
+        return to << 33 | now << 1 | (len(live) == 1)
+
+    def _new_move(self, key: int, state: int, byte: int) -> int:
+        if len(self.moves) < KEPT_MOVES:
+            move = self.moves[key] = self._move(state, byte)
+            self.kept_states = len(self.states)
+        else:
+            move = self.fresh[key] = self._move(state, byte)
+        return move
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.moves) > MOST_STATES:
-            self.reset()
+        if len(self.fresh) > FRESH_MOVES:
+            self._forget()
+        if len(self.follows) > FRESH_MOVES:
             self.follows.clear()
         out: list[int] = []
         ends: list[int] = []  # the token that ends at each byte that isn't settled
@@ -143,10 +169,12 @@ class Transducer:
             key = state << 8 | byte
             move = moves.get(key)
             if move is None:
-                move = moves[key] = self._move(state, byte)
-            state, token, settled = move
-            ends.append(token)
-            if settled:
+                move = self.fresh.get(key)
+                if move is None:
+                    move = self._new_move(key, state, byte)
+            state = move >> 33
+            ends.append(move >> 1 & 0xFFFFFFFF)
+            if move & 1:
                 self._emit(ends, out)
         self._emit(ends, out)
         return out
@@ -167,16 +195,21 @@ class Encoder(dict):
     def __init__(self, tokens: list[bytes], pattern: str):
         super().__init__()
         self.transducer, self.pieces = Transducer(tokens), regex.compile(pattern).findall
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.transducer.encode(piece.encode()))
-        if sys.byteorder == "big":
-            ids.byteswap()
+        coded = self.older.get(piece)
+        if coded is None:
+            ids = array("I", self.transducer.encode(piece.encode()))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            coded = ids.tobytes()
         if len(piece) <= LONG_PIECE:
             if len(self) >= MOST_PIECES:
+                self.older = dict(self)
                 self.clear()
-            self[piece] = ids.tobytes()
-        return ids.tobytes()
+            self[piece] = coded
+        return coded
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.pieces(text)))
@@ -221,16 +254,10 @@ def decode_stream(ids: Iterable[int], tokens: list[bytes]) -> Iterator[str]:
     decoder.end()
 
 
-_made: dict[str, Encoder] = {}
-
-
 def _encoder(shared) -> Encoder:
     """One encoder for each worker process and vocabulary; its tables outlive tasks."""
     tokens, pattern, name = shared.value
-    if name not in _made:
-        _made.clear()
-        _made[name] = Encoder(tokens, pattern)
-    return _made[name]
+    return worker_table(f"bpe {name}", lambda: Encoder(tokens, pattern))
 
 
 def _shared(spark: SparkSession, ranks: str | None, pattern: str | None):
