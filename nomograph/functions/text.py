@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def _group(text: Column, pattern: str, group: int = 1) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def phrase(text: Column) -> Column:
     """Letters and digits of any script as they are, everything else as single spaces between them."""
     return F.trim(F.regexp_replace(F.regexp_replace(text, r"[^\p{L}\p{N}\s]+", " "), r"\s+", " "))
@@ -87,20 +94,25 @@ def case_title(title: Column) -> Column:
 
     Parts are separated by #: the second names the parties; the last that isn't empty is the reference if it reads
     "Case ..." and comes after the parties; the one before it (or it) is the subject."""
-    parts = F.transform(F.split(title, "#", -1), lambda s: F.trim(s))
-    at = lambda i: F.when((i >= 1) & (i <= F.size(parts)), F.nullif(F.get(parts, (i - 1).cast("int")), F.lit("")))
-    last = F.array_max(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.when(F.get(parts, i - 1) != "", i).otherwise(0)))
-    end = F.when(last >= 3, at(last))
-    is_case = F.coalesce(end.rlike(r"(?i)^Cases?\b"), F.lit(False))
-    subject = F.when(is_case, last - 1).otherwise(last)
-    parties = at(F.lit(2))
-    whole = F.struct(
-        F.when(is_case, end).alias("case_reference"),
-        F.coalesce(parties, at(F.lit(1))).alias("display_title"),
-        parties.alias("parties"),
-        F.when(subject >= 3, at(subject)).alias("subject_matter"),
-    )
-    return F.when(F.contains(title, F.lit("#")), whole)
+
+    def fields(s: Column, last: Column) -> Column:
+        at = lambda i: F.nullif(F.get(s, (i - 1).cast("int")), F.lit(""))  # noqa: E731  null beyond the parts
+        end = F.when(last >= 3, at(last))
+        is_case = F.coalesce(end.rlike(r"(?i)^Cases?\b"), F.lit(False))
+        subject = F.when(is_case, last - 1).otherwise(last)
+        parties = at(F.lit(2))
+        return F.struct(
+            F.when(is_case, end).alias("case_reference"),
+            F.coalesce(parties, at(F.lit(1))).alias("display_title"),
+            parties.alias("parties"),
+            F.when(subject >= 3, at(subject)).alias("subject_matter"),
+        )
+
+    def last_of(s: Column) -> Column:
+        return F.array_max(F.transform(s, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
+
+    parts = F.transform(F.split(title, "#", -1), lambda x: F.trim(x))
+    return F.when(F.contains(title, F.lit("#")), _let(parts, lambda s: _let(last_of(s), lambda last: fields(s, last))))
 
 
 ROMAN = {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}
