@@ -4,9 +4,15 @@ Labellers are heuristics that vote good, bad, or not at all on a text; they over
 counted by pattern (there are at most 3 ** labellers, whatever the corpus), and expectation-maximisation on the
 counts estimates each labeller's accuracy for good and for bad texts, and the share of good texts. The posteriors
 of a bounded sample of documents then train a linear scorer on hashed features of the text, which scores every
-document. A document is kept if its score is at least 0.5 and the abuse labeller doesn't object.
+document. A document is kept if its score is at least 0.5 and it isn't toxic.
 
-Defined cases: a null text counts as empty and is scored like any other; repeated rows get equal scores; an
+Toxicity is learned from `labels`: a bounded sample of labelled documents, chosen by a hash of doc_id (at most about
+TOXICITY_ROWS toxic and as many clean ones), trains a logistic scorer for each language on words and their beginnings.
+A text is toxic if the scorer of any language says so, whatever its own lang is; a single word decides only if labels say
+so. Languages with fewer than LEAST_TOXIC toxic or clean documents in the sample share one scorer. Where labels give no
+scorer at all, any word of the list ABUSE makes a text toxic.
+
+Defined cases: labels without a document or a toxic value are ignored, an id labelled twice is toxic if one label says so; a null text counts as empty and is scored like any other; repeated rows get equal scores; an
 empty table gives an empty result; texts of any length count whole; other columns are ignored.
 """
 
@@ -29,7 +35,12 @@ from nomograph.llm.rules import SYMBOLS, Text
 TRAINING_ROWS = 6000
 DIMENSIONS = 1 << 14
 EPOCHS = 8
-#: Abusive words of the languages served; a parameter of keep_good and score.
+#: Documents of each class whose labels train the toxicity scorers, words and beginnings of words in a scorer, bytes of a beginning.
+TOXICITY_ROWS = 3000
+LEAST_TOXIC = 5
+STARTS = 400
+START_BYTES = range(4, 9)
+#: English abusive words, for tables without labels.
 ABUSE = frozenset("idiot idiots moron morons stupid loser losers scum worthless pathetic disgusting clown trash imbecile dumbass".encode().split())
 
 _SHAPES = bytes(0x61 if 0x61 <= b <= 0x7A or b >= 0x80 else 0x41 if 0x41 <= b <= 0x5A else 0x30 if 0x30 <= b <= 0x39 else b for b in range(256))
@@ -186,20 +197,122 @@ def learn(docs: DataFrame) -> tuple[LabelModel, np.ndarray]:
     return model, train(features, target)
 
 
-def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+def starts(word: bytes) -> list[bytes]:
+    """A bare word's features: itself, ended by a space, and its beginnings."""
+    return [word + b" ", *[word[:k] for k in START_BYTES if k < len(word)]]
+
+
+def bare_words(t: Votes) -> Counter:
+    found: Counter = Counter()
+    for w, n in t.counts.items():
+        found[w.lower().strip(_EDGES)] += n
+    return found
+
+
+class Toxicity:
+    """Logistic scorers, one for each group of labelled texts: weights of log counts of words and beginnings, and of the text's size."""
+
+    def __init__(self):
+        self.scorers: list[tuple[float, float]] = []  # weight of the size, constant
+        self.weights: dict[bytes, list[tuple[int, float]]] = {}  # feature -> (scorer, weight)
+        self.heads: frozenset[bytes] = frozenset()  # the features' first bytes, so that most words cost one lookup
+
+    def fit(self, rows: list[tuple[str | None, bool, dict[bytes, int], int]]) -> Toxicity:
+        """rows: language, toxic, bare words with their counts, size."""
+        n = Counter((lang, toxic) for lang, toxic, _, _ in rows)
+        groups: dict[str | None, list] = {}
+        for row in rows:
+            groups.setdefault(row[0] if min(n[row[0], False], n[row[0], True]) >= LEAST_TOXIC else None, []).append(row)
+        for lang in sorted(groups, key=lambda g: (g is None, g or "")):
+            self._fit(groups[lang])
+        self.heads = frozenset(f[: START_BYTES[0]] for f in self.weights)
+        return self
+
+    def _fit(self, rows: list) -> None:
+        toxic = np.array([r[1] for r in rows], float)
+        n_toxic, n_clean = int(toxic.sum()), int((1 - toxic).sum())
+        if not n_toxic or not n_clean:
+            return
+        in_toxic, in_clean = Counter(), Counter()
+        for _, bad, words, _ in rows:  # a text's features are made anew below: those of all texts at once would fill the driver
+            (in_toxic if bad else in_clean).update({f for w in words for f in starts(w)})
+        gain = {f: np.log((k + 0.5) / (n_toxic + 1) * (n_clean + 1) / (in_clean[f] + 0.5)) for f, k in in_toxic.items() if k >= min(3, n_toxic)}
+        names = sorted((f for f in gain if gain[f] > 1), key=lambda f: (-gain[f] * in_toxic[f], f))[:STARTS]
+        at, x = {f: j for j, f in enumerate(names)}, np.ones((len(rows), len(names) + 2))
+        x[:, :-2] = 0
+        for k, (_, _, words, size) in enumerate(rows):
+            for w, n in words.items():
+                for f in starts(w):
+                    if f in at:
+                        x[k, at[f]] += n
+            x[k, -2] = np.log1p(size) / 8
+        x[:, :-2] = np.log1p(x[:, :-2])
+        w, ridge = np.zeros(len(names) + 2), np.r_[np.full(len(names), 0.3), 0.01, 0.01]
+        for _ in range(15):  # Newton's steps
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            w -= np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge), x.T @ (p - toxic) + ridge * w)
+        for f, weight in zip(names, w[:-2], strict=True):
+            self.weights.setdefault(f, []).append((len(self.scorers), float(weight)))
+        self.scorers.append((float(w[-2]), float(w[-1])))
+
+    def n_abuse(self, t: Votes) -> int:
+        """0 for a text that isn't toxic; else the uses of words that speak for it, at least 1."""
+        if not self.scorers:
+            return t.abuse
+        heads, first, found, words = self.heads, START_BYTES[0], Counter(), []
+        for w, n in t.counts.items():
+            w = w.lower().strip(_EDGES)
+            if (w + b" ")[:first] in heads:
+                known = [f for f in starts(w) if f in self.weights]
+                for f in known:
+                    found[f] += n
+                if known:
+                    words.append((known, n))
+        size = np.log1p(len(t.words)) / 8
+        z = [a * size + b for a, b in self.scorers]
+        for f, n in found.items():
+            for k, weight in self.weights[f]:
+                z[k] += weight * np.log1p(n)
+        best = max(range(len(z)), key=z.__getitem__)
+        if z[best] < 0:
+            return 0
+        return max(1, sum(n for known, n in words if any(weight > 0 for f in known for k, weight in self.weights[f] if k == best)))
+
+
+def learn_toxicity(docs: DataFrame, labels: DataFrame) -> Toxicity:
+    """The scorers from the sample's labels. What is broadcast and sent to the driver is bounded by the sample."""
+    small_batches(docs.sparkSession)
+    known = pick(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+    n = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
+    share = F.when(F.col("toxic"), TOXICITY_ROWS / max(1, n.get(True, 0))).otherwise(TOXICITY_ROWS / max(1, n.get(False, 0)))
+    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1_000_000)) < share * 1_000_000)
+    rows = pick(docs, "doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "toxic", "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [Votes(x) for x in utf8(batch.column(3))]
+            bare = [bare_words(t) for t in texts]
+            columns = [pa.array([list(b) for b in bare], pa.list_(pa.binary())), pa.array([list(b.values()) for b in bare], pa.list_(pa.int64())), pa.array([len(t.words) for t in texts], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2), *columns], ["doc_id", "lang", "toxic", "w", "k", "size"])
+
+    found = rows.mapInArrow(count, "doc_id long, lang string, toxic boolean, w array<binary>, k array<long>, size long").toArrow().sort_by("doc_id")
+    return Toxicity().fit([(lang.as_py(), bad.as_py(), dict(zip(w.as_py(), k.as_py(), strict=True)), size.as_py()) for lang, bad, w, k, size in zip(*[found[c] for c in ("lang", "toxic", "w", "k", "size")], strict=True)])
+
+
+def score(docs: DataFrame, weights: np.ndarray, toxicity: Toxicity | None = None) -> DataFrame:
     """doc_id, score, n_abuse, kept of every row. Narrow: no shuffle; the weights are broadcast, their number is fixed."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = docs.sparkSession.sparkContext.broadcast((weights, toxicity or Toxicity()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
+        w, toxic = shared.value
         for batch in batches:
             scores, abuse = [], []
             for raw in utf8(batch.column(1)):
                 t = Votes(raw)
                 i, x = hashed(t)
                 scores.append(float(1 / (1 + np.exp(-np.clip(w[i] @ x, -30, 30)))))
-                abuse.append(t.abuse)
+                abuse.append(toxic.n_abuse(t))
             kept = [s >= 0.5 and not a for s, a in zip(scores, abuse, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(scores, pa.float64()), pa.array(abuse, pa.int64()), pa.array(kept, pa.bool_())], ["doc_id", "score", "n_abuse", "kept"])
 
@@ -208,4 +321,4 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 def op5_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score(docs, learn(docs)[1])
+    return score(docs, learn(docs)[1], learn_toxicity(docs, table(spark, sf_dir, "labels")))

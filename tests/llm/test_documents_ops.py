@@ -295,3 +295,25 @@ def test_quality_cases(spark):
     assert len(rows) == len(awkward()) and all(0 <= r.score <= 1 for r in rows)
     again = weak_quality.score(docs, weak_quality.learn(docs)[1]).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
+
+
+def test_toxicity_is_learned_for_each_language(spark):
+    """Held-out rows of sf0.1: odd ids, without texts that also have an even id."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    toxicity = weak_quality.learn_toxicity(docs.where("doc_id % 2 = 0"), labels)
+    rows = docs.join(labels, "doc_id").collect()
+    seen, found = {r.text for r in rows if r.doc_id % 2 == 0}, Counter()
+    for r in rows:
+        if r.doc_id % 2 and r.text not in seen:
+            found[r.lang, r.toxic, toxicity.n_abuse(weak_quality.Votes(r.text.encode())) > 0] += 1
+    for lang in ("en", "de", "fr", "es"):
+        assert found[lang, 1, True] / (found[lang, 1, True] + found[lang, 1, False]) >= 0.8
+        assert found[lang, 0, True] / (found[lang, 0, True] + found[lang, 0, False]) < 0.01
+
+
+def test_one_listed_word_in_a_clean_text_does_not_decide(spark):
+    docs = documents(spark, [(i, prose(i, 80) + (" clown" if i % 10 == 0 else " vile slur wretch" if i % 4 == 1 else ""), "en") for i in range(200)])
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 1)) for i in range(200)], "doc_id long, quality int, toxic int")
+    n_abuse = {r.doc_id: r.n_abuse for r in weak_quality.score(docs, weak_quality.learn(docs)[1], weak_quality.learn_toxicity(docs, labels)).collect()}
+    assert {i for i, n in n_abuse.items() if n} == {i for i in range(200) if i % 4 == 1}
