@@ -464,7 +464,7 @@ def _(c: Corpus) -> DataFrame:
 def _(c: Corpus) -> DataFrame:
     """Documents as XML acts: each line an article with a title."""
     lines = c["lines"].groupBy(F.col("doc_id").cast("string").alias("celex")).agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l"))
-    body = F.array_join(F.transform("l", lambda x: F.concat(F.lit("<TI.ART>Article "), x["line_no"].cast("string"), F.lit("</TI.ART><STI.ART>"), F.left(x["line"], F.lit(80)), F.lit("</STI.ART>"))), "\n")
+    body = F.array_join(F.transform("l", lambda x: F.concat(F.lit("<TI.ART>Article "), x["line_no"].cast("string"), F.lit("</TI.ART><STI.ART>"), x["line"], F.lit("</STI.ART>"))), "\n")
     return structure.outlines(lines.select("celex", body.alias("body"))).select("celex", F.explode("outline").alias("h")).select("celex", "h.*")
 
 

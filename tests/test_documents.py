@@ -25,6 +25,15 @@ end
 """ % ("x" * 201)
 
 
+def test_xml_outline_takes_whole_lines(spark, tmp_path):
+    from nomograph.queries import QUERIES
+
+    texts = {1: "short\n" + "long line " * 30 + "end", 2: "x" * 81 + "\n\n" + "é" * 500}
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.celex, r.number): r.title for r in QUERIES["xml_outline"](spark, str(tmp_path)).collect()}
+    assert got == {(str(i), str(n)): " ".join(line.split()) or None for i, t in texts.items() for n, line in enumerate(t.split("\n"))}
+
+
 def test_outline_of_a_body():
     found = structure.outline(ACT)
     assert [(h["label"], h["title"]) for h in found] == [("Recital 1", None), ("Recital 2", None), ("CHAPTER I", "General"), ("Article 1", "Scope"), ("Article 2A", None), ("Article 3", None), ("Section 1", None), ("ANNEX II", "Forms")]
