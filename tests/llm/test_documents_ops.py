@@ -317,3 +317,11 @@ def test_one_listed_word_in_a_clean_text_does_not_decide(spark):
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 1)) for i in range(200)], "doc_id long, quality int, toxic int")
     n_abuse = {r.doc_id: r.n_abuse for r in weak_quality.score(docs, weak_quality.learn(docs)[1], weak_quality.learn_toxicity(docs, labels)).collect()}
     assert {i for i, n in n_abuse.items() if n} == {i for i in range(200) if i % 4 == 1}
+
+
+def test_cards_in_small_groups_beside_another_number():
+    for text, card in (("pay 12 41 11 11 11 11 11 11 11 today", "41 11 11 11 11 11 11 11"), ("card 123 411 111 111 111 111 1", "411 111 111 111 111 1"), ("card 9 " + " ".join("4111111111111111"), " ".join("4111111111111111"))):
+        at = text.index(card)
+        assert ("card", at, at + len(card)) in pii.candidates(text)
+    text = "pay 12 41 11 11 11 11 11 11 11 today"
+    assert (pii.KINDS.index("card"), 7, 30) in pii.find_all([text], pii.model())[0][1]
