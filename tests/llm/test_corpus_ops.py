@@ -233,6 +233,22 @@ def test_pages(spark):
     assert html_extract.extract(df).count() == len(rows)
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<article class='post has-sidebar'><p>kept</p></article>", "kept"),
+        ("<main class='search-results'><p>kept</p></main>", "kept"),
+        ("<div class='content comments-open'><p>kept</p></div>", "kept"),
+        ("<div data-role='banner' data-id='menu' data-class='ad' title='x class=ad'><p>kept</p></div>", "kept"),
+        ("<div class='header-wrapper'><p>gone</p><article><p>kept</p></article><p>gone</p></div>", "kept"),
+        ("<div class='ad-slot'>gone</div><div class='post-comments'>gone</div><div role='banner'>gone</div><div id='nav_menu'>gone</div><div class='x ad'>gone</div><p>kept</p>", "kept"),
+        ("<article><p>kept</p><div class='comments'><article><p>gone</p></article></div></article>", "kept"),
+    ],
+)
+def test_furniture_by_whole_names(html, text):
+    assert html_extract.lines_of(html)[0] == [text]
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     r = random.Random(6)
     for _ in range(300):
