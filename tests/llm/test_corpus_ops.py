@@ -1,5 +1,6 @@
 """Operators on whole corpora against brute force."""
 
+import os
 import random
 from collections import defaultdict
 
@@ -249,6 +250,30 @@ def test_furniture_by_whole_names(html, text):
     assert html_extract.lines_of(html)[0] == [text]
 
 
+def brute_text(pages, at):
+    """Against all other pages of the host in order, one by one."""
+    path, lines = pages[at]
+    for x in sorted((x for x in range(len(pages)) if x != at), key=lambda x: (-len(os.path.commonprefix([pages[x][0], path])), x > at, abs(x - at))):
+        shared = set(html_extract.common_lines(lines, pages[x][1]))
+        if 0 < len(shared) < len(lines):
+            return [line for i, line in enumerate(lines) if i not in shared]
+    return list(lines)
+
+
+def test_differencing_goes_on_beyond_copies(spark):
+    r = random.Random(8)
+    for _ in range(150):
+        host = html_extract.Host({("/" + "".join(r.choice("ab") for _ in range(r.randint(0, 4))), tuple(r.choice("uvwxyz") for _ in range(r.randint(0, 4)))) for _ in range(r.randint(1, 25))})
+        assert all(list(host.own_lines(k)) == brute_text(host.pages, k) for k in range(len(host.pages)))
+    copies = [(i, f"http://h/a/{i:02d}", page("<div>Site line</div><p>copied</p><div>Bottom</div>", False)) for i in range(12)]
+    strangers = [(20 + i, f"http://h/a/{i:02d}x", page(f"<p>stranger {i}</p>", False)) for i in range(12)]
+    far = [(40, "http://h/z", page("<div>Site line</div><p>far</p><div>Bottom</div>", False))]
+    df = spark.createDataFrame([*copies, *copies, *strangers, *far], "page_id long, url string, html string")
+    for parts in (1, 7):
+        got = [(x.page_id, x.text) for x in html_extract.extract(df.repartition(parts)).collect()]
+        assert sorted(got) == sorted([(i, "copied") for i, _, _ in copies * 2] + [(20 + i, f"stranger {i}") for i in range(12)] + [(40, "far")])
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     r = random.Random(6)
     for _ in range(300):
