@@ -7,7 +7,7 @@ quality_rules  drops documents that a rule rejects
 near_dedup     keeps the document of the least doc_id of each group of near duplicates
 secret_scan    replaces secrets in the text (and counts its characters anew)
 mixing         takes whole documents by source, some twice, some not at all, towards the sources' target weights
-byte_bpe       returns doc_id and ids, the text's tokens; a document that the mix takes twice has two rows
+byte_bpe       returns doc_id, ids (the text's tokens) and decoded_sha256 (of the text decoded from them); a document that the mix takes twice has two rows
 
 Defined cases are those of the operators; an empty table passes through every stage as an empty table.
 """
@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode(docs)
+    return bpe.encode(docs, decoded=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -270,8 +270,18 @@ def _shared(spark: SparkSession, ranks: str | None, pattern: str | None):
     return spark.sparkContext.broadcast((tokens, pattern, hashlib.sha256(b"\0".join([pattern.encode(), *tokens])).hexdigest()))
 
 
-def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id and ids (array of int) of every row of docs. Narrow: no shuffle."""
+def _decoded_sha256(coded: bytes, tokens: list[bytes]) -> str:
+    """The digest of the text that the ids give back, decoded as a stream."""
+    digest, ids = hashlib.sha256(), array("I", coded)
+    if sys.byteorder == "big":
+        ids.byteswap()
+    for part in decode_stream(ids, tokens):
+        digest.update(part.encode())
+    return digest.hexdigest()
+
+
+def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None, decoded: bool = False) -> DataFrame:
+    """doc_id and ids (array of int) of every row of docs, and on demand the digest of the text decoded from them. Narrow: no shuffle."""
     small_batches(docs.sparkSession)
     shared = _shared(docs.sparkSession, ranks, pattern)
 
@@ -283,9 +293,12 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
             for x in coded:
                 offsets.append(offsets[-1] + len(x) // 4)
             values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(coded))])
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["doc_id", "ids"])
+            columns, names = [batch.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["doc_id", "ids"]
+            if decoded:
+                columns, names = [*columns, pa.array([_decoded_sha256(x, shared.value[0]) for x in coded], pa.string())], [*names, "decoded_sha256"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>" + ", decoded_sha256 string" * decoded)
 
 
 def round_trip(docs: DataFrame, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -302,13 +315,7 @@ def round_trip(docs: DataFrame, ranks: str | None = None, pattern: str | None =
                 coded = encoder.encode(text or "")
                 counts.append(len(coded) // 4)
                 of_ids.append(hashlib.sha256(coded).hexdigest())
-                digest = hashlib.sha256()
-                ids = array("I", coded)
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                for part in decode_stream(ids, tokens):
-                    digest.update(part.encode())
-                of_text.append(digest.hexdigest())
+                of_text.append(_decoded_sha256(coded, tokens))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

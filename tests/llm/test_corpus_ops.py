@@ -325,6 +325,14 @@ def test_awkward_and_empty_tables(spark, name):
     assert f(nulls).count() == (0 if name == "keep_good" else 3)
 
 
+def test_last_stage_decodes(spark):
+    import hashlib
+
+    rows = [r for r in awkward() if r[0] is not None]
+    got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.STAGES[-1][1](spark, documents(spark, rows), DATA).collect()}
+    assert got == {r[0]: hashlib.sha256((r[1] or "").encode()).hexdigest() for r in rows}
+
+
 @pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
 def test_stages(spark, k):
     name, stage = corpus_pipeline.STAGES[k]
