@@ -3,13 +3,13 @@
 The encoding of every prefix of a piece is known as its bytes arrive: the last token of a prefix's encoding is
 the longest token that ends there and may follow the last token of the prefix before it, where token b may
 follow token a if encoding their joined bytes gives (a, b). A state is what later bytes can still need: the
-positions from which a longer token may yet start, and the last token before each. A transition tells the
-token that ends at its byte. When only the present position is live, all tokens up to it are settled and are
-emitted; since tokens are short, so is the lookahead.
+positions from which a longer token may yet start, and the tokens that lead to each. What the tokens to all of these
+positions begin with is settled and emitted at once. A live position lies less than a token's length back, and
+encodings of prefixes a few bytes apart soon agree, so that the lookahead stays within a few tokens.
 States and transitions are made when first met and kept in a table; texts then mostly cost look-ups.
 
-Decoding a stream of ids passes bytes through an incremental UTF-8 automaton, which holds back an incomplete
-character at the end of a chunk.
+Decoding a stream of ids moves an automaton of UTF-8 over the tokens' bytes. Between chunks it holds its state and the
+bytes of an incomplete character; ids that give no text are an error.
 
 Defined cases: a null text counts as empty and has no ids; repeated rows are encoded alike; an empty table
 gives an empty result; very long texts and very long pieces are encoded whole; other columns are ignored.
@@ -20,9 +20,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import sys
-from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -45,13 +45,24 @@ def read_ranks(path: str) -> list[bytes]:
     return [found[i] for i in range(len(found))]
 
 
-def _pack(tail: bytes, live: list[tuple[int, int]]) -> bytes:
-    return b"".join([bytes([len(live)]), *[bytes([back]) + (before + 1).to_bytes(3) for back, before in live], tail])
+Chain = tuple[int, ...]
 
 
-def _unpack(state: bytes) -> tuple[bytes, list[tuple[int, int]]]:
-    end = 1 + 4 * state[0]
-    return state[end:], [(state[i], int.from_bytes(state[i + 1 : i + 4]) - 1) for i in range(1, end, 4)]
+def _pack(root: int, chains: list[Chain]) -> bytes:
+    return b"".join([(root + 1).to_bytes(3), *[len(c).to_bytes(3) + b"".join([t.to_bytes(3) for t in c]) for c in chains]])
+
+
+def _unpack(state: bytes) -> tuple[int, list[Chain]]:
+    chains, at = [], 3
+    while at < len(state):
+        end = at + 3 + 3 * int.from_bytes(state[at : at + 3])
+        chains.append(tuple([int.from_bytes(state[i : i + 3]) for i in range(at + 3, end, 3)]))
+        at = end
+    return int.from_bytes(state[:3]) - 1, chains
+
+
+def _coded(ids: Chain) -> bytes:
+    return b"".join([i.to_bytes(4, "little") for i in ids])
 
 
 class Transducer:
@@ -64,18 +75,24 @@ class Transducer:
         self.follows: dict[int, bool] = {}
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.edges: tuple[dict[int, list[tuple[bytes, int]]], ...] = ({}, {})
-        #: A state, packed by _pack: the bytes since the earliest live position, and for each live position, the last of which is the present one, (bytes since it, last token before it or -1).
-        self.states: list[bytes] = [_pack(b"", [(0, -1)])]
+        #: A state, packed by _pack: the last settled token if a live position stands right after it (else -1), and for each live position, the present one last, the tokens from there on that lead to it.
+        self.states: list[bytes] = [_pack(-1, [()])]
         self.number = {self.states[0]: 0}
-        #: (state, byte) -> (next state, token, whether settled), each packed in one number.
+        #: What is left to emit if the piece ends in a state, and what transitions emit, each once, as coded ids.
+        self.ends: list[bytes] = [b""]
+        self.outputs: list[bytes] = [b""]
+        self.output = {b"": 0}
+        #: (state, byte) -> (next state, output), each packed in one number.
         self.moves: dict[int, int] = {}
         self.fresh: dict[int, int] = {}
-        self.kept_states = 0
+        self.kept_states = self.kept_outputs = 1
 
     def _forget(self) -> None:
         for state in self.states[self.kept_states :]:
             del self.number[state]
-        del self.states[self.kept_states :]
+        for out in self.outputs[self.kept_outputs :]:
+            del self.output[out]
+        del self.states[self.kept_states :], self.ends[self.kept_states :], self.outputs[self.kept_outputs :]
         self.fresh.clear()
 
     def split(self, token: int) -> tuple[int, int] | None:
@@ -129,42 +146,64 @@ class Transducer:
         return known
 
     def _move(self, state: int, byte: int) -> int:
-        """Packed: the next state, the token that ends with this byte, and whether everything up to here is settled."""
-        tail, starts = _unpack(self.states[state])
-        tail += bytes([byte])
-        ranks, n, now = self.ranks, len(tail), -1
-        for back, before in starts:  # the earliest first: the longest token that may end here
-            rank = ranks.get(tail[n - back - 1 :], -1)
-            if rank >= 0 and self.reachable(rank) and (before < 0 or self.may_follow(before, rank)):
-                now = rank
-                break
-        if now < 0:
+        """Packed: the next state and the output, which is what the tokens to all live positions begin with."""
+        root, chains = _unpack(self.states[state])
+        tokens, prefixes, new, live = self.tokens, self.prefixes, None, []
+        tail = b"".join([tokens[t] for t in chains[-1]]) + bytes([byte])
+        for chain in chains:  # the earliest position first: the longest token that may end here
+            piece = tail
+            for t in chain:
+                piece = piece[len(tokens[t]) :]
+            if new is None:
+                rank = self.ranks.get(piece, -1)
+                if rank >= 0 and self.reachable(rank):
+                    before = chain[-1] if chain else root
+                    if before < 0 or self.may_follow(before, rank):
+                        new = (*chain, rank)
+            if piece in prefixes:
+                live.append(chain)
+        if new is None:
             raise ValueError("a byte that is no token")
-        live = [(back + 1, before) for back, before in starts if tail[n - back - 1 :] in self.prefixes]
-        live.append((0, now))
-        key = _pack(tail[n - live[0][0] :], live)
+        n = 0
+        if live:
+            for same in zip(*live, new, strict=False):
+                if len(set(same)) > 1:
+                    break
+                n += 1
+        else:
+            n = len(new)
+        live.append(new)
+        if n:
+            root, out, live = new[n - 1], _coded(new[:n]), [c[n:] for c in live]
+            done = self.output.get(out)
+            if done is None:
+                done = self.output[out] = len(self.outputs)
+                self.outputs.append(out)
+        else:
+            done = 0
+        key = _pack(-1 if live[0] else root, live)
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)
             self.states.append(key)
-        return to << 33 | now << 1 | (len(live) == 1)
+            self.ends.append(_coded(live[-1]))
+        return to << 32 | done
 
     def _new_move(self, key: int, state: int, byte: int) -> int:
         if len(self.moves) < KEPT_MOVES:
             move = self.moves[key] = self._move(state, byte)
-            self.kept_states = len(self.states)
+            self.kept_states, self.kept_outputs = len(self.states), len(self.outputs)
         else:
             move = self.fresh[key] = self._move(state, byte)
         return move
 
-    def encode(self, piece: bytes) -> list[int]:
+    def steps(self, piece: bytes) -> list[bytes]:
+        """The coded ids that each byte settles, and at last what the end settles."""
         if len(self.fresh) > FRESH_MOVES:
             self._forget()
         if len(self.follows) > FRESH_MOVES:
             self.follows.clear()
-        out: list[int] = []
-        ends: list[int] = []  # the token that ends at each byte that isn't settled
-        state, moves = 0, self.moves
+        state, moves, outputs, out = 0, self.moves, self.outputs, []
         for byte in piece:
             key = state << 8 | byte
             move = moves.get(key)
@@ -172,21 +211,14 @@ class Transducer:
                 move = self.fresh.get(key)
                 if move is None:
                     move = self._new_move(key, state, byte)
-            state = move >> 33
-            ends.append(move >> 1 & 0xFFFFFFFF)
-            if move & 1:
-                self._emit(ends, out)
-        self._emit(ends, out)
+            state = move >> 32
+            out.append(outputs[move & 0xFFFFFFFF])
+        out.append(self.ends[state])
         return out
 
-    def _emit(self, ends: list[int], out: list[int]) -> None:
-        at, chain, tokens = len(ends), [], self.tokens
-        while at:
-            token = ends[at - 1]
-            chain.append(token)
-            at -= len(tokens[token])
-        out += chain[::-1]
-        ends.clear()
+    def encode(self, piece: bytes) -> bytes:
+        """The piece's ids as little-endian unsigned 32-bit integers."""
+        return b"".join(self.steps(piece))
 
 
 class Encoder(dict):
@@ -200,10 +232,7 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         coded = self.older.get(piece)
         if coded is None:
-            ids = array("I", self.transducer.encode(piece.encode()))
-            if sys.byteorder == "big":
-                ids.byteswap()
-            coded = ids.tobytes()
+            coded = self.transducer.encode(piece.encode())
         if len(piece) <= LONG_PIECE:
             if len(self) >= MOST_PIECES:
                 self.older = dict(self)
@@ -216,30 +245,68 @@ class Encoder(dict):
 
 
 #: UTF-8 automaton: lead byte -> bytes still to come. Bytes 0x80-0xBF continue a character.
-def _following(lead: int) -> int:
-    return 0 if lead < 0x80 else 1 if 0xC2 <= lead <= 0xDF else 2 if 0xE0 <= lead <= 0xEF else 3 if 0xF0 <= lead <= 0xF4 else -1
+def _utf8_moves() -> tuple[list[dict[int, int]], list[int]]:
+    """The automaton of UTF-8: for each state what a byte leads to, and the bytes of an incomplete character that it holds. State 0 lies between characters; a byte without a move is an error."""
+    states: dict[tuple[int, int, int, int], int] = {(0, 0, 0, 0): 0}  # bytes held, bytes to come, the next byte's least and greatest value
+    moves: list[dict[int, int]] = [{b: 0 for b in range(0x80)}]
+
+    def state(held: int, left: int, low: int = 0x80, high: int = 0xBF) -> int:
+        if not left:
+            return 0
+        key = (held, left, low, high)
+        if key not in states:
+            states[key] = len(moves)
+            moves.append({})
+            moves[states[key]].update({b: state(held + 1, left - 1) for b in range(low, high + 1)})
+        return states[key]
+
+    for lead in range(0xC2, 0xF5):
+        low, high = {0xE0: (0xA0, 0xBF), 0xED: (0x80, 0x9F), 0xF0: (0x90, 0xBF), 0xF4: (0x80, 0x8F)}.get(lead, (0x80, 0xBF))
+        moves[0][lead] = state(1, 1 + (lead >= 0xE0) + (lead >= 0xF0), low, high)
+    return moves, [held for held, *_ in states]
+
+
+class Vocabulary:
+    """Tokens with the automaton's moves over them: most tokens are whole characters and leave it between characters; the others are read byte by byte."""
 
+    def __init__(self, tokens: list[bytes]):
+        self.tokens = tokens
+        self.moves, self.held = _utf8_moves()
+        self.whole = np.array([self.move(0, t) == 0 for t in tokens], bool)
+
+    def move(self, state: int, data: bytes) -> int:
+        """The state after data; -1 for an error."""
+        for byte in data:
+            state = self.moves[state].get(byte, -1)
+            if state < 0:
+                break
+        return state
 
-class StreamDecoder:
-    """Ids in chunks -> text in chunks. Between chunks only the bytes of an incomplete character are held."""
 
-    def __init__(self, tokens: list[bytes]):
-        self.tokens, self.held = tokens, b""
+class StreamDecoder:
+    """Ids in chunks -> text in chunks. Between chunks only the automaton's state and the bytes of an incomplete character are held."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.state, self.held = vocabulary, 0, b""
+
+    def feed_bytes(self, ids: np.ndarray) -> bytes:
+        """The bytes of the characters that these ids complete."""
+        v, state, at = self.vocabulary, self.state, -1
+        for k in [*np.flatnonzero(~v.whole[ids]).tolist(), len(ids)]:
+            if state and k != at + 1 or state < 0:
+                raise ValueError("the ids are no text")
+            if k < len(ids):
+                state, at = v.move(state, v.tokens[ids[k]]), k
+        data = self.held + b"".join(map(v.tokens.__getitem__, ids.tolist()))
+        end = len(data) - v.held[state]
+        self.state, self.held = state, data[end:]
+        return data[:end]
 
     def feed(self, ids: Iterable[int]) -> str:
-        data = self.held + b"".join(map(self.tokens.__getitem__, ids))
-        at = len(data)
-        for back in range(1, min(4, len(data) + 1)):  # the automaton's state at the end of data
-            byte = data[-back]
-            if byte & 0xC0 != 0x80:
-                if _following(byte) >= back:
-                    at = len(data) - back
-                break
-        self.held = data[at:]
-        return data[:at].decode("utf-8")
+        return self.feed_bytes(np.array(list(ids), np.int64)).decode("utf-8")
 
     def end(self) -> None:
-        if self.held:
+        if self.state:
             raise ValueError("the stream ends inside a character")
 
 
@@ -247,17 +314,17 @@ class StreamDecoder:
 CHUNK_IDS = 1 << 14
 
 
-def decode_stream(ids: Iterable[int], tokens: list[bytes]) -> Iterator[str]:
-    decoder, ids = StreamDecoder(tokens), list(ids)
+def decode_stream(ids: np.ndarray, vocabulary: Vocabulary) -> Iterator[bytes]:
+    decoder = StreamDecoder(vocabulary)
     for i in range(0, len(ids), CHUNK_IDS):
-        yield decoder.feed(ids[i : i + CHUNK_IDS])
+        yield decoder.feed_bytes(ids[i : i + CHUNK_IDS])
     decoder.end()
 
 
-def _encoder(shared) -> Encoder:
+def _encoder(shared) -> tuple[Encoder, Vocabulary]:
     """One encoder for each worker process and vocabulary; its tables outlive tasks."""
     tokens, pattern, name = shared.value
-    return worker_table(f"bpe {name}", lambda: Encoder(tokens, pattern))
+    return worker_table(f"bpe {name}", lambda: (Encoder(tokens, pattern), Vocabulary(tokens)))
 
 
 def _shared(spark: SparkSession, ranks: str | None, pattern: str | None):
@@ -270,13 +337,11 @@ def _shared(spark: SparkSession, ranks: str | None, pattern: str | None):
     return spark.sparkContext.broadcast((tokens, pattern, hashlib.sha256(b"\0".join([pattern.encode(), *tokens])).hexdigest()))
 
 
-def _decoded_sha256(coded: bytes, tokens: list[bytes]) -> str:
+def _decoded_sha256(coded: bytes, vocabulary: Vocabulary) -> str:
     """The digest of the text that the ids give back, decoded as a stream."""
-    digest, ids = hashlib.sha256(), array("I", coded)
-    if sys.byteorder == "big":
-        ids.byteswap()
-    for part in decode_stream(ids, tokens):
-        digest.update(part.encode())
+    digest = hashlib.sha256()
+    for part in decode_stream(np.frombuffer(coded, "<u4"), vocabulary):
+        digest.update(part)
     return digest.hexdigest()
 
 
@@ -286,7 +351,7 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
     shared = _shared(docs.sparkSession, ranks, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared)
+        encoder, vocabulary = _encoder(shared)
         for batch in batches:
             coded = [encoder.encode(x or "") for x in batch.column(1).to_pylist()]
             offsets = [0]
@@ -295,7 +360,7 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
             values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(coded))])
             columns, names = [batch.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["doc_id", "ids"]
             if decoded:
-                columns, names = [*columns, pa.array([_decoded_sha256(x, shared.value[0]) for x in coded], pa.string())], [*names, "decoded_sha256"]
+                columns, names = [*columns, pa.array([_decoded_sha256(x, vocabulary) for x in coded], pa.string())], [*names, "decoded_sha256"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>" + ", decoded_sha256 string" * decoded)
@@ -307,15 +372,14 @@ def round_trip(docs: DataFrame, ranks: str | None = None, pattern: str | None =
     shared = _shared(docs.sparkSession, ranks, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared)
-        tokens = shared.value[0]
+        encoder, vocabulary = _encoder(shared)
         for batch in batches:
             counts, of_ids, of_text = [], [], []
             for text in batch.column(1).to_pylist():
                 coded = encoder.encode(text or "")
                 counts.append(len(coded) // 4)
                 of_ids.append(hashlib.sha256(coded).hexdigest())
-                of_text.append(_decoded_sha256(coded, tokens))
+                of_text.append(_decoded_sha256(coded, vocabulary))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

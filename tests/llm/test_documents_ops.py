@@ -117,19 +117,66 @@ def test_transducer_with_small_tables(coder, monkeypatch):
 
 def test_streaming_decoder(coder):
     library, tokens, _ = coder
+    vocabulary = bpe.Vocabulary(tokens)
     text = "naïve 日本語 😀😀 text"
     ids = library.encode_ordinary(text)
     for size in (1, 2, 3, 7):
-        d = bpe.StreamDecoder(tokens)
+        d = bpe.StreamDecoder(vocabulary)
         parts = [d.feed(ids[i : i + size]) for i in range(0, len(ids), size)]
         d.end()
         assert "".join(parts) == text
-    d = bpe.StreamDecoder(tokens)
+    d = bpe.StreamDecoder(vocabulary)
     d.feed(library.encode_ordinary("😀")[:1])
     with pytest.raises(ValueError):
         d.end()
 
 
+def test_automaton_accepts_what_python_decodes():
+    moves, held = bpe._utf8_moves()
+    r = random.Random(12)
+    pool = [0x00, 0x41, 0x7F, 0x80, 0x8F, 0x90, 0x9F, 0xA0, 0xBF, 0xC0, 0xC1, 0xC2, 0xDF, 0xE0, 0xE1, 0xED, 0xEE, 0xEF, 0xF0, 0xF1, 0xF4, 0xF5, 0xFF]
+    for _ in range(60_000):
+        data, state = bytes(r.choice(pool) for _ in range(r.randint(1, 5))), 0
+        for byte in data:
+            state = moves[state].get(byte, -1)
+            if state < 0:
+                break
+        try:
+            data.decode()
+            good = True
+        except UnicodeDecodeError:
+            good = False
+        assert (state == 0) == good, data
+    assert max(held) == 3
+
+
+def test_ids_that_are_no_text_are_an_error(coder):
+    library, tokens, _ = coder
+    vocabulary = bpe.Vocabulary(tokens)
+    half, letter = tokens.index(b"\xf0"), tokens.index(b"a")
+    for ids in ([half, letter], [letter, tokens.index(b"\x80")], [half, half]):
+        with pytest.raises(ValueError):
+            bpe.StreamDecoder(vocabulary).feed(ids)
+    d = bpe.StreamDecoder(vocabulary)
+    d.feed([letter, half])
+    with pytest.raises(ValueError):
+        d.feed([letter])
+
+
+def test_lookahead_is_bounded(coder):
+    """However long a run, no byte waits longer than the longest token for its token to be settled."""
+    library, tokens, _ = coder
+    transducer, longest = bpe.Transducer(tokens), max(map(len, tokens))
+    r = random.Random(2)
+    for piece in (b" " * 2000, b"a" * 2000, b"ab" * 1000, b"=" * 2000, b"the" * 700, b"-" * 2000, b"0" * 2000, "é".encode() * 900, bytes(r.choice(b"aeinrst") for _ in range(3000))):
+        done, ids = 0, b""
+        for read, out in enumerate(transducer.steps(piece)):
+            assert read - done <= longest
+            ids += out
+            done += sum(len(tokens[int.from_bytes(out[i : i + 4], "little")]) for i in range(0, len(out), 4))
+        assert done == len(piece) and np.frombuffer(ids, "<u4").tolist() == library._encode_single_piece(piece)
+
+
 # --- personal data ---
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
