@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import posixpath
 import tempfile
 from collections.abc import Callable
 from typing import TypeVar
@@ -13,8 +16,8 @@ from nomograph.session import ship
 
 #: The bytes 0x09-0x0D and 0x20 separate words. bytes.split() without arguments splits on exactly these.
 SPACE = " \t\n\x0b\x0c\r"
-#: Rows in an Arrow batch. Texts can be long, so a batch holds far fewer rows than Spark's default.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch. Texts can be long, so a batch holds far less than Spark's default. A longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,15 +25,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set, as in local tests."""
+    """The cluster's shared folder. Only where driver and executors are one process, a temporary one may stand in for it."""
     sc = spark.sparkContext
     known = sc.getCheckpointDir()
     if known is None:
-        known = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="nomograph-")
+        known = spark.conf.get("spark.checkpoint.dir", None)
+        if known is None:
+            if sc.master.split("[")[0] != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            known = tempfile.mkdtemp(prefix="nomograph-")
         sc.setCheckpointDir(known)
     return known
 
 
+def folder_in(spark: SparkSession, *parts: str) -> str:
+    """A path in the shared folder."""
+    return posixpath.join(checkpoint_dir(spark), *parts)
+
+
+def _at(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    system, path = _at(spark, folder)
+    return system.exists(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    system, path = _at(spark, folder)
+    system.delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder and returns it without its lineage."""
     checkpoint_dir(df.sparkSession)
@@ -38,10 +65,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Before Python runs on executors: gives them this package, and bounds a worker's memory by fewer rows of long text in each Arrow batch."""
+    """Before Python runs on executors: gives them this package, and bounds a worker's memory by smaller Arrow batches. The
+    settings stay with the session, as a plan reads them when it runs; they lower larger values only, and change no result."""
     ship(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 Table = TypeVar("Table")
@@ -51,14 +82,21 @@ _kept: dict[str, object] = {}
 def worker_table(name: str, make: Callable[[], Table]) -> Table:
     """A table that a worker process keeps between tasks. It keeps one, so that operators in turn don't add up."""
     if name not in _kept:
-        _kept.clear()
+        no_table()
         _kept[name] = make()
     return _kept[name]  # type: ignore[return-value]
 
 
 def no_table() -> None:
-    """For operators without a table: lets go of another's."""
+    """For operators without a table: lets go of another's, and gives its memory back to the system."""
+    if not _kept:
+        return
     _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from nomograph.llm.boosting import BoostedTrees
-from nomograph.llm.common import pick, small_batches, table
+from nomograph.llm.common import no_table, pick, small_batches, table
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "ssn", "iban")
@@ -228,6 +228,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         for batch in batches:
             counts, digests, joined = [], [], []
             for base, spans in find_all([t or "" for t in batch.column(1).to_pylist()], shared.value):

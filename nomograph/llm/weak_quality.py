@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import pick, small_batches, table, utf8
+from nomograph.llm.common import no_table, pick, small_batches, table, utf8
 from nomograph.llm.rules import SYMBOLS, Text
 
 #: Documents whose posteriors train the scorer, chosen by a hash of doc_id.
@@ -172,6 +172,7 @@ def learn(docs: DataFrame) -> tuple[LabelModel, np.ndarray]:
     rows = pick(docs, "doc_id", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         found: Counter = Counter()
         for batch in batches:
             found.update(pattern(Votes(x)) for x in utf8(batch.column(0)))
@@ -182,6 +183,7 @@ def learn(docs: DataFrame) -> tuple[LabelModel, np.ndarray]:
     share = min(1.0, TRAINING_ROWS / max(1, sum(counts.values())))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         for batch in batches:
             texts = [Votes(x) for x in utf8(batch.column(1))]
             both = [hashed(t) for t in texts]
@@ -289,6 +291,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame) -> Toxicity:
     rows = pick(docs, "doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "toxic", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         for batch in batches:
             texts = [Votes(x) for x in utf8(batch.column(3))]
             bare = [bare_words(t) for t in texts]
@@ -305,6 +308,7 @@ def score(docs: DataFrame, weights: np.ndarray, toxicity: Toxicity | None = None
     shared = docs.sparkSession.sparkContext.broadcast((weights, toxicity or Toxicity()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
         w, toxic = shared.value
         for batch in batches:
             scores, abuse = [], []
