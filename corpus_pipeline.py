@@ -14,7 +14,6 @@ Defined cases are those of the operators; an empty table passes through every st
 
 from __future__ import annotations
 
-import posixpath
 import uuid
 from collections.abc import Callable
 
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nomograph.llm import bpe, minhash, mixing, rules, secrets
-from nomograph.llm.common import checkpoint_dir
+from nomograph.llm.common import folder_in, remove
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,11 +59,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents; what each returns is written to the shared checkpoint folder and read again."""
-    folder = posixpath.join(checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
+    """Applies the stages to documents; what each returns is written to the shared checkpoint folder and read again. A
+    stage's rows are removed once the next stage's are written; the last stage's stay, as the result reads them."""
+    folder, before = folder_in(spark, f"pipeline-{uuid.uuid4().hex}"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         out = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.parquet(out), out
     return docs
