@@ -6,19 +6,22 @@ takes the pairs that the ledger lacks, scans one copy of each such blob, adds th
 and joins them back to every path (here: row) that holds the blob.
 
 Spans are code point offsets, end exclusive. Positions of all matches come from split(): the pieces between
-the matches and the matches themselves, in turn, make up the text, so a running sum of lengths gives offsets.
+the matches and the matches themselves, in turn, make up the text, so a running sum of lengths gives offsets. The sum
+is a window over a text's matches (rows of a few numbers), so that a text with very many takes no longer for each.
 
 Defined cases: a null text counts as empty; repeated rows each get the findings; an empty table gives an
-empty result; a text of any length is scanned whole; other columns are ignored by findings_of and passed
-through by redact.
+empty result; a text of any length, with any number of matches, is scanned whole in time proportional to both; other
+columns are ignored by findings_of and passed through by redact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import checkpoint_dir, cut, pick, table
+from nomograph.llm.common import checkpoint_dir, cut, exists, folder_in, pick, table
 
 #: kind -> (pattern, a quick test without which the pattern can't match, least length of the group or match, group).
 #: Run lengths are in the pattern where the whole run is the match; assign drops short values after matching.
@@ -31,12 +34,21 @@ RULES: dict[str, tuple[str, str, int, int]] = {
     "chat": (r"xox[abprs]-[A-Za-z0-9-]{10,}", r"xox[abprs]-", 0, 0),
     "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", r"eyJ[A-Za-z0-9_-]{8}", 0, 0),
 }
+#: The same matches by a pattern that reads a run once: (pattern, least length of the group, group). A plain one would start
+#: anew at each eyJ of a run; only the first can match, so the second branch takes the rest of the run, and its group is empty.
+LINEAR: dict[str, tuple[str, int, int]] = {"jwt": (r"(eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)|eyJ[A-Za-z0-9_-]*+", 1, 1)}
 BASE = ("assign", "access", "hex")
 #: Names the rules above in the ledger; a change of rules takes a new version, and old blobs are scanned again.
-RULE_VERSION = "1"
-#: Tables of blobs are broadcast up to this many rows, each of some hundred bytes.
+RULE_VERSION = "1.1"
+#: The session's setting that names a ledger to keep between runs. Without it a run's ledger is its own.
+LEDGER = "spark.nomograph.ledger"
+#: Findings are broadcast up to so many spans (each under a hundred bytes); beyond, rows are joined by blob and salt.
+BROADCAST_SPANS = 20_000
+SALTS = 8
+#: Rows of blobs are broadcast up to this many, each of some hundred bytes.
 BROADCAST_ROWS = 20_000
-SPAN = "array<struct<s:int,rank:int,kind:string,e:int>>"
+#: s and e: code points; start and end: the same in bytes; at: the greatest end, in bytes, of the spans before.
+SPAN = "array<struct<s:int,rank:int,kind:string,e:int,start:int,end:int,at:int>>"
 FOUND = f"blob string, rule_version string, spans {SPAN}"
 
 
@@ -44,49 +56,59 @@ def _none() -> Column:
     return F.array().cast(SPAN)
 
 
-def _spans(text: Column, rank: int, kind: str) -> Column:
+def _steps(text: Column, kind: str) -> Column:
+    """For each match of the kind's pattern the piece before it, the match and its group, as lengths; null without a match."""
     pattern, quick, least, group = RULES[kind]
-    lit = F.lit(pattern)
-    hits = F.regexp_extract_all(text, lit, F.lit(0))
-    pieces = F.transform(F.split(text, pattern, -1), F.length)
-    sizes = F.transform(hits, F.length)
-    kept = F.transform(F.regexp_extract_all(text, lit, F.lit(group)), F.length) if group else sizes
-    step = F.arrays_zip(pieces, sizes, kept).cast("array<struct<p:int,m:int,k:int>>")
-    zero = F.struct(F.lit(0).alias("at"), _none().alias("out"))
-
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["p"]
-        end = start + F.coalesce(x["m"], F.lit(0))
-        span = F.struct(start.alias("s"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("e"))
-        good = x["m"].isNotNull() & (x["k"] >= least)
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    return F.when(text.rlike(quick), F.aggregate(step, zero, add)["out"])
+    pattern, least, group = LINEAR.get(kind, (pattern, least, group))
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.transform(F.split(text, pattern, -1), lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("bytes")))
+    sizes = F.transform(hits, lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("bytes")))
+    kept = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda x: F.length(x) >= least) if group else F.transform(hits, lambda x: F.length(x) >= least)
+    return F.when(text.rlike(quick), F.arrays_zip(pieces.alias("piece"), sizes.alias("hit"), kept.alias("good")))
 
 
 def scan(blobs: DataFrame) -> DataFrame:
-    """blobs: blob, text. The findings of each, one column of sorted spans."""
-    text = F.col("text")
-    all_kinds = F.concat(*[F.coalesce(_spans(text, i, k), _none()) for i, k in enumerate(RULES)])
-    return blobs.select("blob", F.lit(RULE_VERSION).alias("rule_version"), F.array_sort(all_kinds).alias("spans"))
+    """blobs: blob, text. blob and spans, sorted, of the blobs with findings. Rows of one blob must agree."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(kind).alias("kind"), _steps(F.col("text"), kind).alias("steps")) for k, kind in enumerate(RULES)])
+    # outer, and filtered afterwards: a filter before it would evaluate the patterns twice
+    rows = blobs.select("blob", F.explode_outer(kinds).alias("k")).select("blob", "k.*").where(F.col("steps").isNotNull())
+    one = rows.repartition("blob").groupBy("blob", "rank", "kind").agg(F.any_value("steps").alias("steps"))
+    each = one.select("blob", "rank", "kind", F.posexplode("steps").alias("i", "x")).where(F.col("x.hit").isNotNull())
+    upto = Window.partitionBy("blob", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    ends = [F.sum(F.col(f"x.piece.{n}") + F.col(f"x.hit.{n}")).over(upto).cast("int").alias(name) for n, name in (("n", "e"), ("bytes", "end"))]
+    placed = each.select("blob", "rank", "kind", "x", *ends).where("x.good")
+    placed = placed.select("blob", (F.col("e") - F.col("x.hit.n")).alias("s"), "rank", "kind", "e", (F.col("end") - F.col("x.hit.bytes")).alias("start"), "end")
+    before = Window.partitionBy("blob").orderBy("s", "rank").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("at", F.coalesce(F.max("end").over(before), F.lit(0)))
+    return placed.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("s", "rank", "kind", "e", "start", "end", "at"))).cast(SPAN).alias("spans"))
 
 
 def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+def found_in(rows: DataFrame, found: DataFrame, key: Column) -> DataFrame:
+    """rows with the _spans of their blob, key; null without. found: blob, spans, one row for each blob; checkpointed. A blob may hold any share of the rows."""
+    found = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    if (found.agg(F.sum(F.size("_spans"))).first()[0] or 0) <= BROADCAST_SPANS:
+        return rows.join(F.broadcast(found), key == F.col("_blob"), "left").drop("_blob")
+    salted = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")  # any salt of a row gives the same result
+    return rows.withColumn("_own", salt).join(salted, (key == F.col("_blob")) & (F.col("_own") == F.col("_salt")), "left").drop("_blob", "_salt", "_own")
+
+
 def findings_of(versions: DataFrame, ledger: str | None = None) -> DataFrame:
     """versions: doc_id, text, one row for each path or historical version. doc_id, blob, spans of every row.
 
-    ledger: a folder of findings (Parquet), read if it exists and extended by what this call scans; None
-    keeps this call's ledger in the checkpoint folder only. Rows without text match only carry their blob:
-    texts are shuffled once, to meet one copy of each unseen blob."""
+    ledger: a folder of findings (Parquet), read if it exists and extended by what this call scans; None stands for the
+    session's setting LEDGER, and without that for a new folder in the shared one. Rows without text match only carry
+    their blob: texts are shuffled once, to meet one copy of each unseen blob."""
     spark = versions.sparkSession
+    ledger = ledger or spark.conf.get(LEDGER, None) or folder_in(spark, f"ledger-{uuid.uuid4().hex}")
     rows = pick(versions, "doc_id", "text")
     paths = rows.select("doc_id", blob_of(F.col("text")).alias("blob"))
     unseen = paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id"))
-    seen = None
-    if ledger is not None and _exists(spark, ledger):
+    if exists(spark, ledger):
         seen = spark.read.schema(FOUND).parquet(ledger).where(F.col("rule_version") == RULE_VERSION)
         unseen = unseen.join(seen.select("blob"), "blob", "left_anti")
     unseen = cut(unseen.withColumnRenamed("doc_id", "_doc").withColumnRenamed("blob", "_blob"))
@@ -97,19 +119,12 @@ def findings_of(versions: DataFrame, ledger: str | None = None) -> DataFrame:
         .join(F.broadcast(unseen) if small else unseen.hint("shuffle_hash"), (F.col("blob") == F.col("_blob")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
         .select("blob", "text")
     )
-    fresh = scan(one_copy)
-    if ledger is None:
-        found = cut(fresh.where(F.size("spans") > 0))
-    else:
-        fresh.write.mode("append").parquet(ledger)
-        found = spark.read.schema(FOUND).parquet(ledger).where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0))
-    found = found.select("blob", "spans").dropDuplicates(["blob"])  # one doc_id's repeated rows are scanned alike
-    return paths.join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", _none()).alias("spans"))
-
-
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    fresh = cut(scan(one_copy))
+    entries = found_in(unseen.select(F.col("_blob").alias("blob")), fresh, F.col("blob"))
+    entries.select("blob", F.lit(RULE_VERSION).alias("rule_version"), F.coalesce("_spans", _none()).alias("spans")).write.mode("append").parquet(ledger)
+    found = spark.read.schema(FOUND).parquet(ledger).where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0))
+    found = cut(found.select("blob", "spans").dropDuplicates(["blob"]))  # two runs at once may have scanned the same blob
+    return found_in(paths, found, F.col("blob")).select("doc_id", "blob", F.coalesce("_spans", _none()).alias("spans"))
 
 
 def _joined(spans: Column) -> Column:
@@ -125,20 +140,20 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     """docs with every finding replaced by <kind>; overlapping findings merge under the first one's kind. All rows
-    and columns stay. Blobs with findings are broadcast while they are few, else joined by shuffle."""
-    found = cut(findings_of(docs, ledger).where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"]))
-    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
-    row = F.col("_row")  # a document's own columns, whatever their names
-    text, zero = row["text"], F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def add(acc: Column, x: Column) -> Column:
-        put = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit("<"), x["kind"], F.lit(">"))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], put).otherwise(acc["out"]).alias("out"))
-
-    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    new = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", zero, add, rest))
+    and columns stay. Texts are cut by bytes, each byte once."""
+    found = cut(findings_of(docs, ledger).where(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"]))
+    row, spans = F.col("_row"), F.col("_spans")  # a document's own columns, whatever their names
+
+    def without(data: Column) -> Column:
+        part = lambda start, end: F.substring(data, start + 1, end - start).cast("string")
+        heads = F.transform(F.filter(spans, lambda x: x["start"] >= x["at"]), lambda x: F.concat(part(x["at"], x["start"]), F.lit("<"), x["kind"], F.lit(">")))
+        last = F.array_max(F.transform(spans, lambda x: x["end"]))
+        return F.concat(F.array_join(heads, ""), part(last, F.octet_length(data)))
+
+    data = F.transform(F.array(row["text"].cast("binary")), without)  # the text's bytes are made once
+    new = F.when(spans.isNull(), row["text"]).otherwise(F.get(data, F.lit(0)))
     own = [(new if c == "text" else row[c]).alias(c) for c in docs.columns]
-    return docs.select(F.struct("*").alias("_row")).join(found, blob_of(text) == F.col("_blob"), "left").select(*own)
+    return found_in(docs.select(F.struct("*").alias("_row")), found, blob_of(row["text"])).select(*own)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -270,6 +270,48 @@ def test_redaction(spark):
     assert secrets.digest(secrets.findings_of(out)).where("n_assign + n_access + n_hex > 0").count() == 0
 
 
+def test_a_second_run_with_the_ledger_set_scans_nothing(spark, tmp_path, monkeypatch):
+    plain, scanned = secrets.scan, []
+    monkeypatch.setattr(secrets, "scan", lambda blobs: scanned.append(blobs.count()) or plain(blobs))
+    spark.conf.set(secrets.LEDGER, str(tmp_path / "kept"))
+    try:
+        runs = [sorted(map(tuple, QUERIES["op10_secret_scan"](spark, DATA).collect())) for _ in range(2)]
+    finally:
+        spark.conf.unset(secrets.LEDGER)
+    assert runs[0] == runs[1] and scanned[0] > 0 and scanned[1] == 0
+
+
+def test_secret_scans_take_linear_time(spark):
+    """Runs in which a match could start anywhere, and texts of very many matches, found and redacted."""
+    import time
+
+    many = "é token=abcdefgh%d " + "x" * 3
+    texts = ["eyJ" * 350_000, "eyJabcdefgh." * 90_000, "xoxb-" * 200_000, "-----BEGIN " * 90_000, "AKIA" * 250_000, "0123456789abcdef" * 60_000, "token" + " " * 1_000_000, "".join(many % i for i in range(100_000))]
+    docs = documents(spark, list(enumerate(texts)))
+    began = time.perf_counter()
+    spans = {r.doc_id: len(r.spans) for r in secrets.findings_of(docs).select("doc_id", "spans").collect()}
+    redacted = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert time.perf_counter() - began < 60
+    assert [spans[k] for k in range(8)] == [0, 30_000, 1, 0, 1, 1, 0, 100_000]
+    assert redacted[7] == "é <assign> xxx" * 100_000 and redacted[1] == ("<jwt>." * 30_000) and redacted[0] == texts[0]
+
+
+def test_web_tokens_by_the_plain_pattern(spark):
+    r, parts = random.Random(4), ["eyJ", "abcdefgh", ".", "..", "A-_z", " ", "é", "eyJabcdefgh.abcdefgh.abcdefgh"]
+    docs = [(i, "".join(r.choice(parts) for _ in range(r.randint(1, 14)))) for i in range(600)]
+    plain = re.compile(secrets.RULES["jwt"][0])
+    got = {x.doc_id: [(s.s, s.e) for s in x.spans if s.kind == "jwt"] for x in secrets.findings_of(documents(spark, docs)).collect()}
+    assert got == {i: [m.span() for m in plain.finditer(t)] for i, t in docs} and sum(map(len, got.values())) > 50
+
+
+def test_findings_meet_a_hot_blob_by_salt(spark, monkeypatch):
+    docs = documents(spark, [(i, "password=hunter2hunter2" if i % 3 else f"token: abcdefgh{i}") for i in range(300)] + [(None, None)])
+    plain = sorted(map(str, secrets.findings_of(docs).collect()))
+    monkeypatch.setattr(secrets, "BROADCAST_SPANS", 0)
+    assert sorted(map(str, secrets.findings_of(docs).collect())) == plain
+    assert secrets.redact(docs).where("text = '<assign>'").count() == 300
+
+
 def test_secrets_stay_in_the_jvm(spark):
     plan = secrets.digest(secrets.findings_of(documents(spark, awkward())))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
