@@ -17,6 +17,7 @@ columns are ignored by findings_of and passed through by redact.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -67,11 +68,16 @@ def _steps(text: Column, kind: str) -> Column:
     return F.when(text.rlike(quick), F.arrays_zip(pieces.alias("piece"), sizes.alias("hit"), kept.alias("good")))
 
 
+def likely(text: Column) -> Column:
+    """False only for texts without findings."""
+    return reduce(Column.__or__, [text.rlike(quick) for _, quick, _, _ in RULES.values()])
+
+
 def scan(blobs: DataFrame) -> DataFrame:
     """blobs: blob, text. blob and spans, sorted, of the blobs with findings. Rows of one blob must agree."""
     kinds = F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(kind).alias("kind"), _steps(F.col("text"), kind).alias("steps")) for k, kind in enumerate(RULES)])
     # outer, and filtered afterwards: a filter before it would evaluate the patterns twice
-    rows = blobs.select("blob", F.explode_outer(kinds).alias("k")).select("blob", "k.*").where(F.col("steps").isNotNull())
+    rows = blobs.where(likely(F.col("text"))).select("blob", F.explode_outer(kinds).alias("k")).select("blob", "k.*").where(F.col("steps").isNotNull())
     one = rows.repartition("blob").groupBy("blob", "rank", "kind").agg(F.any_value("steps").alias("steps"))
     each = one.select("blob", "rank", "kind", F.posexplode("steps").alias("i", "x")).where(F.col("x.hit").isNotNull())
     upto = Window.partitionBy("blob", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
@@ -101,14 +107,15 @@ def findings_of(versions: DataFrame, ledger: str | None = None) -> DataFrame:
     """versions: doc_id, text, one row for each path or historical version. doc_id, blob, spans of every row.
 
     ledger: a folder of findings (Parquet), read if it exists and extended by what this call scans; None stands for the
-    session's setting LEDGER, and without that for a new folder in the shared one. Rows without text match only carry
-    their blob: texts are shuffled once, to meet one copy of each unseen blob."""
+    session's setting LEDGER, and without that for a new folder in the shared one. Texts of unseen blobs are shuffled once,
+    to meet one copy of each; in a first scan, where all are unseen, only those that a quick test lets pass."""
     spark = versions.sparkSession
     ledger = ledger or spark.conf.get(LEDGER, None) or folder_in(spark, f"ledger-{uuid.uuid4().hex}")
     rows = pick(versions, "doc_id", "text")
     paths = rows.select("doc_id", blob_of(F.col("text")).alias("blob"))
     unseen = paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id"))
-    if exists(spark, ledger):
+    known = exists(spark, ledger)
+    if known:
         seen = spark.read.schema(FOUND).parquet(ledger).where(F.col("rule_version") == RULE_VERSION)
         unseen = unseen.join(seen.select("blob"), "blob", "left_anti")
     unseen = cut(unseen.withColumnRenamed("doc_id", "_doc").withColumnRenamed("blob", "_blob"))
@@ -119,6 +126,8 @@ def findings_of(versions: DataFrame, ledger: str | None = None) -> DataFrame:
         .join(F.broadcast(unseen) if small else unseen.hint("shuffle_hash"), (F.col("blob") == F.col("_blob")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
         .select("blob", "text")
     )
+    if known:  # the scan's quick test stays behind the join, so that seen texts aren't read by patterns; in a first scan it goes before it
+        one_copy = one_copy.withColumn("_n", F.monotonically_increasing_id()).where("_n >= 0").drop("_n")
     fresh = cut(scan(one_copy))
     entries = found_in(unseen.select(F.col("_blob").alias("blob")), fresh, F.col("blob"))
     entries.select("blob", F.lit(RULE_VERSION).alias("rule_version"), F.coalesce("_spans", _none()).alias("spans")).write.mode("append").parquet(ledger)
