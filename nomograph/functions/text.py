@@ -18,6 +18,15 @@ def _group(text: Column, pattern: str, group: int = 1) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
 
 
+#: White space as readers of the web trim it: the ASCII kinds, no-break spaces, every space separator, line separators.
+BLANK = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+
+
+def strip(text: Column) -> Column:
+    """The text without white space of any kind at its ends."""
+    return F.regexp_replace(F.regexp_replace(text, f"^{BLANK}+", ""), f"(?<!{BLANK}){BLANK}+$", "")
+
+
 def _let(value: Column, f: Callable[[Column], Column]) -> Column:
     """f of a value that is computed once, however often f uses it."""
     return F.get(F.transform(F.array(value), f), 0)
@@ -111,7 +120,7 @@ def case_title(title: Column) -> Column:
     def last_of(s: Column) -> Column:
         return F.array_max(F.transform(s, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
 
-    parts = F.transform(F.split(title, "#", -1), lambda x: F.trim(x))
+    parts = F.transform(F.split(title, "#", -1), strip)
     return F.when(F.contains(title, F.lit("#")), _let(parts, lambda s: _let(last_of(s), lambda last: fields(s, last))))
 
 

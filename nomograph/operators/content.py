@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nomograph.functions import text
 from nomograph.functions.dims import LANGUAGES, MEDIA_TYPES
 from nomograph.plans.errors import RequestError
 from nomograph.plans.requests import WINDOW
@@ -18,7 +19,7 @@ HEAD = 4096
 
 
 def usable(body: Column) -> Column:
-    return F.length(F.trim(body)) >= LEAST_BODY
+    return F.length(text.strip(body)) >= LEAST_BODY
 
 
 def challenged(body: Column) -> Column:
@@ -61,10 +62,10 @@ def part_urls(index: Column) -> Column:
 
 def assemble(parts: DataFrame, root: str = "documents") -> DataFrame:
     """parts: doc, seq, body (null: not available). One document of the parts in order, without their prologs, under one root; null unless every part is there."""
-    clean = F.trim(F.regexp_replace("body", r"^\s*<\?xml[^>]*\?>\s*|<!DOCTYPE[^>]*>\s*", ""))
+    clean = text.strip(F.regexp_replace("body", r"^\s*<\?xml[^>]*\?>\s*|<!DOCTYPE[^>]*>\s*", ""))
     whole = parts.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("seq", clean.alias("body")))).alias("p"), F.bool_and(F.col("body").isNotNull()).alias("complete"), F.count("*").alias("n_parts"))
-    text = F.array_join(F.transform("p", lambda x: x["body"]), "\n")
-    return whole.select("doc", "n_parts", F.when(F.col("complete"), F.concat(F.lit(f"<{root}>\n"), text, F.lit(f"\n</{root}>"))).alias("body"))
+    joined = F.array_join(F.transform("p", lambda x: x["body"]), "\n")
+    return whole.select("doc", "n_parts", F.when(F.col("complete"), F.concat(F.lit(f"<{root}>\n"), joined, F.lit(f"\n</{root}>"))).alias("body"))
 
 
 def window(df: DataFrame, body: str = "content", offset: int = 0, limit: int = WINDOW) -> DataFrame:
@@ -75,10 +76,13 @@ def window(df: DataFrame, body: str = "content", offset: int = 0, limit: int = W
     return df.withColumns({"content_offset": start, "window": part, "content_chars_returned": F.length(part), "content_chars_total": total, "has_more": start + F.length(part) < total})
 
 
+def is_challenged(corpus: Corpus, celex: str) -> bool:
+    return not corpus["contents"].where((F.col("celex") == celex) & challenged(F.col("body"))).isEmpty()
+
+
 def fetch(corpus: Corpus, celex: str, language: str = "EN", fmt: str = "html") -> dict[str, object]:
     """The eager form for one document. A stored challenge is an error, an absent body is not."""
     wanted = corpus.spark.createDataFrame([(celex, language)], "celex string, requested string")
-    mine = corpus["contents"].where(F.col("celex") == celex)
-    if not mine.where(challenged(F.col("body"))).isEmpty():
+    if is_challenged(corpus, celex):
         raise RequestError("challenge", f"The body of {celex} can't be used.")
-    return in_language(mine, wanted, fmt).first().asDict()
+    return in_language(corpus["contents"].where(F.col("celex") == celex), wanted, fmt).first().asDict()

@@ -1,20 +1,15 @@
 """The outline of acts: headings with their offsets, and the sections that a reader selects.
 
-Over tables of lines the outline is a plan of expressions and windows within each document. For single bodies, and for
-the XML notation, whose headings can start anywhere in a line, the same rules run as plain functions.
+Everything is a plan of expressions and windows within each document, over tables of bodies; a single body is a table of
+one row. Rendered text is read by lines, the XML notation by its tags. Offsets count code points.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nomograph.functions import text
-from nomograph.session import ship
 
 # Nesting ranks and the forms of headings, which stand alone on a line.
 RANKS = {"chapter": 1, "annex": 1, "section": 2, "article": 3, "recital": 4}
@@ -29,6 +24,11 @@ LABELS = {"article": "Article", "chapter": "CHAPTER", "section": "Section", "ann
 LONGEST_TITLE = 200
 
 
+def lines_of(bodies: DataFrame) -> DataFrame:
+    """bodies: doc_id, body. doc_id, line_no, line of every line."""
+    return bodies.select("doc_id", F.posexplode(F.split("body", "\n", -1)).alias("line_no", "line"))
+
+
 def outline_lines(lines: DataFrame) -> DataFrame:
     """lines: doc_id, line_no, line. The headings of each document: kind, number, label, title and offset (in code points).
 
@@ -76,116 +76,118 @@ def sections(headings: DataFrame, requests: DataFrame) -> DataFrame:
     return requests.join(first, ["doc_id", "ordinal"], "left").select("doc_id", "ordinal", "kind", "token", F.col("s.label").alias("matched"), F.col("s.offset").alias("start"), F.col("s.end").alias("end"))
 
 
-# The same rules for single bodies.
-_TAG, _SPACE = re.compile(r"<[^>]*>"), re.compile(r"\s+")
+#: Elements of the XML notation that make up headings: an article's name and its title, a division's name and its title, a recital's number.
+ELEMENTS = ("TI.ART", "STI.ART", "TI", "STI", "NO.P")
+DIVISION = r"(?i)^(CHAPTER|SECTION)\s+([IVXLCDM0-9]+)"
+_TAG = r"</?[A-Za-z][^<>]*>"
+
+
+def tags_of(bodies: DataFrame) -> DataFrame:
+    """bodies: doc_id, body. Every tag in order: doc_id, i, tag (its name in capitals, with the slash of an end tag; null for one with attributes), offset, and after, the text up to the next tag."""
+    tags, pieces = F.regexp_extract_all("body", F.lit(_TAG), F.lit(0)), F.split("body", _TAG, -1)
+    pairs = F.zip_with(tags, F.slice(pieces, 2, F.greatest(F.size(tags), F.lit(1))), lambda t, x: F.struct(t.alias("t"), x.alias("after")))
+    each = bodies.select("doc_id", F.length(F.get(pieces, F.lit(0))).alias("lead"), F.posexplode(pairs).alias("i", "x"))
+    before = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    passed = F.coalesce(F.sum(F.length("x.t") + F.length("x.after")).over(before), F.lit(0))
+    name = F.when(F.col("x.t").rlike(r"^</?[^\s<>/]+>$"), F.upper(F.regexp_replace("x.t", "[<>]", "")))
+    return each.select("doc_id", "i", name.alias("tag"), (F.col("lead") + passed).cast("long").alias("offset"), "x.after")
+
+
+def outline_xml(bodies: DataFrame) -> DataFrame:
+    """bodies: doc_id, body. The headings of acts in XML, as outline_lines gives them. A title is the title element that stands right after the name; recitals count before the first article only; annexes have no element."""
+    by_tag = Window.partitionBy("doc_id").orderBy("i")
+    tags = tags_of(bodies).withColumn("opens", F.coalesce(F.col("tag").isin(list(ELEMENTS)), F.lit(False)))
+    tags = tags.withColumn("element", F.sum(F.col("opens").cast("int")).over(by_tag.rowsBetween(Window.unboundedPreceding, 0))).where("element > 0")
+    within = Window.partitionBy("doc_id", "element").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    name = F.first("tag").over(within)
+    tags = tags.withColumn("name", name).withColumn("ended", F.coalesce(F.max(F.col("tag") == F.concat(F.lit("/"), F.col("name"))).over(within), F.lit(False)))
+    inside = F.transform(F.array_sort(F.collect_list(F.when(~F.col("ended"), F.struct("i", "after")))), lambda x: x["after"])
+    beyond = F.count_if(F.col("ended"))  # the end tag, and whatever else stands before the next element
+    parts = tags.groupBy("doc_id", "element").agg(
+        F.first("name").alias("name"), F.min("offset").alias("offset"), text.visible(F.array_join(inside, " ")).alias("v"), beyond.alias("beyond"), F.max(F.when(F.col("ended"), text.strip(F.col("after")) != "")).alias("words")
+    )
+    by_element = Window.partitionBy("doc_id").orderBy("element")
+    following = F.lead(F.struct("name", "v")).over(by_element)
+    touching = (F.col("beyond") == 1) & ~F.col("words")
+    parts = parts.where("beyond > 0").withColumn("next", F.when(touching, following))
+    subtitle = F.when(F.col("next.name") == F.concat(F.lit("S"), F.col("name")), F.nullif(F.col("next.v"), F.lit("")))
+    article, division = F.col("name") == "TI.ART", (F.col("name") == "TI") & F.col("v").rlike(DIVISION)
+    first = F.min(F.when(article, F.col("offset"))).over(Window.partitionBy("doc_id"))
+    parts = parts.withColumn("title", subtitle).withColumn("first", F.coalesce(first, F.lit(2**62)))
+    recital = (F.col("name") == "NO.P") & F.col("v").rlike(r"^\(\d+\)$") & (F.col("offset") < F.col("first"))
+    kind = F.when(article, "article").when(division, F.lower(F.regexp_extract("v", DIVISION, 1))).when(recital, "recital")
+    number = F.when(article, F.upper(F.regexp_extract("v", r"\d+[a-z]?", 0))).when(division, F.upper(F.regexp_extract("v", DIVISION, 2))).otherwise(F.regexp_extract("v", r"\d+", 0))
+    found = parts.select("doc_id", kind.alias("kind"), number.alias("number"), "v", "title", "offset").where(F.col("kind").isNotNull())
+    own = F.when(F.col("kind") == "article", F.nullif(F.col("v"), F.lit("")))
+    return found.select("doc_id", "kind", "number", F.coalesce(own, label(F.col("kind"), F.col("number"))).alias("label"), "title", "offset")
+
+
+def headings_of(bodies: DataFrame, fmt: str = "html") -> DataFrame:
+    """bodies: doc_id, body. The headings of each; none for a body without structure."""
+    return outline_xml(bodies) if fmt == "xml" else outline_lines(lines_of(bodies))
+
+
+OUTLINE = "array<struct<kind:string,number:string,label:string,title:string,offset:long>>"
 
 
-def visible(line: str) -> str:
-    line = _TAG.sub(" ", line)
-    for reference, char in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
-        line = re.sub(reference, char, line, flags=re.I)
-    return _SPACE.sub(" ", re.sub(r"&#(\d{1,7});", lambda m: chr(int(m[1])), line)).strip()
+def outlines(contents: DataFrame, fmt: str = "xml") -> DataFrame:
+    """contents: celex, body, one row for each CELEX. The outline of each body as an array, empty without structure."""
+    heads = headings_of(contents.select(F.col("celex").alias("doc_id"), "body"), fmt)
+    listed = heads.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("offset", "kind", "number", "label", "title"))).alias("h"))
+    ordered = F.transform("h", lambda x: F.struct(x["kind"].alias("kind"), x["number"].alias("number"), x["label"].alias("label"), x["title"].alias("title"), x["offset"].alias("offset")))
+    return contents.select("celex").join(listed.select(F.col("doc_id").alias("celex"), ordered.alias("outline")), "celex", "left").select("celex", F.coalesce("outline", F.array().cast(OUTLINE)).alias("outline"))
 
 
-def _heading(kind: str, number: str, title: str | None, offset: int) -> dict:
-    return {"kind": kind, "number": number, "label": " ".join(filter(None, (LABELS[kind], number))), "title": title, "offset": offset}
+SELECTORS = {"articles": "article", "chapters": "chapter", "recitals": "recital", "annexes": "annex"}
 
 
-def _structural(v: str) -> tuple[str, str, str | None] | None:
-    for kind, pattern in KINDS:
-        if m := re.match(pattern, v):
-            return kind, (m[1] or "").upper(), (m[2] or "").strip() or None if kind == "annex" else None
-    return None
+def tokens(selector: Column) -> Column:
+    """The numbers that a selector lists between commas, with or without the kind's name, in capitals."""
+    each = F.transform(F.split(F.coalesce(selector, F.lit("")), ","), lambda x: F.upper(F.regexp_replace(text.strip(x), r"(?i)^(article|chapter|section|annex|recital)\s+", "")))
+    return F.filter(each, lambda x: x != "")
 
 
-def outline(body: str, fmt: str = "html") -> list[dict]:
-    """A body's headings in order; empty if it has no structure."""
-    if fmt == "xml":
-        return _outline_xml(body)
-    found, offset, lines = [], 0, []
-    for line in body.split("\n"):
-        lines.append((offset, visible(line)))
-        offset += len(line) + 1
-    for i, (at, v) in enumerate(lines):
-        if hit := _structural(v):
-            kind, number, title = hit
-            if title is None:
-                after = next((w for _, w in lines[i + 1 :] if w), "")
-                title = after if after and len(after) <= LONGEST_TITLE and not _structural(after) else None
-            found.append(_heading(kind, number, title, at))
-    enacting = min((h["offset"] for h in found if h["kind"] != "annex"), default=None)
-    if enacting is not None:
-        found += [_heading("recital", m[1], None, at) for at, v in lines if at < enacting and (m := re.match(RECITAL, v))]
-    return sorted(found, key=lambda h: h["offset"])
-
-
-_XML_ARTICLE = re.compile(r"<TI\.ART>(.*?)</TI\.ART>(?:\s*<STI\.ART>(.*?)</STI\.ART>)?", re.I | re.S)
-_XML_DIVISION = re.compile(r"<TI>\s*<P>\s*((CHAPTER|SECTION)\s+([IVXLCDM0-9]+)).*?</P>\s*</TI>(?:\s*<STI>\s*<P>(.*?)</P>\s*</STI>)?", re.I | re.S)
-_XML_RECITAL = re.compile(r"<NO\.P>\s*\((\d+)\)\s*</NO\.P>", re.I)
-
-
-def _outline_xml(body: str) -> list[dict]:
-    found = []
-    for m in _XML_ARTICLE.finditer(body):
-        name = visible(m[1])
-        digits = re.search(r"\d+[a-z]?", name)
-        h = _heading("article", digits[0].upper() if digits else "", visible(m[2]) or None if m[2] else None, m.start())
-        found.append(h | {"label": name or h["label"]})
-    first = min((h["offset"] for h in found), default=len(body) + 1)
-    for m in _XML_DIVISION.finditer(body):
-        found.append(_heading(m[2].lower(), m[3].upper(), visible(m[4]) or None if m[4] else None, m.start()))
-    found += [_heading("recital", m[1], None, m.start()) for m in _XML_RECITAL.finditer(body) if m.start() < first]
-    return sorted(found, key=lambda h: h["offset"])
-
-
-OUTLINE = "array<struct<kind:string,number:string,label:string,title:string,offset:int>>"
+def asked(selectors: DataFrame) -> DataFrame:
+    """selectors: doc_id, and by kind articles, chapters, recitals, annexes. The requests of each document in this order: doc_id, ordinal, kind, token."""
+    both = [F.arrays_zip(F.transform(tokens(F.col(name)), lambda t: F.lit(kind)).alias("kind"), tokens(F.col(name)).alias("token")) for name, kind in SELECTORS.items()]  # noqa: B023  transform calls it at once
+    return selectors.select("doc_id", F.posexplode(F.concat(*both)).alias("ordinal", "r")).select("doc_id", "ordinal", "r.kind", "r.token")
 
 
-def outlines(contents: DataFrame, fmt: str = "xml") -> DataFrame:
-    """contents: celex, body. The outline of each body, in Arrow batches: positions inside lines need a scanner."""
-    ship(contents.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("number", pa.string()), ("label", pa.string()), ("title", pa.string()), ("offset", pa.int32())]))
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([outline(b or "", fmt) for b in batch.column(1).to_pylist()], kind)], ["celex", "outline"])
-
-    return contents.select("celex", "body").mapInArrow(run, f"celex string, outline {OUTLINE}")
+def selections(bodies: DataFrame, headings: DataFrame, requests: DataFrame) -> DataFrame:
+    """bodies: doc_id, body; headings and requests as for sections. For each document with requests: requested, matched (labels in
+    the document's order), missed, and the text of the matched sections in that order, each start once."""
+    found = sections(headings, requests).withColumn("asked_for", label(F.col("kind"), F.col("token")))
+    hit = F.when(F.col("start").isNotNull(), F.struct("start", "ordinal", "matched", "end"))
+    lists = found.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("ordinal", "asked_for"))).alias("requested"),
+        F.array_sort(F.collect_list(F.when(F.col("start").isNull(), F.struct("ordinal", "asked_for")))).alias("missed"),
+        F.array_sort(F.collect_list(hit)).alias("hits"),
+    )
+    starts = F.array_distinct(F.transform("hits", lambda h: h["start"]))
+    furthest = lambda a: F.array_max(F.transform(F.filter("hits", lambda h: h["start"] == a), lambda h: F.coalesce(h["end"].cast("long"), F.length("body").cast("long"))))
+    part = lambda a: text.strip(F.substring(F.col("body"), (a + 1).cast("int"), (furthest(a) - a).cast("int")))
+    names = lambda c: F.transform(c, lambda x: x["asked_for"])
+    return lists.join(bodies, "doc_id").select(
+        "doc_id", names("requested").alias("requested"), F.transform("hits", lambda h: h["matched"]).alias("matched"), names("missed").alias("missed"), F.array_join(F.transform(starts, part), "\n\n").alias("text")
+    )
 
 
-def roman(s: str) -> int | None:
-    if not re.fullmatch("[IVXLCDM]+", s):
-        return None
-    total = top = 0
-    for c in reversed(s):
-        v = text.ROMAN[c]
-        total, top = (total - v, top) if v < top else (total + v, v)
-    return total
+# Single bodies: tables of one row.
 
 
-def same_number(a: str, b: str) -> bool:
-    value = lambda s: r if (r := roman(s)) is not None else int(s) if re.fullmatch(r"\d+", s) else None
-    return a == b or value(a) is not None and value(a) == value(b)
+def _one(body: str) -> DataFrame:
+    return SparkSession.active().createDataFrame([(0, body)], "doc_id int, body string")
 
 
-def selector_tokens(raw: str | None) -> list[str]:
-    """Comma-separated numbers, with or without the kind's name, in capitals."""
-    parts = (re.sub(r"^(article|chapter|section|annex|recital)\s+", "", t.strip(), flags=re.I).upper() for t in (raw or "").split(","))
-    return [p for p in parts if p]
+def outline(body: str, fmt: str = "html") -> list[dict]:
+    """A body's headings in order; empty if it has no structure."""
+    return [r.asDict() for r in headings_of(_one(body), fmt).drop("doc_id").orderBy("offset").collect()]
 
 
 def select_sections(body: str, headings: list[dict], selectors: dict[str, str]) -> dict[str, object]:
-    """The text of the requested sections in the document's order, each start once; what matched, in that order, and what was missed."""
-    matched, missed, requested = [], [], []
-    for name, kind in (("articles", "article"), ("chapters", "chapter"), ("recitals", "recital"), ("annexes", "annex")):
-        for token in selector_tokens(selectors.get(name)):
-            requested.append(f"{LABELS[kind]} {token}")
-            at = next((i for i, h in enumerate(headings) if h["kind"] == kind and same_number(h["number"], token)), None)
-            if at is None:
-                missed.append(requested[-1])
-                continue
-            end = next((h["offset"] for h in headings[at + 1 :] if RANKS[h["kind"]] <= RANKS[kind]), len(body))
-            matched.append((headings[at]["offset"], end, headings[at]["label"]))
-    matched.sort(key=lambda m: m[0])
-    starts = dict(reversed([(a, body[a:b].strip()) for a, b, _ in matched]))
-    return {"requested": requested, "matched": [m for _, _, m in matched], "missed": missed, "text": "\n\n".join(starts[a] for a in sorted(starts))}
+    """The selection from one body with these headings."""
+    spark, one = SparkSession.active(), _one(body)
+    heads = spark.createDataFrame([(0, h["kind"], h["number"], h["label"], h["title"], h["offset"]) for h in headings], "doc_id int, kind string, number string, label string, title string, offset long")
+    wanted = asked(one.select("doc_id", *[F.lit(selectors.get(name)).cast("string").alias(name) for name in SELECTORS]))
+    row = selections(one, heads, wanted).drop("doc_id").first()
+    return row.asDict() if row else {"requested": [], "matched": [], "missed": [], "text": ""}
