@@ -5,9 +5,11 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from nomograph.plans.config import TIMEOUT_MS, entry_point
 from nomograph.plans.errors import RequestError
 from nomograph.plans.requests import CEILING
 from nomograph.sources.corpus import Corpus
@@ -17,8 +19,9 @@ READING = frozenset(
     "Aggregate AsOfJoin Distinct Except Expand Filter Generate GlobalLimit Intersect Join LateralJoin LocalLimit LocalRelation Offset OneRowRelation Pivot Project Range Sample Sort SubqueryAlias "
     "Tail Union UnresolvedHaving UnresolvedInlineTable UnresolvedRelation UnresolvedSubqueryColumnAliases UnresolvedTableValuedFunction UnresolvedTVFAliases UnresolvedWith Unpivot Window WithCTE WithWindowDefinition".split()
 )
+#: Functions that run any method of the JVM.
+CALLING = frozenset(("reflect", "java_method", "try_reflect"))
 LEAST_TEXT = 10
-TIMEOUT_MS = (1000, 55_000)
 
 
 def _parsed(spark: SparkSession, statement: str):
@@ -30,10 +33,23 @@ def _parsed(spark: SparkSession, statement: str):
 
 def _reads(plan) -> bool:
     """Whether the plan and all plans below it, those of WITH clauses included, only read."""
-    below = [seq.apply(i) for seq in (plan.children(), plan.innerChildren()) for i in range(seq.size())]
+    below = [*_seq(plan.children()), *_seq(plan.innerChildren())]
+    if any(_calls(e) for e in _seq(plan.expressions())):
+        return False
     return plan.nodeName() in READING and all(_reads(p) for p in below if "org.apache.spark.sql.catalyst.plans" in (name := p.getClass().getName()) or "analysis" in name)
 
 
+def _seq(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _calls(expression) -> bool:
+    """Whether the expression, or one below it, calls a function that may do anything."""
+    if expression.getClass().getSimpleName() == "UnresolvedFunction" and str(_seq(expression.nameParts())[-1]).lower() in CALLING:
+        return True
+    return any(_calls(e) for e in _seq(expression.children()))
+
+
 def read_only(spark: SparkSession, statement: str) -> bool:
     """Whether the statement parses to a query; raises query_error if it doesn't parse."""
     return _reads(_parsed(spark, statement))
@@ -67,9 +83,9 @@ def select(corpus: Corpus, statement: str, ceiling: int = CEILING) -> Bounded:
     # a session of its own: its views and its setting, which keeps statements from reading files by path, touch no other
     session = spark.newSession()
     session.conf.set("spark.sql.runSQLOnFiles", "false")
-    views = Corpus(session, corpus.folder)
-    for name in views.names:
-        views[name].createOrReplaceTempView(name)
+    of_rows = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows
+    for name in corpus.tables():
+        DataFrame(of_rows(session._jsparkSession, corpus[name]._jdf.queryExecution().analyzed()), session).createOrReplaceTempView(name)
     try:
         df = session.sql(statement)
         df.schema  # noqa: B018  analysis happens here
@@ -86,25 +102,30 @@ class Answer:
     truncated: bool
 
 
-def run(corpus: Corpus, statement: str, timeout_ms: int = TIMEOUT_MS[1], ceiling: int = CEILING) -> Answer:
-    """The eager form, with a time limit: the running job is cancelled."""
+@entry_point("adhoc")
+def run(corpus: Corpus, statement: str, timeout_ms: int | None = None, ceiling: int | None = None) -> Answer:
+    """The eager form, with a time limit: the running job is cancelled. Limits not given are those of the corpus's settings."""
+    timeout_ms = corpus.settings.timeout_ms if timeout_ms is None else timeout_ms
+    ceiling = corpus.settings.row_ceiling if ceiling is None else ceiling
     if not TIMEOUT_MS[0] <= timeout_ms <= TIMEOUT_MS[1]:
         raise RequestError("invalid_argument", f"The timeout must be from {TIMEOUT_MS[0]} to {TIMEOUT_MS[1]} ms.")
     bounded, sc = select(corpus, statement, ceiling), corpus.spark.sparkContext
-    tag, late = f"adhoc-{id(bounded)}", threading.Event()
+    tag, late, done = f"adhoc-{id(bounded)}", threading.Event(), threading.Event()
 
     def stop() -> None:
-        late.set()
-        sc.cancelJobsWithTag(tag)
+        if not done.wait(timeout_ms / 1000):
+            late.set()
+            sc.cancelJobsWithTag(tag)
+        while not done.wait(0.2):  # a job that starts only now, or a further one of the same query
+            sc.cancelJobsWithTag(tag)
 
-    timer = threading.Timer(timeout_ms / 1000, stop)
     sc.addJobTag(tag)
-    timer.start()
+    threading.Thread(target=stop, daemon=True).start()
     try:
         rows = bounded.df.collect()
-    except PySparkException as e:
+    except (PySparkException, Py4JError) as e:  # a cancelled job comes as the latter
         raise RequestError("query_timeout" if late.is_set() else "query_error", str(e).strip().splitlines()[0]) from None
     finally:
-        timer.cancel()
+        done.set()
         sc.removeJobTag(tag)
     return Answer(bounded.df.columns, rows, bounded.limit_enforced and len(rows) == ceiling)

@@ -2,32 +2,45 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nomograph.functions import dims
 from nomograph.operators import content, identify, markdown, relations, structure
+from nomograph.plans.config import entry_point
 from nomograph.plans.errors import RequestError
-from nomograph.plans.requests import DocumentRequest
+from nomograph.plans.requests import WINDOW, DocumentRequest, exactly_one
 from nomograph.sources.corpus import Corpus
 
 BASIS = dims.RELATIONS["legal_basis"][0]
 
 
+def _facts(corpus: Corpus) -> DataFrame:
+    """All that is told of works, one value a row: work_uri, tag, value."""
+    tables = {
+        "title": (corpus["expressions"].where(F.col("language_uri") == dims.ENGLISH), "work_uri", "title"),
+        "type": (corpus["work_types"], "work_uri", "type_uri"),
+        "author": (corpus["work_agents"], "work_uri", "agent_uri"),
+        "basis": (corpus["edges"].where(F.col("predicate") == BASIS), "src_uri", "dst_uri"),
+        "subject": (corpus["work_subjects"], "work_uri", "concept_uri"),
+    }
+    rows = [t.select(F.col(key).alias("work_uri"), F.lit(tag).alias("tag"), F.col(value).alias("value")) for tag, (t, key, value) in tables.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def metadata(corpus: Corpus, celexes: DataFrame) -> DataFrame:
-    """celexes: celex. Core fields and the sets of authors, legal bases and subjects of each. Every dimension is aggregated on its own before it is joined, so that none multiplies or crowds out another."""
+    """celexes: celex. Core fields and the whole sets of authors, legal bases and subjects of each. All facts are joined once, to the works, and aggregated by work and then by CELEX, so that none multiplies or crowds out another."""
     works = corpus["works"].join(celexes.distinct(), "celex", "left_semi").select("work_uri", "celex", "doc_date", "in_force")
-    titles = corpus["expressions"].where(F.col("language_uri") == dims.ENGLISH).groupBy("work_uri").agg(F.max("title").alias("title"))
-    types = corpus["work_types"].groupBy("work_uri").agg(F.min("type_uri").alias("type_uri"))
-    core = works.join(titles, "work_uri", "left").join(types, "work_uri", "left")
+    of = lambda tag: F.when(F.col("tag") == tag, F.col("value"))
+    each = works.join(_facts(corpus), "work_uri", "left").groupBy("work_uri", "celex", "doc_date", "in_force")
+    each = each.agg(F.max(of("title")).alias("title"), F.min(of("type")).alias("type_uri"), *[F.collect_set(of(t)).alias(t) for t in ("author", "basis", "subject")])
     # one work answers: of those with a title, the one of the least URI
-    core = core.groupBy("celex").agg(F.min(F.struct(F.col("title").isNull().alias("untitled"), "work_uri", "type_uri", "doc_date", "title", "in_force")).alias("c"))
-
-    def dimension(table: DataFrame, column: str, name: str) -> DataFrame:
-        return works.select("work_uri", "celex").join(table, "work_uri").groupBy("celex").agg(F.array_sort(F.collect_set(column)).alias(name))
-
-    bases = corpus["edges"].where(F.col("predicate") == BASIS).select(F.col("src_uri").alias("work_uri"), "dst_uri")
-    whole = core.join(dimension(corpus["work_agents"], "agent_uri", "authors"), "celex", "left").join(dimension(bases, "dst_uri", "legal_basis"), "celex", "left").join(dimension(corpus["work_subjects"], "concept_uri", "subjects"), "celex", "left")
+    answer = F.min(F.struct(F.col("title").isNull().alias("untitled"), "work_uri", "type_uri", "doc_date", "title", "in_force")).alias("c")
+    sets = {"authors": "author", "legal_basis": "basis", "subjects": "subject"}
+    whole = each.groupBy("celex").agg(answer, *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(t)))).alias(n) for n, t in sets.items()])
+    whole = whole.withColumns({n: F.when(F.size(n) > 0, F.col(n)) for n in sets})
     institutions = F.array_distinct(F.transform("authors", dims.body_label))
     return whole.select(
         F.col("celex").alias("celex_number"),
@@ -50,38 +63,59 @@ def staleness(corpus: Corpus, celexes: DataFrame) -> DataFrame:
     return newest.select(F.col("source_celex").alias("celex"), F.lit(True).alias("is_superseded"), F.col("current_celex").alias("current_consolidated_celex"), F.col("as_of").alias("consolidated_as_of"))
 
 
+def documents(corpus: Corpus, requests: DataFrame, fmt: str = "html", content_mode: str = "paged", offset: int = 0, limit: int = WINDOW) -> DataFrame:
+    """requests: identifier, kind (celex, eli or work_uri), language, resolve (as_requested or current_consolidated). A row for each
+    request: requested_celex, null if nothing answers; the metadata of the document served; whether a newer consolidated
+    version exists; and its body in the language or else in English, whole or a window of it."""
+    asked = requests.select("identifier", "kind", "language", "resolve").distinct()
+    found = identify.answers(corpus, asked.select("identifier", "kind").distinct()).select("identifier", "kind", F.col("celex").alias("requested_celex"))
+    asked = asked.join(found, ["identifier", "kind"], "left")
+    stale = staleness(corpus, asked.select(F.col("requested_celex").alias("celex")).where(F.col("celex").isNotNull()))
+    asked = asked.join(stale.withColumnRenamed("celex", "requested_celex"), "requested_celex", "left")
+    served = F.when(F.col("resolve") == "current_consolidated", F.coalesce("current_consolidated_celex", "requested_celex")).otherwise(F.col("requested_celex"))
+    asked = asked.withColumn("celex_number", served).withColumn("is_superseded", F.coalesce("is_superseded", F.lit(False))).withColumnRenamed("language", "requested_language")
+    rows = asked.join(metadata(corpus, asked.select(F.col("celex_number").alias("celex"))), "celex_number", "left")
+    if content_mode == "metadata_only":
+        return rows
+    wanted = asked.where(F.col("celex_number").isNotNull()).select(F.col("celex_number").alias("celex"), F.col("requested_language").alias("requested")).distinct()
+    bodies = content.in_language(corpus["contents"], wanted, fmt)
+    if fmt == "markdown":
+        bodies = markdown.render(bodies, "content", "content")
+    if content_mode == "full":
+        total = F.length("content")
+        bodies = bodies.withColumns({"content_offset": F.lit(0), "content_chars_returned": total, "content_chars_total": total, "has_more": F.lit(False)})
+    else:
+        bodies = content.window(bodies, offset=offset, limit=limit).withColumn("content", F.col("window")).drop("window")
+    bodies = bodies.withColumnsRenamed({"celex": "celex_number", "requested": "requested_language", "available": "content_available", "fallback": "language_fallback"})
+    return rows.join(bodies, ["celex_number", "requested_language"], "left")
+
+
+@entry_point("fetch_document")
 def fetch_document(corpus: Corpus, **arguments: object) -> dict[str, object]:
-    """The eager fetch of one document: absent fields are left out, and an unavailable body is a flag."""
+    """The eager fetch of one document: absent fields are left out, and an unavailable body is a flag. A stored challenge is an error."""
     request = DocumentRequest(**arguments)
-    spark, celex = corpus.spark, request.celex
-    if request.eli:
-        hit = identify.resolve(corpus, spark.createDataFrame([(request.eli, "eli")], "identifier string, kind string")).first()
-        celex = hit.celex_number
-    elif request.work_uri:
-        row = corpus["works"].where(F.col("work_uri") == request.work_uri).select("celex").first()
-        celex = row and row[0]
-    if not celex:
+    kind, identifier = exactly_one(celex=request.celex, eli=request.eli, work_uri=request.work_uri)
+    one = corpus.spark.createDataFrame([(identifier, kind, request.language, request.resolve)], "identifier string, kind string, language string, resolve string")
+    whole = "metadata_only" if request.content_mode == "metadata_only" else "full"
+    row = documents(corpus, one, request.format, whole).first().asDict()
+    if row["requested_celex"] is None:
         raise RequestError("not_found", "No document answers to the identifier.")
-    one = lambda c: spark.createDataFrame([(c,)], "celex string")
-    stale = staleness(corpus, one(celex)).first()
-    served = stale.current_consolidated_celex if stale and request.resolve == "current_consolidated" else celex
-    meta = metadata(corpus, one(served)).first()
-    if meta is None:
-        raise RequestError("not_found", f"No document has the CELEX {served}.")
-    result = {k: v for k, v in meta.asDict().items() if v is not None}
-    if stale:
-        result |= {k: v for k, v in stale.asDict().items() if k != "celex"}
-    if served != celex:
-        result["requested_celex"] = celex
+    if row["work_uri"] is None:
+        raise RequestError("not_found", f"No document has the CELEX {row['celex_number']}.")
+    hidden = {"identifier", "kind", "resolve", "requested_language", "requested_celex", "language_fallback", "language", "content", "content_offset", "content_chars_returned", "content_chars_total", "has_more"}
+    result = {k: v for k, v in row.items() if v is not None and k not in hidden and (k != "is_superseded" or v)}
+    if row["celex_number"] != row["requested_celex"]:
+        result["requested_celex"] = row["requested_celex"]
     result |= {"content_mode": request.content_mode, "content_format": request.format, "language": request.language, "has_more": False}
     if request.content_mode == "metadata_only":
         return result
-    body = content.fetch(corpus, served, request.language, request.format)
-    result |= {"content_available": body["available"], "language": body["language"]}
-    if body["fallback"]:
-        result["language_fallback"] = f"{body['requested']} is not available; {body['language']} is served."
-    if body["available"]:
-        result |= _view(request, markdown.to_markdown(body["content"]) if request.format == "markdown" else body["content"])
+    if not row["content_available"] and content.is_challenged(corpus, row["celex_number"]):
+        raise RequestError("challenge", f"The body of {row['celex_number']} can't be used.")
+    result["language"] = row["language"]
+    if row["language_fallback"]:
+        result["language_fallback"] = f"{request.language} is not available; {row['language']} is served."
+    if row["content_available"]:
+        result |= _view(request, row["content"])
     return result
 
 
@@ -102,8 +136,11 @@ def _view(request: DocumentRequest, full: str) -> dict[str, object]:
     return out | ({"content": text_} if text_ else {})
 
 
-def metadata_snapshot(corpus: Corpus, celex: str) -> DataFrame:
-    found = metadata(corpus, corpus.spark.createDataFrame([(celex,)], "celex string"))
-    return found.drop("legal_basis", "eurovoc_subjects")
+def metadata_snapshots(corpus: Corpus, celexes: DataFrame) -> DataFrame:
+    """celexes: celex. The core fields and authors of each."""
+    return metadata(corpus, celexes).drop("legal_basis", "eurovoc_subjects")
 
 
+def metadata_snapshot(corpus: Corpus, celex: str) -> DataFrame:
+    """The same for one work; an empty table if there is none."""
+    return metadata_snapshots(corpus, corpus.spark.createDataFrame([(celex,)], "celex string"))

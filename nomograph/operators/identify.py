@@ -6,30 +6,37 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from nomograph.functions import text
+from nomograph.plans.config import entry_point
 from nomograph.plans.errors import RequestError
 from nomograph.plans.requests import given
 from nomograph.sources.corpus import Corpus
 
 
 def resolve(corpus: Corpus, identifiers: DataFrame) -> DataFrame:
-    """identifiers: identifier, kind (celex or eli). found, work_uri, celex_number, resource_type (an IRI) and date of each; the rows of misses are null.
+    """identifiers: identifier, kind. found, work_uri, celex_number, resource_type (an IRI, the least of several) and date of each; the rows of misses are null."""
+    types = corpus["work_types"].groupBy("work_uri").agg(F.min("type_uri").alias("type_uri"))
+    best = answers(corpus, identifiers).join(types, "work_uri", "left")
+    return identifiers.join(best, ["identifier", "kind"], "left").select(
+        "identifier", F.col("work_uri").isNotNull().alias("found"), "work_uri", F.col("celex").alias("celex_number"), F.col("type_uri").alias("resource_type"), F.col("doc_date").alias("date")
+    )
+
+
+def answers(corpus: Corpus, identifiers: DataFrame) -> DataFrame:
+    """identifiers: identifier, kind (celex, eli or work_uri). identifier, kind, work_uri, celex and doc_date of those that a work answers to.
 
     A bare ELI that misses is tried once more as that of its official publication. Of several works the one with the
-    least URI answers, with its least type."""
+    least URI answers."""
     tries = identifiers.select("identifier", "kind", F.trim("identifier").alias("value")).select(
         "identifier", "kind", F.posexplode(F.when(F.col("kind") == "eli", text.eli_candidates(F.col("value"))).otherwise(F.array("value"))).alias("priority", "value")
     )
     works = corpus["works"].where(F.col("celex").isNotNull()).select("work_uri", "celex", "doc_date", "eli")
-    by_celex = tries.where(F.col("kind") == "celex").join(works, F.col("value") == F.col("celex"))
-    by_eli = tries.where(F.col("kind") == "eli").join(works, F.col("value") == F.col("eli"))
-    best = by_celex.unionByName(by_eli).groupBy("identifier", "kind").agg(F.min(F.struct("priority", "work_uri", "celex", "doc_date")).alias("w"))
-    types = corpus["work_types"].groupBy("work_uri").agg(F.min("type_uri").alias("type_uri"))
-    best = best.select("identifier", "kind", "w.work_uri", "w.celex", "w.doc_date").join(types, "work_uri", "left")
-    return identifiers.join(best, ["identifier", "kind"], "left").select(
-        "identifier", F.col("work_uri").isNotNull().alias("found"), "work_uri", F.col("celex").alias("celex_number"), F.col("type_uri").alias("resource_type"), F.col("doc_date").alias("date")
-    )
+    names = works.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in (("celex", "celex"), ("eli", "eli"), ("work_uri", "work_uri"))])).alias("n"))
+    names = names.select(F.col("n.kind").alias("kind"), F.col("n.value").alias("value"), "work_uri", "celex", "doc_date").where(F.col("value").isNotNull())
+    best = tries.join(names, ["kind", "value"]).groupBy("identifier", "kind").agg(F.min(F.struct("priority", "work_uri", "celex", "doc_date")).alias("w"))
+    return best.select("identifier", "kind", "w.work_uri", "w.celex", "w.doc_date")
 
 
+@entry_point("lookup")
 def lookup(corpus: Corpus, identifier: str, identifier_type: str = "auto") -> Row:
     """The eager lookup. found is false for a miss; an identifier of no recognisable kind is ambiguous."""
     value = given(identifier)

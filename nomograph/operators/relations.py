@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nomograph.functions import text
 from nomograph.functions.dims import RELATIONS
+from nomograph.plans.config import entry_point
 from nomograph.plans.errors import RequestError
 from nomograph.plans.paging import Page
 from nomograph.plans.requests import CEILING, SNAPSHOT_CAP, RelationRequest
@@ -79,12 +80,14 @@ def source_of(corpus: Corpus, celex: str | None, work_uri: str | None) -> DataFr
     return corpus["works"].where(F.col("celex") == celex).groupBy(F.col("celex").alias("source_celex")).agg(F.min("work_uri").alias("source_uri")).select("source_uri", "source_celex")
 
 
+@entry_point("find_relations")
 def find_relations(corpus: Corpus, **arguments: object) -> tuple[Page, list[str]]:
     """The eager form: a page and the requested types without rows; raises not_found or no_relations."""
     request = RelationRequest(**arguments)
     source = source_of(corpus, request.celex, request.work_uri)
     if source.isEmpty():
         raise RequestError("not_found", f"No work has the CELEX {request.celex}.")
+    request.limit = min(request.limit, corpus.settings.row_ceiling)
     rows = relations_of(corpus, source, request.types, request.offset, request.limit).orderBy("ordinal", F.desc("direction"), "place").collect()
     if not rows:
         raise RequestError("no_relations", "The work has no such relations.")
@@ -98,6 +101,17 @@ def find_relations(corpus: Corpus, **arguments: object) -> tuple[Page, list[str]
     return Page(kept, request.offset, any(n >= request.limit for n in arms.values()), request.limit, request.echo()), [t for t in request.types if t not in present]
 
 
+def sources_of(corpus: Corpus, celexes: DataFrame) -> DataFrame:
+    """celexes: celex. The source work of each that there is: the one of the least URI."""
+    works = corpus["works"].join(celexes.distinct(), "celex", "left_semi")
+    return works.groupBy(F.col("celex").alias("source_celex")).agg(F.min("work_uri").alias("source_uri")).select("source_uri", "source_celex")
+
+
+def snapshots(corpus: Corpus, celexes: DataFrame) -> DataFrame:
+    """celexes: celex. All relations of each work, a few of each arm."""
+    return distinct_relations(relations_of(corpus, sources_of(corpus, celexes), limit=SNAPSHOT_CAP))
+
+
 def snapshot(corpus: Corpus, celex: str) -> DataFrame:
     """All relations of a work, a few of each arm; an empty table is a result, not a failure."""
-    return distinct_relations(relations_of(corpus, source_of(corpus, celex, None), limit=SNAPSHOT_CAP))
+    return snapshots(corpus, corpus.spark.createDataFrame([(celex,)], "celex string"))

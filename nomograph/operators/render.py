@@ -32,6 +32,18 @@ def page_text(result: Page, heading: str) -> str:
     return "\n\n".join(out)
 
 
+def relations_text(rows: DataFrame) -> DataFrame:
+    """rows: source_uri, ordinal, relation_type, direction, place, related_work_uri, related_celex_number, as relations of a page. For
+    each source its relations as Markdown: a heading for each type and direction in the order of the request, outgoing
+    first, and under it a line for each related work in the page's order."""
+    item = F.concat(F.lit("- "), F.when(F.col("related_celex_number").isNull(), F.col("related_work_uri")).otherwise(F.concat("related_celex_number", F.lit(" ("), "related_work_uri", F.lit(")"))))
+    lines = rows.groupBy("source_uri", "ordinal", "relation_type", "direction").agg(F.array_sort(F.collect_list(F.struct("place", item.alias("line")))).alias("lines"))
+    heading = F.concat(F.lit("### "), "relation_type", F.lit(" ("), "direction", F.lit(")"))
+    block = F.concat(heading, F.lit("\n"), F.array_join(F.transform("lines", lambda x: x["line"]), "\n"))
+    blocks = lines.groupBy("source_uri").agg(F.array_sort(F.collect_list(F.struct("ordinal", (F.col("direction") == "incoming").alias("second"), block.alias("block")))).alias("blocks"))
+    return blocks.select("source_uri", F.array_join(F.transform("blocks", lambda x: x["block"]), "\n\n").alias("text"))
+
+
 # The axes of a comparison, and the words that lead a focus to an axis, tried in this order.
 AXES = ("regulatory_scope", "core_obligations", "key_differences", "enforcement", "recent_developments", "practical_implications")
 FOCUS_RULES = (

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomograph.functions import dims, text
-from nomograph.plans.config import logged
+from nomograph.plans.config import entry_point
 from nomograph.plans.errors import RequestError
 from nomograph.plans.paging import Page, fetch, page
-from nomograph.plans.requests import CEILING, CaseRequest, SearchRequest
+from nomograph.plans.requests import CaseRequest, SearchRequest
 from nomograph.sources.corpus import Corpus
 
 
@@ -45,16 +45,19 @@ def in_dates(date: Column, first: str | None, last: str | None) -> list[Column]:
 def collapse(works: DataFrame, types: DataFrame, titles: DataFrame, offset: int, limit: int) -> DataFrame:
     """A page of CELEX numbers with their types, date, title and work.
 
-    The page is found on (celex, date) alone, and its keys, limit at most, are broadcast. Types and titles are joined for
-    its works by inner joins, whose large side a runtime filter on the page's works prunes before any shuffle; what has
-    neither comes back by the page's keys. A CELEX may stand for several works: the work with a title is preferred, and
-    titles and works are each the greatest of theirs."""
-    keys = page(works.groupBy("celex").agg(F.min("doc_date").alias("date")), [F.col("date").desc_nulls_last(), F.col("celex")], offset, min(limit, CEILING))
-    ours = works.select("work_uri", "celex").join(F.broadcast(keys.select("celex")), "celex", "left_semi")
-    any_work = ours.groupBy("celex").agg(F.min("work_uri").alias("any_work"))
-    titled = titles.where(F.col("title").isNotNull()).join(ours, "work_uri").groupBy("celex").agg(F.max("work_uri").alias("titled_work"), F.max("title").alias("title"))
-    of_types = types.join(ours, "work_uri").groupBy("celex").agg(F.collect_set("type_uri").alias("types"))
-    rows = keys.join(any_work, "celex", "left").join(titled, "celex", "left").join(of_types, "celex", "left")
+    The page is found by one aggregation of the works that pass, which also collects each number's works (a handful), so
+    that filters are planned once: both uses of the page read one shuffle. Its works, limit numbers' at most, are broadcast
+    to titles and types, and one aggregation gives the rows. A CELEX may stand for several works: the work with a title is
+    preferred, and titles and works are each the greatest of theirs."""
+    by_number = works.groupBy("celex").agg(F.min("doc_date").alias("date"), F.collect_set("work_uri").alias("works"))
+    ours = page(by_number, [F.col("date").desc_nulls_last(), F.col("celex")], offset, limit).select("celex", "date", F.explode("works").alias("work_uri"))
+    none = F.lit(None).cast("string")
+    facts = titles.where(F.col("title").isNotNull()).select("work_uri", "title", none.alias("type_uri")).unionByName(types.select("work_uri", none.alias("title"), "type_uri"))
+    known = facts.join(F.broadcast(ours), "work_uri").select("celex", "date", "work_uri", "title", "type_uri")
+    every = ours.select("celex", "date", "work_uri", none.alias("title"), none.alias("type_uri")).unionByName(known)
+    rows = every.groupBy("celex", "date").agg(
+        F.min("work_uri").alias("any_work"), F.max(F.when(F.col("title").isNotNull(), F.col("work_uri"))).alias("titled_work"), F.max("title").alias("title"), F.collect_set("type_uri").alias("types")
+    )
     return rows.select(
         F.coalesce("titled_work", "any_work", F.lit("")).alias("work_uri"),
         F.col("celex").alias("celex_number"),
@@ -87,7 +90,7 @@ def search_documents(corpus: Corpus, request: SearchRequest) -> DataFrame:
         works = works.join(author_works(corpus, request.author), "work_uri", "left_semi")
     if request.keyword:
         works = works.join(keyword_works(corpus, request.keyword), "work_uri", "left_semi")
-    return collapse(works, types, english(corpus), request.offset, request.limit)
+    return collapse(works, types, english(corpus), request.offset, min(request.limit, corpus.settings.row_ceiling))
 
 
 def search_cases(corpus: Corpus, request: CaseRequest) -> DataFrame:
@@ -108,26 +111,26 @@ def search_cases(corpus: Corpus, request: CaseRequest) -> DataFrame:
         works = works.join(types.where(F.col("type_uri").isin([dims.TYPE + t for t in dims.DERIVATIVE_TYPES])), "work_uri", "left_anti")
     if request.keyword:
         works = works.join(keyword_works(corpus, request.keyword), "work_uri", "left_semi")
-    found = collapse(works, types, english(corpus), request.offset, request.limit).drop("is_consolidated")
+    found = collapse(works, types, english(corpus), request.offset, min(request.limit, corpus.settings.row_ceiling)).drop("is_consolidated")
     parts = text.case_title(F.col("title"))
     return found.withColumn("_t", parts).select("*", "_t.display_title", "_t.parties", "_t.subject_matter", "_t.case_reference").drop("_t")
 
 
-def _eager(found: DataFrame, request: SearchRequest | CaseRequest) -> Page:
-    with logged("search", **request.echo()) as line:
-        result = fetch(newest_first(found), request.offset, request.limit, CEILING, request.echo())
-        line["rows"] = result.total
-        if not result.rows:
-            raise RequestError("no_results", f"Nothing matches {request.echo()}.")
+def _eager(corpus: Corpus, found: DataFrame, request: SearchRequest | CaseRequest) -> Page:
+    result = fetch(newest_first(found), request.offset, request.limit, corpus.settings.row_ceiling, request.echo())
+    if not result.rows:
+        raise RequestError("no_results", f"Nothing matches {request.echo()}.")
     return result
 
 
+@entry_point("find_documents")
 def find_documents(corpus: Corpus, **filters: object) -> Page:
     """The eager search: a page of rows; raises no_filters or no_results."""
     request = SearchRequest(**filters)
-    return _eager(search_documents(corpus, request), request)
+    return _eager(corpus, search_documents(corpus, request), request)
 
 
+@entry_point("find_cases")
 def find_cases(corpus: Corpus, **filters: object) -> Page:
     request = CaseRequest(**filters)
-    return _eager(search_cases(corpus, request), request)
+    return _eager(corpus, search_cases(corpus, request), request)

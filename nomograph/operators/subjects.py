@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nomograph.functions import dims, text
+from nomograph.plans.config import entry_point
 from nomograph.plans.errors import RequestError
 from nomograph.plans.paging import Page, fetch, page
-from nomograph.plans.requests import CEILING, SubjectRequest
+from nomograph.plans.requests import SubjectRequest
 from nomograph.sources.corpus import Corpus
 
 
@@ -18,16 +19,17 @@ def search_subjects(corpus: Corpus, request: SubjectRequest) -> DataFrame:
     hits = labels.where(F.startswith("concept_uri", F.lit(dims.CONCEPT)) & text.has_part(F.col("label"), F.lit(request.keyword)))
     hits = hits.join(corpus["concepts"], "concept_uri", "left_semi").distinct()
     # the page is found on labels alone; notations and broader labels are joined to its rows
-    hits = page(hits, ["label", "concept_uri"], request.offset, min(request.limit, CEILING))
+    hits = page(hits, ["label", "concept_uri"], request.offset, min(request.limit, corpus.settings.row_ceiling))
     codes = corpus["concept_notations"].join(F.broadcast(hits.select("concept_uri")), "concept_uri", "left_semi").groupBy("concept_uri").agg(F.min("notation").alias("concept_code"))
     broader = corpus["concept_broader"].join(F.broadcast(hits.select("concept_uri")), "concept_uri", "left_semi")
     broader = broader.join(labels.select(F.col("concept_uri").alias("broader_uri"), F.col("label").alias("broader")), "broader_uri").groupBy("concept_uri").agg(F.min("broader").alias("broader_label"))
     return hits.join(codes, "concept_uri", "left").join(broader, "concept_uri", "left").select("concept_uri", F.col("label").alias("pref_label"), "concept_code", "broader_label")
 
 
+@entry_point("find_subjects")
 def find_subjects(corpus: Corpus, **arguments: object) -> Page:
-    request = SubjectRequest(**arguments)
-    result = fetch(search_subjects(corpus, request).orderBy("pref_label", "concept_uri"), request.offset, request.limit, CEILING, request.echo())
+    request = SubjectRequest(**({"language": corpus.settings.language} | arguments))
+    result = fetch(search_subjects(corpus, request).orderBy("pref_label", "concept_uri"), request.offset, request.limit, corpus.settings.row_ceiling, request.echo())
     if not result.rows:
         raise RequestError("no_concepts", f"No concept matches {request.keyword!r}.")
     return result

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime
 import re
-from dataclasses import asdict, dataclass, fields
+from dataclasses import asdict, dataclass
 
 from nomograph.functions.dims import CASE_TYPES, COURTS, DOCUMENT_TYPES, RELATIONS
 from nomograph.plans.errors import RequestError
 
 #: Rows that a request returns at most, whatever its limit.
 CEILING = 100
-DIMENSION_CAP = 100
 SNAPSHOT_CAP = 25
 WINDOW, WINDOW_MAX = 25_000, 100_000
 
@@ -171,7 +170,3 @@ class DocumentRequest(_Echo):
         check_choice(self.content_mode, ("paged", "full", "metadata_only"))
         self.language = check_language(self.language or "EN").upper()
         check_page(self.offset, self.limit, WINDOW_MAX)
-
-
-def field_names(request: type) -> list[str]:
-    return [f.name for f in fields(request)]

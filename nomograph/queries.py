@@ -43,6 +43,14 @@ _BODIES = _values(dims.BODY_LABELS, dims.BODY, "body_names")
 _NORM = "lower(trim(regexp_replace(regexp_replace({0}, '[^\\p{{L}}\\p{{N}}\\s]+', ' ', 'g'), '\\s+', ' ', 'g')))"
 
 
+# White space of any kind at a text's ends.
+_BLANK = r"[\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+
+
+def _strip(value: str) -> str:
+    return f"regexp_replace(regexp_replace({value}, '^{_BLANK}+', ''), '{_BLANK}+$', '')"
+
+
 def _phrase(column: str, wanted: str) -> str:
     return f"contains(' ' || {_NORM.format(column)} || ' ', ' ' || {_NORM.format(repr(wanted))} || ' ')"
 
@@ -122,14 +130,14 @@ def _(c: Corpus) -> DataFrame:
 
 # --- cases ---
 
-_PARTS = r"""SELECT f.*, CASE WHEN contains(title, '#') THEN coalesce(nullif(s[2], ''), nullif(s[1], '')) END AS display_title,
+_PARTS = rf"""SELECT f.*, CASE WHEN contains(title, '#') THEN coalesce(nullif(s[2], ''), nullif(s[1], '')) END AS display_title,
   CASE WHEN contains(title, '#') THEN nullif(s[2], '') END AS parties,
   CASE WHEN contains(title, '#') AND sub >= 3 THEN nullif(s[sub], '') END AS subject_matter,
   CASE WHEN ref THEN s[last_] END AS case_reference
 FROM (SELECT *, CASE WHEN ref THEN last_ - 1 ELSE last_ END AS sub FROM (
   SELECT *, contains(title, '#') AND last_ >= 3 AND regexp_matches(s[last_], '^(?i)cases?\b') AS ref FROM (
     SELECT *, list_max(list_transform(range(1, len(s) + 1), lambda i: CASE WHEN s[i] <> '' THEN i ELSE 0 END)) AS last_ FROM (
-      SELECT *, list_transform(string_split(title, '#'), lambda x: trim(x)) AS s FROM found)))) f"""
+      SELECT *, list_transform(string_split(title, '#'), lambda x: {_strip('x')}) AS s FROM found)))) f"""
 
 
 def _cases(where: str, limit: int, parts: bool = True) -> str:
@@ -162,6 +170,16 @@ def _(c: Corpus) -> DataFrame:
     return search.search_cases(c, CaseRequest(case_number="cj0", include_derivative=True, limit=100))
 
 
+@query("cases_by_case_number", _cases(f"{_NOT_DERIVED} AND contains(w.celex, '1995CJ0794')", 100))
+def _(c: Corpus) -> DataFrame:
+    return search.search_cases(c, CaseRequest(case_number=" c-794/95", limit=100))
+
+
+@query("cases_court_cjeu", _cases(f"{_NOT_DERIVED} AND (contains(w.celex, 'CJ') OR contains(w.celex, 'CC') OR contains(w.celex, 'CO')) AND w.doc_date >= DATE '1997-01-01'", 90))
+def _(c: Corpus) -> DataFrame:
+    return search.search_cases(c, CaseRequest(court="CJEU", date_from="1997-01-01", limit=90))
+
+
 @query(
     "case_number_fragment",
     with_tables("works")
@@ -292,8 +310,16 @@ def _(c: Corpus) -> DataFrame:
   WHERE source_uri = (SELECT min(work_uri) FROM works WHERE celex = (SELECT min(celex) FROM works JOIN edges ON src_uri = work_uri WHERE celex LIKE '3%'))) WHERE n <= 25""")
 def _(c: Corpus) -> DataFrame:
     citing = c["works"].join(c["edges"], F.col("work_uri") == F.col("src_uri"), "left_semi")
-    celex = citing.where(F.startswith("celex", F.lit("3"))).agg(F.min("celex")).first()[0]
-    return relations.snapshot(c, celex).select("relation_type", "direction", "related_work_uri", "related_celex_number")
+    least = citing.where(F.startswith("celex", F.lit("3"))).agg(F.min("celex").alias("celex"))
+    return relations.snapshots(c, least).select("relation_type", "direction", "related_work_uri", "related_celex_number")
+
+
+@query("relations_text", _ROWS + """, paged AS (SELECT *, row_number() OVER (PARTITION BY source_uri, relation_type, direction ORDER BY related_date DESC NULLS LAST, related) AS n FROM rel),
+arms AS (SELECT source_uri, ordinal, direction, '### ' || relation_type || ' (' || direction || ')' || chr(10) || string_agg('- ' || CASE WHEN related_celex IS NULL THEN related ELSE related_celex || ' (' || related || ')' END, chr(10) ORDER BY n) AS block
+  FROM paged WHERE n <= 3 GROUP BY source_uri, ordinal, relation_type, direction)
+SELECT source_uri, string_agg(block, chr(10) || chr(10) ORDER BY ordinal, direction DESC) AS text FROM arms GROUP BY source_uri""")
+def _(c: Corpus) -> DataFrame:
+    return render.relations_text(relations.relations_of(c, _sources(c), limit=3))
 
 
 # --- documents ---
@@ -319,6 +345,12 @@ def _(c: Corpus) -> DataFrame:
     return found.withColumns({n: F.array_join(n, s) for n, s in (("author_institutions", "; "), ("legal_basis", " "), ("eurovoc_subjects", " "))})
 
 
+@query("metadata_snapshot", f"SELECT celex_number, work_uri, resource_type, date, title, in_force, author_institution, author_institutions FROM ({_META}) WHERE celex_number LIKE '6%'")
+def _(c: Corpus) -> DataFrame:
+    found = document.metadata_snapshots(c, c["works"].where(F.startswith("celex", F.lit("6"))).select("celex"))
+    return found.withColumn("author_institutions", F.array_join("author_institutions", "; "))
+
+
 @query(
     "label_lookup_default",
     with_tables("work_types", "work_agents") + f", {_TYPES}, {_BODIES} SELECT u AS uri, coalesce(t.label, b.label, list_extract(string_split(u, '/'), -1)) AS label FROM (SELECT DISTINCT type_uri AS u FROM work_types UNION SELECT DISTINCT agent_uri FROM work_agents) LEFT JOIN type_names t ON t.uri = u LEFT JOIN body_names b ON b.uri = u",
@@ -336,8 +368,9 @@ def _(c: Corpus) -> DataFrame:
     return document.staleness(c, c["works"].where(F.startswith("celex", F.lit("3"))).select("celex"))
 
 
-_REPS = with_tables("contents") + """, reps AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY celex, language ORDER BY CASE media_type WHEN 'application/xhtml+xml' THEN 1 ELSE 2 END, part_seq, body) AS n FROM contents
-  WHERE length(trim(body, ' ')) >= 100 AND NOT contains(lower(substr(body, 1, 4096)), 'awswaf') AND NOT contains(lower(substr(body, 1, 4096)), 'gokuprops')) WHERE n = 1)"""
+_USABLE = """ reps AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY celex, language ORDER BY CASE media_type WHEN 'application/xhtml+xml' THEN 1 ELSE 2 END, part_seq, body) AS n FROM contents
+  WHERE length({STRIPPED}) >= 100 AND NOT contains(lower(substr(body, 1, 4096)), 'awswaf') AND NOT contains(lower(substr(body, 1, 4096)), 'gokuprops')) WHERE n = 1)""".replace("{STRIPPED}", _strip("body"))
+_REPS = with_tables("contents") + "," + _USABLE
 
 
 @query("content_cascade", _REPS + " SELECT celex, language, media_type, md5(body) AS body_md5, CAST(length(body) AS INTEGER) AS n_chars FROM reps")
@@ -366,7 +399,50 @@ def _(c: Corpus) -> DataFrame:
     return shown.select("celex", "requested", "content_offset", "content_chars_returned", "content_chars_total", "has_more", F.md5(F.col("window").cast("binary")).alias("window_md5"))
 
 
-@query("multipart_assemble", with_tables("parts") + """ SELECT doc, count(*) AS n_parts, CASE WHEN bool_and(NOT (body IS NULL OR (doc + seq) % 13 = 0)) THEN md5('<documents>' || chr(10) || string_agg(trim(body, ' '), chr(10) ORDER BY seq, body) || chr(10) || '</documents>') END AS body_md5 FROM parts GROUP BY doc""")
+# Bodies of works: each document's text is the body of the work of its number, and of that work's consolidated version.
+_BODIES_OF_WORKS = """SELECT w.celex, upper(d.lang) AS language, 'html' AS format, 'text/html' AS media_type, d.doc_id AS part_seq, d.text AS body
+FROM (SELECT *, 'http://works.example/' || CAST(doc_id AS VARCHAR(20)) AS uri FROM {documents} UNION ALL SELECT *, 'http://works.example/c' || CAST(doc_id AS VARCHAR(20)) FROM {documents}) d JOIN {works} w ON w.work_uri = d.uri
+WHERE w.celex IS NOT NULL AND d.text IS NOT NULL
+UNION ALL SELECT w.celex, 'EN', 'html', 'application/xhtml+xml', d.doc_id, 'English: ' || d.text
+FROM {documents} d JOIN {works} w ON w.work_uri = 'http://works.example/' || CAST(d.doc_id AS VARCHAR(20)) WHERE w.celex IS NOT NULL AND d.text IS NOT NULL AND d.doc_id % 2 = 0"""
+_FETCH = (
+    f"WITH meta AS ({_META}), stale AS ({_ROWS}"
+    + r""" SELECT source_celex AS celex, max(related_celex) AS current_, regexp_replace(max(related_celex), '^.*-([0-9]{4})([0-9]{2})([0-9]{2})$', '\1-\2-\3') AS as_of
+  FROM rel JOIN (SELECT celex, min(work_uri) AS u FROM works WHERE celex NOT LIKE '0%' GROUP BY celex) ON u = source_uri WHERE relation_type = 'consolidated_version' GROUP BY source_celex),
+"""
+    + with_tables("works").removeprefix("WITH ")
+    + ",\ncontents AS ("
+    + _BODIES_OF_WORKS.replace("{documents}", "documents").replace("{works}", "works")
+    + "),"
+    + _USABLE
+    + """, req AS (SELECT DISTINCT celex AS identifier, 'celex' AS kind, 'FR' AS lang, 'current_consolidated' AS res, celex FROM works WHERE celex LIKE '3%'
+  UNION ALL SELECT DISTINCT eli, 'eli', 'EN', 'as_requested', celex FROM works WHERE eli IS NOT NULL AND celex IS NOT NULL
+  UNION ALL SELECT work_uri, 'work_uri', 'DE', 'current_consolidated', celex FROM works WHERE celex LIKE '0%'
+  UNION ALL SELECT 'nothing', 'celex', 'EN', 'as_requested', NULL),
+srv AS (SELECT req.*, stale.current_, stale.as_of, CASE WHEN res = 'current_consolidated' THEN coalesce(current_, req.celex) ELSE req.celex END AS served FROM req LEFT JOIN stale ON stale.celex = req.celex),
+bod AS (SELECT srv.*, a.body AS own, e.body AS eng FROM srv LEFT JOIN reps a ON a.celex = served AND a.language = lang LEFT JOIN reps e ON e.celex = served AND e.language = 'EN')
+SELECT identifier, kind, bod.celex AS requested_celex, served AS celex_number, current_ IS NOT NULL AS is_superseded, current_ AS current_consolidated_celex, as_of AS consolidated_as_of, meta.work_uri, meta.title, meta.author_institution,
+  CASE WHEN served IS NOT NULL THEN coalesce(own, eng) IS NOT NULL END AS content_available, CASE WHEN served IS NOT NULL THEN CASE WHEN own IS NULL AND eng IS NOT NULL THEN 'EN' ELSE lang END END AS language,
+  CASE WHEN served IS NOT NULL THEN own IS NULL AND eng IS NOT NULL AND lang <> 'EN' END AS language_fallback, CASE WHEN served IS NOT NULL THEN CAST(length(coalesce(own, eng, '')) AS INTEGER) END AS content_chars_total,
+  CASE WHEN served IS NOT NULL THEN length(coalesce(own, eng, '')) > 1100 END AS has_more, CASE WHEN served IS NOT NULL THEN md5(substr(coalesce(own, eng, ''), 101, 1000)) END AS window_md5
+FROM bod LEFT JOIN meta ON meta.celex_number = served"""
+)
+
+
+@query("document_fetch", _FETCH)
+def _(c: Corpus) -> DataFrame:
+    spark, works = c.spark, c["works"]
+    given = Corpus(spark, c.folder, contents=spark.sql(_BODIES_OF_WORKS, documents=c["documents"], works=works))
+    ask = lambda df, column, kind, language, resolve: df.select(F.col(column).alias("identifier"), F.lit(kind).alias("kind"), F.lit(language).alias("language"), F.lit(resolve).alias("resolve")).distinct()
+    known = works.where(F.col("celex").isNotNull())
+    requests = ask(known.where("celex LIKE '3%'"), "celex", "celex", "FR", "current_consolidated").unionByName(ask(known.where("eli IS NOT NULL"), "eli", "eli", "EN", "as_requested"))
+    requests = requests.unionByName(ask(known.where("celex LIKE '0%'"), "work_uri", "work_uri", "DE", "current_consolidated")).unionByName(ask(spark.range(1).select(F.lit("nothing").alias("x")), "x", "celex", "EN", "as_requested"))
+    found = document.documents(given, requests, offset=100, limit=1000)
+    columns = "identifier kind requested_celex celex_number is_superseded current_consolidated_celex consolidated_as_of work_uri title author_institution content_available language language_fallback content_chars_total has_more".split()
+    return found.select(*columns, F.md5(F.col("content").cast("binary")).alias("window_md5"))
+
+
+@query("multipart_assemble", with_tables("parts") + """ SELECT doc, count(*) AS n_parts, CASE WHEN bool_and(NOT (body IS NULL OR (doc + seq) % 13 = 0)) THEN md5('<documents>' || chr(10) || string_agg({STRIPPED}, chr(10) ORDER BY seq, body) || chr(10) || '</documents>') END AS body_md5 FROM parts GROUP BY doc""".replace("{STRIPPED}", _strip("body")))
 def _(c: Corpus) -> DataFrame:
     parts = c["parts"].withColumn("body", F.when((F.col("doc") + F.col("seq")) % 13 != 0, F.col("body")))
     return content.assemble(parts).select("doc", "n_parts", F.md5(F.col("body").cast("binary")).alias("body_md5"))
@@ -439,6 +515,26 @@ def _(c: Corpus) -> DataFrame:
     return structure.sections(structure.outline_lines(c["act_lines"]), requests)
 
 
+_ASKED = {"articles": "7a, Article 12", "chapters": "1,IV,", "recitals": " recital 1", "annexes": "2,annex i"}
+
+
+@query(
+    "section_text",
+    f"WITH sel AS ({ORACLE_SQL['section_select']}), b AS ({with_tables('lines', 'act_lines')} SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS body FROM act_lines GROUP BY doc_id),"
+    + """ named AS (SELECT *, CASE kind WHEN 'article' THEN 'Article' WHEN 'chapter' THEN 'CHAPTER' WHEN 'annex' THEN 'ANNEX' ELSE 'Recital' END || ' ' || token AS name,
+  row_number() OVER (PARTITION BY doc_id, start ORDER BY ordinal) AS n, CASE kind WHEN 'annex' THEN 10 ELSE 0 END + ordinal AS place FROM sel),
+cut AS (SELECT doc_id, string_agg({STRIPPED}, chr(10) || chr(10) ORDER BY start) AS text FROM (SELECT doc_id, start, substr(body, start + 1, coalesce("end", length(body)) - start) AS part FROM named JOIN b USING (doc_id) WHERE start IS NOT NULL AND n = 1) GROUP BY doc_id)
+SELECT doc_id, string_agg(name, '|' ORDER BY ordinal) AS requested, coalesce(string_agg(matched, '|' ORDER BY start, ordinal) FILTER (start IS NOT NULL), '') AS matched, coalesce(string_agg(name, '|' ORDER BY ordinal) FILTER (start IS NULL), '') AS missed,
+  md5(coalesce(min(cut.text), '')) AS text_md5 FROM named LEFT JOIN cut USING (doc_id) GROUP BY doc_id""".replace("{STRIPPED}", _strip("part")),
+)
+def _(c: Corpus) -> DataFrame:
+    lines = c["act_lines"]
+    bodies = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l")).select("doc_id", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("body"))
+    requests = structure.asked(bodies.select("doc_id", *[F.lit(v).alias(k) for k, v in _ASKED.items()]))
+    found = structure.selections(bodies, structure.outline_lines(lines), requests)
+    return found.select("doc_id", *[F.array_join(n, "|").alias(n) for n in ("requested", "matched", "missed")], F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 _ROMAN = "coalesce(nullif(list_sum(list_transform(range(1, length(t) + 1), lambda i: CASE WHEN {v} < coalesce(list_max(list_transform(range(i + 1, length(t) + 1), lambda j: {w})), 0) THEN -({v}) ELSE {v} END)), 0), 0)"
 _LETTER = "CASE substr(t, {0}, 1) WHEN 'I' THEN 1 WHEN 'V' THEN 5 WHEN 'X' THEN 10 WHEN 'L' THEN 50 WHEN 'C' THEN 100 WHEN 'D' THEN 500 WHEN 'M' THEN 1000 ELSE 0 END"
 
@@ -457,10 +553,15 @@ def _(c: Corpus) -> DataFrame:
 
 @query("page_markdown")
 def _(c: Corpus) -> DataFrame:
-    return markdown.render(c["pages"], "page_id", "html")
+    return markdown.render(c["pages"].select("page_id", "html"), "html")
 
 
-@query("xml_outline")
+@query(
+    "xml_outline",
+    with_tables("lines")
+    + f""" SELECT CAST(doc_id AS VARCHAR) AS celex, 'article' AS kind, CAST(line_no AS VARCHAR) AS number, 'Article ' || line_no AS label, nullif({_VISIBLE}, '') AS title,
+  CAST(coalesce(sum(45 + length(CAST(line_no AS VARCHAR)) + length(line)) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM lines""",
+)
 def _(c: Corpus) -> DataFrame:
     """Documents as XML acts: each line an article with a title."""
     lines = c["lines"].groupBy(F.col("doc_id").cast("string").alias("celex")).agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l"))
@@ -468,6 +569,34 @@ def _(c: Corpus) -> DataFrame:
     return structure.outlines(lines.select("celex", body.alias("body"))).select("celex", F.explode("outline").alias("h")).select("celex", "h.*")
 
 
+# Documents as XML acts with every element; the lines' own brackets would be tags.
+_XML = """CASE WHEN line_no % 11 = 4 THEN '<TI><P>Chapter ' || CASE line_no % 3 WHEN 0 THEN 'iv' ELSE '7' END || '</P></TI> <STI><P>' || t || '</P></STI>'
+  WHEN line_no % 13 = 12 THEN '<TITLE><TI><P>SECTION ' || CAST(line_no AS VARCHAR(20)) || ' <HT>x</HT></P></TI></TITLE><STI><P>' || t || '</P></STI>'
+  WHEN line_no % 5 = 2 THEN '<TI.ART>Article ' || CAST(line_no AS VARCHAR(20)) || CASE line_no % 2 WHEN 0 THEN '' ELSE 'b' END || '</TI.ART>' || CASE line_no % 3 WHEN 0 THEN '' ELSE '<STI.ART><HT>' || t || '</HT></STI.ART>' END
+  WHEN line_no % 3 = 1 THEN '<NP><NO.P>(' || CAST(line_no AS VARCHAR(20)) || ')</NO.P><TXT>' || t || '</TXT></NP>' ELSE '<P>' || t || '</P>' END"""
+_XML_LINES = "SELECT doc_id, line_no, t, {xml} AS x FROM (SELECT doc_id, line_no, translate(line, '<>&', '   ') AS t FROM {lines})".replace("{xml}", _XML)
+
+
+@query(
+    "xml_act_outline",
+    with_tables("lines")
+    + f""", x AS ({_XML_LINES.replace("{lines}", "lines")}),
+o AS (SELECT *, CAST(coalesce(sum(length(x) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at_, nullif({_VISIBLE.replace("line", "t")}, '') AS v FROM x),
+f AS (SELECT *, min(CASE WHEN line_no % 5 = 2 AND line_no % 11 <> 4 AND line_no % 13 <> 12 THEN at_ END) OVER (PARTITION BY doc_id) AS first_ FROM o)
+SELECT CAST(doc_id AS VARCHAR) AS celex, CASE WHEN line_no % 11 = 4 THEN 'chapter' WHEN line_no % 13 = 12 THEN 'section' WHEN line_no % 5 = 2 THEN 'article' ELSE 'recital' END AS kind,
+  CASE WHEN line_no % 11 = 4 THEN CASE line_no % 3 WHEN 0 THEN 'IV' ELSE '7' END WHEN line_no % 13 <> 12 AND line_no % 5 = 2 AND line_no % 2 <> 0 THEN line_no || 'B' ELSE CAST(line_no AS VARCHAR) END AS number,
+  CASE WHEN line_no % 11 = 4 THEN 'CHAPTER ' || CASE line_no % 3 WHEN 0 THEN 'IV' ELSE '7' END WHEN line_no % 13 = 12 THEN 'Section ' || line_no
+    WHEN line_no % 5 = 2 THEN 'Article ' || line_no || CASE line_no % 2 WHEN 0 THEN '' ELSE 'b' END ELSE 'Recital ' || line_no END AS label,
+  CASE WHEN line_no % 11 = 4 THEN v WHEN line_no % 13 <> 12 AND line_no % 5 = 2 AND line_no % 3 <> 0 THEN v END AS title,
+  at_ + CASE WHEN line_no % 11 = 4 THEN 0 WHEN line_no % 13 = 12 THEN 7 WHEN line_no % 5 = 2 THEN 0 ELSE 4 END AS "offset"
+FROM f WHERE line_no % 11 = 4 OR line_no % 13 = 12 OR line_no % 5 = 2 OR (line_no % 3 = 1 AND at_ + 4 < coalesce(first_, 9000000000000))""",
+)
+def _(c: Corpus) -> DataFrame:
+    lines = c.spark.sql(_XML_LINES, lines=c["lines"]).groupBy(F.col("doc_id").cast("string").alias("celex")).agg(F.array_sort(F.collect_list(F.struct("line_no", "x"))).alias("l"))
+    acts = lines.select("celex", F.array_join(F.transform("l", lambda x: x["x"]), "\n").alias("body"))
+    return structure.outlines(acts).select("celex", F.explode("outline").alias("h")).select("celex", "h.*")
+
+
 # --- ad-hoc queries, rendering, streams ---
 
 _ADHOC = "SELECT type_uri, count(*) AS n, min(doc_date) AS first FROM works JOIN work_types USING (work_uri) GROUP BY type_uri ORDER BY n DESC, type_uri LIMIT 1000"

@@ -6,11 +6,10 @@ checks results. The tables are lazy: a query reads the columns and rows that it
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 from nomograph.functions.dims import AUTHORITY, BODY, CONCEPT, ELI, TYPE
+from nomograph.plans.config import Settings
 
 _NUMBER = "lpad(CAST(o_orderkey % 10000 AS VARCHAR(20)), 4, '0')"
 _YEAR = "CAST(year(CAST(o_orderdate AS DATE)) AS VARCHAR(20))"
@@ -108,8 +107,8 @@ LINES_OTHER = "SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, list_extract(l,
 class Corpus:
     """The tables as lazy DataFrames: corpus["works"], and so on. Tables given by name replace the derived ones."""
 
-    def __init__(self, spark: SparkSession, folder: str | None = None, **tables: DataFrame):
-        self.spark, self.folder, self.given = spark, folder, dict(tables)
+    def __init__(self, spark: SparkSession, folder: str | None = None, settings: Settings | None = None, **tables: DataFrame):
+        self.spark, self.folder, self.settings, self.given = spark, folder, settings or Settings(), dict(tables)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.given:
@@ -121,9 +120,9 @@ class Corpus:
                 self.given[name] = self.spark.sql(statement, **used)
         return self.given[name]
 
-    @cached_property
-    def names(self) -> list[str]:
-        return list(TABLES)
+    def tables(self) -> list[str]:
+        """The names of the tables that there are: all with a folder, else those given."""
+        return list(TABLES) if self.folder is not None else [n for n in TABLES if n in self.given]
 
 
 def with_tables(*names: str) -> str:

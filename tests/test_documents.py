@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from nomograph.operators import adhoc, content, render, structure
+from nomograph.operators import adhoc, content, document, identify, render, search, structure, subjects
 from nomograph.operators.markdown import to_markdown
+from nomograph.plans.config import Settings
 from nomograph.plans.errors import RECOVERY, RequestError
 from nomograph.plans.paging import Page
 from nomograph.sources.corpus import Corpus
@@ -69,6 +70,67 @@ def test_markdown():
     assert "|" in to_markdown("<table><col width='30%'><tr><td>a</td><td>b</td></tr></table>")
 
 
+def made_markdown(r, depth=0):
+    """A random block as HTML, with the Markdown it must become, and whether it is a paragraph."""
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(1, 6)))
+    words = lambda: " ".join(word() for _ in range(r.randint(1, 5)))
+    a, b, kind = words(), words(), r.choice(["p", "p", "heading", "list", "data", "numbers", "chrome"] if depth < 2 else ["p"])
+    if kind == "p":
+        form = r.choice([("{a}  \n {b}", "{a} {b}"), ("<b>{a}</b> {b}", "**{a}** {b}"), ("<a href='http://x'>{a}</a> <em>{b}</em>", "[{a}](http://x) _{b}_"), ("{a} <a href='#f'>{b}</a>", "{a} {b}"), ("{a}<br>{b}", "{a}  \n{b}")])
+        return f"<p>{form[0].format(a=a, b=b)}</p>", [("p", form[1].format(a=a, b=b))]
+    if kind == "heading":
+        n = r.randint(1, 6)
+        return f"<h{n}>{a}</h{n}>", [("h", "#" * n + " " + a)]
+    if kind == "list":
+        ordered, items = r.random() < 0.5, [words() for _ in range(r.randint(1, 4))]
+        return f"<{'ol' if ordered else 'ul'}>" + "".join(f"<li>{x}</li>" for x in items) + f"</{'ol' if ordered else 'ul'}>", [("l", "\n".join((f"{k}. " if ordered else "* ") + x for k, x in enumerate(items, 1)))]
+    if kind == "data":
+        rows = [[words() + " long" for _ in range(2)] for _ in range(r.randint(1, 3))]
+        text = "\n".join(f"| {x} | {y} |" for x, y in [rows[0], ["---", "---"], *rows[1:]])
+        return "<table>" + "".join(f"<tr><td>{x}</td><td>{y}</td></tr>" for x, y in rows) + "</table>", [("t", text)]
+    if kind == "numbers":
+        out, blocks = "", []
+        for k in range(r.randint(1, 3)):
+            inner = [made_markdown(r, depth + 1) for _ in range(r.randint(1, 2))]
+            out += f"<tr><td>({k})</td><td>{''.join(h for h, _ in inner)}</td></tr>"
+            found = [x for _, xs in inner for x in xs]
+            if found and found[0][0] == "p":
+                found[0] = ("p", f"({k}) {found[0][1]}")
+            else:
+                found.insert(0, ("p", f"({k})"))
+            blocks += found
+        return f"<table><colgroup><col width='5%'><col></colgroup><tbody>{out}</tbody></table>", blocks
+    masthead = f"<table><tr><td><p class='oj-hd-ti'>{a}</p></td></tr></table>"  # one inside another table takes that with it
+    return r.choice(["<script>x</script>", "<hr>", "<style>p</style>", *[masthead] * (depth == 0)]), []
+
+
+def test_markdown_of_made_pages():
+    import random
+
+    r = random.Random(17)
+    for _ in range(600):
+        made = [made_markdown(r) for _ in range(r.randint(1, 6))]
+        html = "<html><head><title>t</title></head><body>" + "\n".join(h for h, _ in made) + "</body></html>"
+        assert to_markdown(html) == "\n\n".join(t for _, blocks in made for _, t in blocks), html
+
+
+def test_markdown_of_hostile_pages():
+    import time
+
+    began = time.perf_counter()
+    assert to_markdown("<div>" * 20_000 + "deep").endswith("deep")
+    assert to_markdown("<b>" * 20_000 + "deep" + "</i>" * 20_000)
+    assert "end" in to_markdown("<table><tr><td>" * 3_000 + "end")
+    assert to_markdown("<a " * 5_000 + "x") is not None
+    assert time.perf_counter() - began < 30
+
+
+def test_xml_elements(spark):
+    body = "<A><TI><P>Section 2 <HT>x</HT></P></TI><STI><P>On <HT>forms</HT></P></STI><TI.ART>Article 3a</TI.ART> <P>x</P><STI.ART>no title</STI.ART><TI><P>Other</P></TI><NO.P>(7)</NO.P><TI.ART>Article 4<STI.ART>"
+    assert [(h["label"], h["number"], h["title"], body[h["offset"] :][:3]) for h in structure.outline(body, "xml")] == [("Section 2", "2", "On forms", "<TI"), ("Article 3a", "3A", None, "<TI")]
+    assert structure.outline("no tags", "xml") == [] and structure.outline("", "xml") == []
+
+
 def bodies(spark, rows):
     return spark.createDataFrame(rows, "celex string, language string, format string, media_type string, part_seq int, body string")
 
@@ -79,7 +141,7 @@ def test_representation_and_language(spark):
         spark,
         [
             ("1", "EN", "html", "text/html", 1, "a" + long), ("1", "EN", "html", "application/xhtml+xml", 1, "b" + long), ("1", "DE", "html", "application/xhtml+xml", 1, "short"), ("1", "DE", "html", "text/html", 1, "c" + long),
-            ("2", "EN", "html", "text/html", 1, "e" + long), ("3", "FR", "html", "text/html", 1, "<script src='token.AWSWAF.com'>" + long), ("4", "XX", "html", "text/html", 1, long), ("5", "EN", "html", "text/html", 1, " " * 200),
+            ("2", "EN", "html", "text/html", 1, "e" + long), ("3", "FR", "html", "text/html", 1, "<script src='token.AWSWAF.com'>" + long), ("4", "XX", "html", "text/html", 1, long), ("5", "EN", "html", "text/html", 1, " \n\t\u00a0" * 200),
         ],
     )
     wanted = spark.createDataFrame([("1", "DE"), ("1", "EN"), ("2", "FR"), ("3", "FR"), ("4", "XX"), ("5", "EN")], "celex string, requested string")
@@ -117,6 +179,49 @@ def test_adhoc(spark):
         assert e.value.reason == reason and e.value.recovery == RECOVERY[reason]
 
 
+def test_adhoc_refuses_calls_into_the_jvm(spark):
+    corpus = Corpus(spark, DATA)
+    for call in ("reflect('java.lang.System', 'setProperty', 'own.probe', '1')", "JAVA_METHOD('java.util.UUID', 'randomUUID')", "try_reflect('java.util.UUID', 'randomUUID')", "upper(concat(system.builtin.reflect('java.util.UUID', 'randomUUID'), 'x'))"):
+        for statement in (f"SELECT {call}", f"SELECT 1 FROM works WHERE {call} = '1'", f"WITH a AS (SELECT {call} AS x) SELECT x FROM a", f"SELECT * FROM works WHERE celex IN (SELECT {call})", f"SELECT transform(array(1), x -> {call})", f"SELECT * FROM works ORDER BY {call}"):
+            with pytest.raises(RequestError) as e:
+                adhoc.select(corpus, statement)
+            assert e.value.reason == "not_read_only", statement
+    assert spark._jvm.java.lang.System.getProperty("own.probe") is None
+
+
+def test_adhoc_over_given_tables(spark):
+    given = Corpus(spark, works=spark.createDataFrame([("w", "32001R0001")], "work_uri string, celex string"))
+    assert [tuple(r) for r in adhoc.run(given, "SELECT work_uri, celex FROM works").bindings] == [("w", "32001R0001")]
+    with pytest.raises(RequestError):
+        adhoc.run(given, "SELECT * FROM edges")
+    assert not spark.catalog.tableExists("works")
+
+
+def test_adhoc_runs_out_of_time(spark):
+    corpus = Corpus(spark, DATA, settings=Settings(timeout_ms=1000))
+    slow = "SELECT sum(a.id * b.id % 7) AS s FROM range(0, 4000000, 1, 4) a JOIN range(0, 4000000, 1, 4) b ON a.id % 1000 = b.id % 1000"
+    with pytest.raises(RequestError) as e:
+        adhoc.run(corpus, slow)
+    assert e.value.reason == "query_timeout" and adhoc.run(corpus, "SELECT 1 AS one, 2 AS two").bindings[0].one == 1
+
+
+def test_settings_hold_and_calls_are_logged(spark, caplog):
+    corpus = Corpus(spark, DATA, settings=Settings(row_ceiling=3, language="fr"))
+    with caplog.at_level("INFO", logger="nomograph"):
+        assert search.find_documents(corpus, in_force=True, limit=50).total == 3
+        assert len(adhoc.run(corpus, "SELECT celex FROM works").bindings) == 3
+        assert subjects.find_subjects(corpus, keyword="a").echo["language"] == "fr"
+        with pytest.raises(RequestError):
+            document.fetch_document(corpus, celex="none")
+        assert identify.lookup(corpus, "31900R0001").found is False
+    lines = [r.getMessage() for r in caplog.records]
+    assert [next(n for n in ("find_documents", "adhoc", "find_subjects", "fetch_document", "lookup") if f"'call': '{n}'" in x) for x in lines] == ["find_documents", "adhoc", "find_subjects", "fetch_document", "lookup"]
+    assert "'rows': 3" in lines[0] and "'failed': 'not_found'" in lines[3]
+    for bad in (dict(row_ceiling=0), dict(row_ceiling=101), dict(timeout_ms=10), dict(language="?")):
+        with pytest.raises(RequestError):
+            Settings(**bad)
+
+
 def test_rendering(spark):
     df = spark.createDataFrame([("A", 1, None)], "title string, n int, x string")
     assert render.records(df).first()[0] == '{"title":"A","n":1}'

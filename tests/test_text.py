@@ -17,8 +17,8 @@ CASES = [
     (text.is_consolidated, "02016R0679-20160504", True),
     (text.is_consolidated, "32016R0679", False),
     (text.is_consolidated, None, False),
-    (text.consolidation_date, "02014R0833-20260424", "2026-04-24"),
-    (text.consolidation_date, "02014R0833-20269999", "2026-99-99"),
+    (text.consolidation_date, "02009L0101-20131130", "2013-11-30"),
+    (text.consolidation_date, "02009L0101-20130077", "2013-00-77"),
     (text.case_fragment, "C-131/12", "2012CJ0131"),
     (text.case_fragment, " t-22/20 ", "2020TJ0022"),
     (text.case_fragment, "C-6/64", "1964CJ0006"),
@@ -42,6 +42,9 @@ CASES = [
     (text.roman, "C", 100),
     (text.decoded, "a&amp;lt;b &#8364;&nbsp;&GT;", "a<b € >"),
     (text.decoded, "&#128512;x", "😀x"),
+    (text.strip, "\t\u00a0\u2003 a b\u3000\n\ufeff", "a b"),
+    (text.strip, " \n\u2028 ", ""),
+    (text.strip, "\n" * 50_000 + "x" + " \n" * 50_000 + "y", "x" + " \n" * 50_000 + "y"),
     (text.visible, "<p> a <b>b</b>  c</p>", "a b c"),
     (dims.type_label, dims.TYPE + "REG", "Regulation"),
     (dims.type_label, dims.TYPE + "NEW_TYPE", "NEW_TYPE"),
@@ -55,12 +58,13 @@ def test_function(spark, f, value, wanted):
 
 
 TITLES = [
-    ("Judgment of the Court.#A v B.#Appeal – X.#Case C-97/23 P.", ("Case C-97/23 P.", "A v B.", "A v B.", "Appeal – X.")),
-    ("Judgment.#A v B.#Request for a ruling.#Words – more.#Cases T-1/24 and T-2/24.", ("Cases T-1/24 and T-2/24.", "A v B.", "A v B.", "Words – more.")),
-    ("Opinion of Advocate General X.###", (None, "Opinion of Advocate General X.", None, None)),
-    ("Order.#A v B.#Words.", (None, "A v B.", "A v B.", "Words.")),
-    ("Order.#A v B.", (None, "A v B.", "A v B.", None)),
-    ("Judgment.#13#1", (None, "13", "13", "1")),
+    ("Ruling of a chamber.#North Mills v Harbour Board.#Salt – Duties.#Case T-8/03 R.", ("Case T-8/03 R.", "North Mills v Harbour Board.", "North Mills v Harbour Board.", "Salt – Duties.")),
+    ("Ruling.#Ash v Birch.#Sent by a court of appeal.#Wool – Weights.#Cases C-5/07 and C-6/07.", ("Cases C-5/07 and C-6/07.", "Ash v Birch.", "Ash v Birch.", "Wool – Weights.")),
+    ("View of the Advocate General.###", (None, "View of the Advocate General.", None, None)),
+    ("Order.#Ash v Birch.#Wool.", (None, "Ash v Birch.", "Ash v Birch.", "Wool.")),
+    ("Order.#Ash v Birch.", (None, "Ash v Birch.", "Ash v Birch.", None)),
+    ("Ruling.#13#1", (None, "13", "13", "1")),
+    ("Ruling.#\u00a0Ash\t#\u3000Wool\n", (None, "Ash", "Ash", "Wool")),
     ("###", (None, None, None, None)),
     ("Plain title", None),
     ("", None),
