@@ -254,17 +254,12 @@ def brute_text(pages, at):
     """Against all other pages of the host in order, one by one."""
     path, lines = pages[at]
     for x in sorted((x for x in range(len(pages)) if x != at), key=lambda x: (-len(os.path.commonprefix([pages[x][0], path])), x > at, abs(x - at))):
-        shared = set(html_extract.common_lines(lines, pages[x][1]))
-        if 0 < len(shared) < len(lines):
-            return [line for i, line in enumerate(lines) if i not in shared]
+        if 0 < len(set(lines) & set(pages[x][1])) < len(set(lines)):
+            return html_extract.own_lines(list(lines), list(pages[x][1]))
     return list(lines)
 
 
 def test_differencing_goes_on_beyond_copies(spark):
-    r = random.Random(8)
-    for _ in range(150):
-        host = html_extract.Host({("/" + "".join(r.choice("ab") for _ in range(r.randint(0, 4))), tuple(r.choice("uvwxyz") for _ in range(r.randint(0, 4)))) for _ in range(r.randint(1, 25))})
-        assert all(list(host.own_lines(k)) == brute_text(host.pages, k) for k in range(len(host.pages)))
     copies = [(i, f"http://h/a/{i:02d}", page("<div>Site line</div><p>copied</p><div>Bottom</div>", False)) for i in range(12)]
     strangers = [(20 + i, f"http://h/a/{i:02d}x", page(f"<p>stranger {i}</p>", False)) for i in range(12)]
     far = [(40, "http://h/z", page("<div>Site line</div><p>far</p><div>Bottom</div>", False))]
@@ -274,6 +269,51 @@ def test_differencing_goes_on_beyond_copies(spark):
         assert sorted(got) == sorted([(i, "copied") for i, _, _ in copies * 2] + [(20 + i, f"stranger {i}") for i in range(12)] + [(40, "far")])
 
 
+@pytest.mark.parametrize("near, block, fan, partitions", [(16, 128, 8, 4), (2, 4, 2, 4), (1, 3, 3, 9), (0, 2, 8, 1)])
+def test_partners_depend_on_no_size(spark, monkeypatch, near, block, fan, partitions):
+    """Close neighbours, the index of lines, or both, on any number of partitions, give what a search through all pages gives."""
+    for name, value in (("NEAR", near), ("BLOCK", block), ("FAN", fan)):
+        monkeypatch.setattr(html_extract, name, value)
+    r = random.Random(8)
+    rows = []
+    for k in range(9):
+        for _ in range(r.choice([1, 2, 5, 30, 60])):
+            kind = r.random()
+            lines = [r.choice("uvwxyz") for _ in range(r.randint(0, 4))] if kind < 0.3 else ["same", "copy"] if kind < 0.6 else [f"only {r.random()}"]
+            rows.append((f"h{k}", "/" + "".join(r.choice("abé") for _ in range(r.randint(0, 5))), lines, r.random() < 0.9))
+    df = spark.createDataFrame(rows, "host string, path string, lines array<string>, open boolean").repartition(partitions)
+    got = {(x.host, x.path, x.digest): x.text for x in html_extract.differenced(df).collect()}
+    import hashlib
+
+    digest = lambda lines: hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    wanted = {}
+    for host in {x[0] for x in rows}:
+        pages = sorted({(p, tuple(lines)) for h, p, lines, _ in rows if h == host}, key=lambda x: (x[0], digest(x[1])))
+        open_ = {(p, tuple(lines)) for h, p, lines, o in rows if h == host and o}
+        wanted |= {(host, *[(p, digest(lines)) for p, lines in [x]][0]): "\n\n".join(brute_text(pages, k)) for k, x in enumerate(pages) if x in open_}
+    assert got == wanted
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    n, began = 200_000, time.perf_counter()
+    for html in ("<b>" * n + "</i>" * n, "<i><div>" + "<b>" * n + "</i>" * n, "<b>" * n + "<p>" * n, "<a " * n, "<a " * n + ">", "<a '\">" * n, "<a x='b\" y=\"c>" * n, "<!--" * n, "<p>x" * n, "<![CDATA[" * n, "<" * n + ">", "</p" * n, "<!" * n, "&amp" * n):
+        html_extract.lines_of(html)
+    one = ["x"] * 40_000
+    assert html_extract.common_lines(one[:-1] + ["y"], ["z", *one]) == list(range(39_999))
+    mixed = ["ab"[i % 2] for i in range(60_000)]
+    assert len(html_extract.common_lines(mixed, mixed[1:] + ["c"] + mixed[:7])) == 60_000
+    assert time.perf_counter() - began < 60
+
+
+def test_differencing_alone(spark):
+    """What the method gives without structure on the test pages; README has the figures."""
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    alone = {r.page_id: r.text for r in html_extract.extract(pages, structure=False).collect()}
+    assert len(alone) == pages.count() and sum(map(bool, alone.values())) > 0
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     r = random.Random(6)
     for _ in range(300):
@@ -315,6 +355,13 @@ OPERATORS = {
 }
 
 
+def test_pages_of_no_rows_or_nulls(spark):
+    kind = "page_id long, url string, html string, host string, path string, lines string, rank int"
+    assert html_extract.extract(spark.createDataFrame([], kind)).collect() == []
+    nulls = html_extract.extract(spark.createDataFrame([(None,) * 7] * 3, kind)).collect()
+    assert [tuple(r) for r in nulls] == [(None, None, "", 0)] * 3
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_awkward_and_empty_tables(spark, name):
     f = OPERATORS[name]
