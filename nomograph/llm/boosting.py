@@ -11,7 +11,8 @@ class BoostedTrees:
     def __init__(self, trees: int = 60, depth: int = 3, rate: float = 0.25, l2: float = 1.0):
         self.trees, self.depth, self.rate, self.l2 = trees, depth, rate, l2
         self.nodes: list[list[tuple[int, float, float]]] = []  # by tree, in heap order: (feature or -1, threshold, value)
-        self.slope, self.shift, self.threshold = 1.0, 0.0, 0.5
+        self.slope, self.shift = 1.0, 0.0
+        self.thresholds: dict[int, float] = {}
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         score = np.zeros(len(y))
@@ -62,8 +63,10 @@ class BoostedTrees:
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.slope * self.score(x) + self.shift)))
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, precision: float) -> BoostedTrees:
-        """Platt scaling on rows that training didn't see; the threshold is the lowest probability from which the precision there is at least as asked."""
+    def calibrate(self, x: np.ndarray, y: np.ndarray, precision: float, kinds: np.ndarray | None = None) -> BoostedTrees:
+        """Platt scaling on rows that training didn't see. Then for each kind (all rows are of one if none are given) the threshold:
+        of those from which the precision of its rows is at least as asked, the one that finds most, and of equals the most precise;
+        it lies in the middle between the last row taken and the next, by score. Above 1 if no threshold is precise enough."""
         s, (a, b) = self.score(x), (1.0, 0.0)
         for _ in range(50):
             p = 1 / (1 + np.exp(-(a * s + b)))
@@ -76,8 +79,18 @@ class BoostedTrees:
                 break
         self.slope, self.shift = float(a), float(b)
         p = self.probability(x)
-        order = np.argsort(-p)
-        right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-        good = np.flatnonzero(right >= precision)
-        self.threshold = float(max(0.5, p[order[good[-1]]] if len(good) else 1.0))
+        kinds = np.zeros(len(y), int) if kinds is None else kinds
+        self.thresholds = {}
+        for kind in np.unique(kinds):
+            order = np.flatnonzero(kinds == kind)
+            order = order[np.lexsort((y[order], -p[order]))]  # of equal probabilities the wrong ones first
+            right = np.cumsum(y[order]) / np.arange(1, len(order) + 1)
+            last_of_equals = np.append(p[order][1:] < p[order][:-1], True)
+            good = np.flatnonzero((right >= precision) & last_of_equals)
+            if not len(good):
+                self.thresholds[int(kind)] = 2.0
+                continue
+            k = good[np.argmax(np.cumsum(y[order])[good])]
+            ends = np.clip(p[order[k : k + 2]], 1e-6, 1 - 1e-6)
+            self.thresholds[int(kind)] = float(1 / (1 + np.exp(-np.log(ends / (1 - ends)).mean())))
         return self

@@ -408,6 +408,59 @@ def test_one_listed_word_in_a_clean_text_does_not_decide(spark):
     assert {i for i, n in n_abuse.items() if n} == {i for i in range(200) if i % 4 == 1}
 
 
+#: Sentences that neither training nor calibration saw: kind, sentence, whether the kind is in it.
+OWN_SENTENCES = [
+    ("email", "Bitte an <post.stelle (at) rathaus (dot) de> senden", True),
+    ("email", "You can write to <tom[at]example[dot]com> any time", True),
+    ("email", "contact <eva.ruiz at universidad dot es> first", True),
+    ("email", "He stayed <away at night. Nobody> knew", False),
+    ("email", "They aimed <high at last. Success> came", False),
+    ("phone", "Phone <(312) 555-0147> for details", True),
+    ("phone", "Llame al tel. <915 550 123>", True),
+    ("phone", "fax: <303-555-0188>", True),
+    ("phone", "The invoice <310 224 5518> was paid", False),
+    ("phone", "in <2004 310 900> units", False),
+    ("card", "visa <4929 1234 5678 9011> and 1111 2222 3333 4444", False),
+    ("card", "my card <4111111111111111> 1234123412341234", True),
+    ("card", "Karte 0000 1111 0000 1111 <5500 0000 0000 0004>", True),
+    ("ssn", "Her social security number is <123-45-6789>", True),
+    ("ssn", "part <123-45-6789> was replaced", False),
+    ("iban", "IBAN: <AT61 1904 3002 3457 3201>", True),
+    ("iban", "konto <BE68539007547034>", True),
+    ("iban", "serial <AT62 1904 3002 3457 3201>", False),
+]
+
+
+def test_pii_of_written_sentences():
+    right = Counter()
+    for kind, sentence, good in OWN_SENTENCES:
+        a, b, text = sentence.index("<"), sentence.index(">") - 1, sentence.replace("<", "").replace(">", "")
+        ((_, spans),) = pii.find_all([text], pii.model())
+        right[kind] += any(pii.KINDS[k] == kind and s < b and a < e for k, s, e in spans) == good
+    n = Counter(kind for kind, _, _ in OWN_SENTENCES)
+    assert sum(right.values()) >= 16 and all(right[k] >= n[k] - 1 for k in n), right
+
+
+def test_thresholds_differ_by_kind_and_keep_the_precision_asked():
+    t = pii.model().thresholds
+    assert sorted(t) == [pii.KINDS.index(k) for k in ("email", "card", "phone", "ssn", "iban")] or len(set(t.values())) == 5
+    r, right, found = random.Random(99), Counter(), Counter()
+    for _ in range(3000):
+        text, kind, good = pii._example(r)
+        ((_, spans),) = pii.find_all([text], pii.model())
+        for k, a, b in spans:
+            if pii.KINDS[k] == kind:
+                found[kind] += 1
+                right[kind] += good
+    assert all(right[k] / found[k] > 0.95 for k in found), (right, found)
+
+
+def test_long_locals_and_domains_are_read_whole():
+    local, domain = "a" * 500, "(dot)".join(["part" * 10] * 9 + ["org"])
+    text = f"mail {local}(at){domain} now"
+    assert ("email", 5, len(text) - 4) in pii.candidates(text)
+
+
 def test_cards_in_small_groups_beside_another_number():
     for text, card in (("pay 12 41 11 11 11 11 11 11 11 today", "41 11 11 11 11 11 11 11"), ("card 123 411 111 111 111 111 1", "411 111 111 111 111 1"), ("card 9 " + " ".join("4111111111111111"), " ".join("4111111111111111"))):
         at = text.index(card)
