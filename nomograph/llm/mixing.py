@@ -2,9 +2,9 @@
 
 Every document gets a hash-random key. Keys are read as ranges (their leading hex digits); each source's
 ranges are summed where the rows lie, prefix sums over the ranges find the one range in which the source's
-budget ends, and only that range's rows are sorted to find the exact cut. So no source's rows ever meet in
-one task, and only sums of ranges and the rows of one range a source are shuffled. A budget above the
-source's size takes whole epochs first.
+budget ends, first of a few thousand wide ranges, then of those inside the one found, and only the last range's rows are
+sorted to find the exact cut. So no source's rows, and no unbounded number of its ranges, ever meet in one task. A budget
+above the source's size takes whole epochs first. Targets need one row for each source in one task.
 
 Targets: all sizes times EXTRA, shared by weight; no target above MAX_EPOCHS times its source's size, the
 excess reshared by weight. This has a closed form: with sources in order of (cap / weight), those before
@@ -30,6 +30,8 @@ MAX_EPOCHS = 2
 WORD = r"[^\x20\x09-\x0D]+"
 #: A key range holds about so many rows; how many there are follows from the number of rows.
 RANGE_ROWS = 20_000
+#: Digits by which the range of a cut is narrowed at a time.
+DIGITS = 3
 #: A table of sources is broadcast up to this many rows (each under a kilobyte); beyond it, joined by shuffle.
 BROADCAST_SOURCES = 50_000
 
@@ -66,31 +68,30 @@ def targets(sums: DataFrame) -> DataFrame:
 def cuts(sized: DataFrame) -> DataFrame:
     """sized: _src, _none, _key, size. A row for each source: source_size, target, epochs, and where the last epoch ends: keys before cut_key are in, rows with it take part in proportion (cut_part of cut_whole words)."""
     digits = max(0, math.ceil(math.log(max(1, sized.count()) / RANGE_ROWS, 16)))
-    sized = sized.withColumn("_range", F.substring("_key", 1, digits))
-    ranges = sized.groupBy("_src", "_none", "_range").agg(F.sum("size").alias("_words"))
+    source = ["_src", "_none"]
     budget = (
-        targets(ranges.groupBy("_src", "_none").agg(F.sum("_words").alias("source_size")))
+        targets(sized.groupBy(*source).agg(F.sum("size").alias("source_size")))
         .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))).otherwise(0).cast("long"))
         .withColumn("_rest", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
     )
     budget = cut(budget)
-    upto = Window.partitionBy("_src", "_none").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
-        ranges.withColumn("_upto", F.sum("_words").over(upto))
-        .join(few(budget), ["_src", "_none"])
-        .where((F.col("_upto") >= F.col("_rest")) & (F.col("_upto") - F.col("_words") < F.col("_rest")))
-        .select("_src", "_none", "_range", (F.col("_rest") - F.col("_upto") + F.col("_words")).alias("_within"))
-    )
-    in_range = Window.partitionBy("_src", "_none").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-    last = (
-        sized.join(few(cut(ends)), ["_src", "_none", "_range"])
-        .groupBy("_src", "_none", "_key", "_within")
-        .agg(F.sum("size").alias("_words"))
-        .withColumn("_upto", F.sum("_words").over(in_range))
-        .where((F.col("_upto") >= F.col("_within")) & (F.col("_upto") - F.col("_words") < F.col("_within")))
-        .select("_src", "_none", F.col("_key").alias("cut_key"), (F.col("_within") - F.col("_upto") + F.col("_words")).alias("cut_part"), F.col("_words").alias("cut_whole"))
-    )
-    return cut(budget.drop("_rest", "weight").join(last, ["_src", "_none"], "left"))
+    # the range in which a source's budget ends, narrowed by a few digits at a time; _within: what of the budget is left there
+    ends = budget.where("_rest > 0").select(*source, F.lit("").alias("_range"), F.col("_rest").alias("_within"))
+    steps = [*range(DIGITS, digits, DIGITS), digits]
+    for width in steps:
+        inside = sized.join(few(ends), source).where(F.startswith("_key", F.col("_range"))).select(*source, F.substring("_key", 1, width).alias("_range"), "_within", "size")
+        ends = cut(_end(inside, "_range").select(*source, "_range", F.col("part").alias("_within")))
+    inside = sized.join(few(ends), source).where(F.startswith("_key", F.col("_range"))).select(*source, "_key", "_within", "size")
+    last = _end(inside, "_key").select(*source, F.col("_key").alias("cut_key"), F.col("part").alias("cut_part"), F.col("_words").alias("cut_whole"))
+    return cut(budget.drop("_rest", "weight").join(last, source, "left"))
+
+
+def _end(inside: DataFrame, by: str) -> DataFrame:
+    """Of each source's ranges (or keys) in order the one at which their words reach _within, and the part of its words that is needed. A window holds 16 ** DIGITS ranges, or the keys of one range."""
+    words = inside.groupBy("_src", "_none", by, "_within").agg(F.sum("size").alias("_words"))
+    upto = F.sum("_words").over(Window.partitionBy("_src", "_none").orderBy(by).rowsBetween(Window.unboundedPreceding, 0))
+    reached = words.withColumn("_upto", upto).where((F.col("_upto") >= F.col("_within")) & (F.col("_upto") - F.col("_words") < F.col("_within")))
+    return reached.withColumn("part", F.col("_within") - F.col("_upto") + F.col("_words"))
 
 
 def few(sources: DataFrame) -> DataFrame:
