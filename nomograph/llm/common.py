@@ -10,16 +10,13 @@ from collections.abc import Callable
 from typing import TypeVar
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nomograph.session import ship
+from nomograph.session import small_batches as small_batches  # for the operators
 
 #: The bytes 0x09-0x0D and 0x20 separate words. bytes.split() without arguments splits on exactly these.
 SPACE = " \t\n\x0b\x0c\r"
-#: Rows and bytes of an Arrow batch. Texts can be long, so a batch holds far less than Spark's default. A longer text is a batch of its own.
-BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -64,17 +61,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Before Python runs on executors: gives them this package, and bounds a worker's memory by smaller Arrow batches. The
-    settings stay with the session, as a plan reads them when it runs; they lower larger values only, and change no result."""
-    ship(spark)
-    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = spark.conf.get(key, None)
-        if now is None or not now.isdigit() or not 0 < int(now) <= most:
-            spark.conf.set(key, str(most))
-
-
 Table = TypeVar("Table")
 _kept: dict[str, object] = {}
 
@@ -107,3 +93,8 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """df's own columns of these names; other columns, however named, stay out of the plan."""
     return df.select(*[df[f"`{n}`"] for n in names])
+
+
+def hash_share(*of: Column | str) -> Column:
+    """A number from 0 to 1 by a hash of the columns, as fine as a double: rows below a share make a sample of that share."""
+    return F.xxhash64(*of).cast("double") / 2.0**64 + 0.5

@@ -10,9 +10,9 @@ Toxicity is learned from `labels`: a bounded sample of labelled documents, chose
 TOXICITY_ROWS toxic and as many clean ones), trains a logistic scorer for each language on words and their beginnings.
 A text is toxic if the scorer of any language says so, whatever its own lang is; a single word decides only if labels say
 so. Languages with fewer than LEAST_TOXIC toxic or clean documents in the sample share one scorer. Where labels give no
-scorer at all, any word of the list ABUSE makes a text toxic.
+scorer at all, any word of a list makes a text toxic (a parameter of Toxicity, ABUSE by default).
 
-Defined cases: labels without a document or a toxic value are ignored, an id labelled twice is toxic if one label says so; a null text counts as empty and is scored like any other; repeated rows get equal scores; an
+Defined cases: labels without a document or a toxic value are ignored, an id labelled twice is toxic if one label says so; repeated rows count once in the samples, and rows of one id are drawn by id and text; a null text counts as empty and is scored like any other; repeated rows get equal scores; an
 empty table gives an empty result; texts of any length count whole; other columns are ignored.
 """
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import no_table, pick, small_batches, table, utf8
+from nomograph.llm.common import hash_share, no_table, pick, small_batches, table, utf8
 from nomograph.llm.rules import SYMBOLS, Text
 
 #: Documents whose posteriors train the scorer, chosen by a hash of doc_id.
@@ -40,7 +40,7 @@ TOXICITY_ROWS = 3000
 LEAST_TOXIC = 5
 STARTS = 400
 START_BYTES = range(4, 9)
-#: English abusive words, for tables without labels.
+#: English abusive words, the default of Toxicity's parameter for tables without labels.
 ABUSE = frozenset("idiot idiots moron morons stupid loser losers scum worthless pathetic disgusting clown trash imbecile dumbass".encode().split())
 
 _SHAPES = bytes(0x61 if 0x61 <= b <= 0x7A or b >= 0x80 else 0x41 if 0x41 <= b <= 0x5A else 0x30 if 0x30 <= b <= 0x39 else b for b in range(256))
@@ -66,10 +66,6 @@ class Votes(Text):
     def share(self, test: Callable[[bytes], bool]) -> float:
         return sum(n for w, n in self.counts.items() if test(w)) / max(1, len(self.words))
 
-    @property
-    def abuse(self) -> int:
-        return sum(n for w, n in self.counts.items() if w.lower().strip(_EDGES) in ABUSE)
-
 
 def _vote(good: bool, bad: bool) -> int:
     return 1 if good else -1 if bad else 0
@@ -192,8 +188,9 @@ def learn(docs: DataFrame) -> tuple[LabelModel, np.ndarray]:
                 ["doc_id", "code", "i", "x"],
             )
 
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < F.lit(share * 1_000_000))
-    sample = chosen.mapInArrow(featurise, "doc_id long, code long, i array<int>, x array<float>").toArrow().sort_by("doc_id")
+    chosen = rows.where(hash_share("doc_id", F.xxhash64("text"), F.lit(5)) < share)
+    # repeated rows count once, so that they don't swell the sample; a full order, so that reruns train alike
+    sample = chosen.mapInArrow(featurise, "doc_id long, code long, i array<int>, x array<float>").dropDuplicates().orderBy("doc_id", "code", "i", "x").toArrow()
     target = model.posterior(sample["code"].to_pylist())
     features = [(i.values.to_numpy(), x.values.to_numpy()) for i, x in zip(sample["i"], sample["x"], strict=True)]
     return model, train(features, target)
@@ -214,7 +211,8 @@ def bare_words(t: Votes) -> Counter:
 class Toxicity:
     """Logistic scorers, one for each group of labelled texts: weights of log counts of words and beginnings, and of the text's size."""
 
-    def __init__(self):
+    def __init__(self, words: frozenset[bytes] = ABUSE):
+        self.words = words  # any of them makes a text toxic while there is no scorer
         self.scorers: list[tuple[float, float]] = []  # weight of the size, constant
         self.weights: dict[bytes, list[tuple[int, float]]] = {}  # feature -> (scorer, weight)
         self.heads: frozenset[bytes] = frozenset()  # the features' first bytes, so that most words cost one lookup
@@ -260,7 +258,7 @@ class Toxicity:
     def n_abuse(self, t: Votes) -> int:
         """0 for a text that isn't toxic; else the uses of words that speak for it, at least 1."""
         if not self.scorers:
-            return t.abuse
+            return sum(n for w, n in t.counts.items() if w.lower().strip(_EDGES) in self.words)
         heads, first, found, words = self.heads, START_BYTES[0], Counter(), []
         for w, n in t.counts.items():
             w = w.lower().strip(_EDGES)
@@ -287,7 +285,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame) -> Toxicity:
     known = pick(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     n = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic"), TOXICITY_ROWS / max(1, n.get(True, 0))).otherwise(TOXICITY_ROWS / max(1, n.get(False, 0)))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1_000_000)) < share * 1_000_000)
+    chosen = known.where(hash_share("doc_id", F.lit(6)) < share)
     rows = pick(docs, "doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "toxic", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +296,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame) -> Toxicity:
             columns = [pa.array([list(b) for b in bare], pa.list_(pa.binary())), pa.array([list(b.values()) for b in bare], pa.list_(pa.int64())), pa.array([len(t.words) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2), *columns], ["doc_id", "lang", "toxic", "w", "k", "size"])
 
-    found = rows.mapInArrow(count, "doc_id long, lang string, toxic boolean, w array<binary>, k array<long>, size long").toArrow().sort_by("doc_id")
+    found = rows.mapInArrow(count, "doc_id long, lang string, toxic boolean, w array<binary>, k array<long>, size long").dropDuplicates().orderBy("doc_id", "lang", "w", "k").toArrow()
     return Toxicity().fit([(lang.as_py(), bad.as_py(), dict(zip(w.as_py(), k.as_py(), strict=True)), size.as_py()) for lang, bad, w, k, size in zip(*[found[c] for c in ("lang", "toxic", "w", "k", "size")], strict=True)])
 
 
