@@ -145,7 +145,7 @@ def estimate(x: Column, y: Column) -> Column:
 
 
 def confirmed(docs: DataFrame, registers: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The links among pairs (a < b, distinct): those that the sketches let pass and the full sets confirm."""
+    """The links among pairs (a < b, distinct): those that the sketches let pass and the full sets confirm. Not checkpointed: their components are."""
     pairs = cut(pairs)
     likely = cut(
         pairs.join(registers.select(F.col("doc_id").alias("a"), F.col("registers").alias("x")), "a")
@@ -155,7 +155,7 @@ def confirmed(docs: DataFrame, registers: DataFrame, pairs: DataFrame) -> DataFr
     )
     sets = cut(sets_of(docs, cut(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())))
     both = F.size(F.array_intersect("x", "y"))
-    return cut(
+    return (
         likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
         .where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both))
@@ -230,7 +230,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     all_rows = cut(sketches(docs))
     rows = all_rows.select("doc_id", "n_shingles", "digest")
     reps = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    rows = rows.join(reps, "digest", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
+    # empty sets, whatever their number, stay out of the join
+    rows = rows.where(F.col("digest").isNotNull()).join(reps, "digest").select("doc_id", "n_shingles", "rep").unionByName(rows.where(F.col("digest").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("rep")))
     standing = all_rows.join(reps, "digest").where((F.col("doc_id") == F.col("rep")) & F.col("bands").isNotNull()).select("doc_id", "registers", "bands").dropDuplicates(["doc_id"])
     standing = cut(standing)
     registers = standing.select("doc_id", "registers")
