@@ -10,8 +10,9 @@ precision. A traversal yields counts and a spanning forest of the links, never t
 Equal vectors form a class, counted through its one representative.
 
 Defined cases: vectors that are null, empty, zero, or hold nulls or non-finite numbers link with nothing;
-vectors of different lengths don't link; repeated rows are links of each other; an empty table gives an
-empty result; other columns are ignored.
+vectors of different lengths don't link; repeated rows are links of each other; a row without vec_id links as any
+other, but names no component, and where all rows of a vector have none they have no links; rows that share a vec_id
+but not the vector are each judged by their own vector; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -293,7 +294,9 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     parts = connected(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     of_class = reps.select("digest", "rep", "rows").join(counts, "rep", "left").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     of_class = of_class.select("digest", (F.coalesce("n", F.lit(0)) + F.col("rows") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
-    joined = named.join(of_class, "digest", "left")
+    # vectors that link with nothing, whatever their number, stay out of the join
+    alone = named.where(F.col("digest").isNull()).select("vec_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
+    joined = named.where(F.col("digest").isNotNull()).join(of_class, "digest", "left").select("vec_id", "n_links", "component_id").unionByName(alone)
     component = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
 

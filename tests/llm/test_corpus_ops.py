@@ -142,6 +142,13 @@ def test_embedding_tables(spark):
     assert cover_tree.near_duplicates(empty).count() == 0
 
 
+def test_embeddings_without_or_with_shared_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.99, 0.05, 0.0]
+    rows = [(None, a), (1, a), (2, c), (None, b), (None, None), (7, a), (7, [0.0, 0.0, 1.0]), (8, None), (8, a)]
+    got = sorted(map(tuple, cover_tree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()), key=str)
+    assert got == sorted([(None, 4, 1, None), (1, 4, 1, True), (2, 4, 1, False), (7, 4, 1, False), (8, 4, 1, False), (None, 0, None, None), (None, 0, None, None), (7, 0, 7, True), (8, 0, 8, True)], key=str)
+
+
 # --- mixing ---
 
 
@@ -203,6 +210,8 @@ def test_mixing_with_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_ROWS", 2)
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     assert sorted(map(tuple, mixing.words_taken(df).collect())) == one
+    monkeypatch.setattr(mixing, "DIGITS", 1)
+    assert sorted(map(tuple, mixing.words_taken(df).collect())) == one
 
 
 # --- pages ---

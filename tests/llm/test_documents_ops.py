@@ -338,6 +338,50 @@ def test_language_cases(spark):
     assert {r.lang_pred for r in langid.predict(docs, {}).collect()} == {"und"}
 
 
+def test_language_against_a_plain_reading(spark):
+    """Letter by letter and trigram by trigram, without tables, on texts that are all drawn for training."""
+    docs = [(i, t, lang) for i, (t, lang) in enumerate([("the cat sat on the mat", "en"), ("where is the other hat", "en"), ("le chat est sur la table", "fr"), ("où est la règle, déjà?", "fr"), ("der hund läuft über die straße", "de"), ("DIE Katze schläft!!", "de"), ("", "de"), (None, "fr"), ("12 !", "en"), ("日本語の文", "ja"), ("a", None)] * 3)]
+
+    def profile(text):
+        total, letters = np.zeros(langid.SIZE), []
+        for ch in " " + (text or "").lower() + " ":
+            if ch.isalpha() or not letters or letters[-1]:
+                letters.append(ord(ch) if ch.isalpha() else 0)
+        if not any(letters):
+            return None
+        if letters[-1]:
+            letters.append(0)
+        vector = lambda c: np.random.Generator(np.random.PCG64([langid.SEED, c])).integers(0, 2, langid.SIZE, np.int8) * 2.0 - 1
+        for a, b, c in zip(letters, letters[1:], letters[2:], strict=False):
+            total += np.roll(vector(a), 2) * np.roll(vector(b), 1) * vector(c)
+        return total
+
+    import zlib
+
+    sums = {}
+    for i, t, lang in docs:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and t is not None and lang is not None:
+            sums.setdefault(lang, np.zeros(langid.SIZE))
+            if (p := profile(t)) is not None:
+                sums[lang] += p
+    df = documents(spark, docs)
+    got = {r.doc_id: r for r in langid.predict(df, langid.prototypes(df)).collect()}
+    for i, t, _ in docs:
+        p = profile(t)
+        if p is None:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        cosines = {k: p @ v / np.linalg.norm(p) / np.linalg.norm(v) for k, v in sums.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert got[i].lang_pred == best and abs(got[i].score - max(0.0, cosines[best])) < 1e-5
+
+
+def test_commonest_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    df = documents(spark, [(i, "some text here", f"x{max(0, i - 20)}" if i % 2 else "aa") for i in range(60)])
+    assert set(langid.prototypes(df)) == {"aa", "x0"}
+
+
 def test_trigram_table_may_start_anew(monkeypatch):
     s = langid.Space(64)
     wanted = s.profile(prose(1, 200))
@@ -367,6 +411,58 @@ def test_label_model_finds_accuracies():
     assert sum((p[c] >= 0.5) == g for c, gs in truth.items() for g in gs) / 20_000 > 0.93
 
 
+def test_quality_against_a_plain_reading(spark):
+    """Votes, accuracies and posteriors a document at a time, a scorer without hashing into arrays, and every score by loops."""
+    import math
+    import zlib
+
+    docs = [(i, t) for i, t in enumerate([*[t for _, t, *_ in awkward()], *[prose(k, 5 + k) for k in range(20)], "%%% ### " * 30, "LOUD WORDS! " * 20, "same line\n" * 12, "a b c"])]
+    df = documents(spark, docs)
+    model, weights = weak_quality.learn(df)
+    votes = [[f(weak_quality.Votes((t or "").encode())) for f in weak_quality.LABELLERS.values()] for _, t in docs]
+    k = len(weak_quality.LABELLERS)
+    prior, p_vote = 0.8, [[{-1: 0.3, 0: 0.4, 1: 0.3} for _ in range(k)], [{-1: 0.002, 0: 0.499, 1: 0.499} for _ in range(k)]]
+
+    def good(v):
+        bad = math.prod([p_vote[0][j][x] for j, x in enumerate(v)]) * (1 - prior)
+        fine = math.prod([p_vote[1][j][x] for j, x in enumerate(v)]) * prior
+        return fine / (fine + bad)
+
+    for _ in range(200):
+        p = [good(v) for v in votes]
+        prior, before = min(0.98, max(0.02, sum(p) / len(p))), p_vote
+        p_vote = [[{x: (sum(w for w, v in zip(ws, votes, strict=True) if v[j] == x) + 0.5) / (sum(ws) + 1.5) for x in (-1, 0, 1)} for j in range(k)] for ws in ([1 - q for q in p], p)]
+        if max(abs(p_vote[c][j][x] - before[c][j][x]) for c in (0, 1) for j in range(k) for x in (-1, 0, 1)) < 1e-7:
+            break
+    codes = [weak_quality.pattern(weak_quality.Votes((t or "").encode())) for _, t in docs]
+    assert np.allclose(model.posterior(codes), [good(v) for v in votes], atol=1e-4)
+
+    def score(text):
+        t = weak_quality.Votes((text or "").encode())
+        found = Counter()
+        for w in (text or "").encode().split():
+            found[b"w" + w.lower().strip(weak_quality._EDGES)] += 1
+            found[b"s" + re.sub(rb"(?s)(.)\1+", rb"\1", w.translate(weak_quality._SHAPES))] += 1
+        norm = math.sqrt(sum(math.log1p(n) ** 2 for n in found.values()))
+        n = max(1, len(t.words))
+        z = sum(weights[zlib.crc32(f) % weak_quality.DIMENSIONS] * math.log1p(c) / norm for f, c in found.items())
+        rates = (t.n_symbols / n, t.n_repeat_words / n, t.n_dup_lines / max(1, t.n_lines), t.word_chars / n / 10, t.raw.count(b"!") / n, len(set(t.words)) / n, sum(w.isupper() for w in t.words) / n)
+        rest = [b"r%d:%d" % (i, min(20, int(x * 20))) for i, x in enumerate(rates)] + [b"n%d" % n.bit_length(), b"bias"]
+        return 1 / (1 + math.exp(-z - 0.5 * sum(weights[zlib.crc32(f) % weak_quality.DIMENSIONS] for f in rest)))
+
+    got = {r.doc_id: r for r in weak_quality.score(df, weights).collect()}
+    assert all(abs(got[i].score - score(t)) < 1e-5 for i, t in docs)
+    words = weak_quality.Toxicity(frozenset([b"alpha"]))
+    flagged = {r.doc_id for r in weak_quality.score(documents(spark, [(1, "Alpha, beta"), (2, "idiot")]), weights, words).collect() if r.n_abuse}
+    assert flagged == {1}
+
+
+def test_repeated_rows_do_not_swell_the_sample(spark):
+    df = documents(spark, [(None, "the same text again and again")] * 500 + [(i, prose(i, 30)) for i in range(30)])
+    _, weights = weak_quality.learn(df)
+    assert np.isfinite(weights).all() and weak_quality.score(df, weights).count() == 530
+
+
 def test_quality_agrees_with_labels(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
