@@ -34,6 +34,8 @@ from nomograph.llm.common import pick, small_batches, table, worker_table
 #: bounds change no result.
 KEPT_MOVES, FRESH_MOVES = 300_000, 100_000
 MOST_PIECES = 120_000
+#: First bytes of pieces whose state a worker keeps, and of how many.
+HEAD, MOST_HEADS = 6, 100_000
 #: Pieces longer than this aren't kept.
 LONG_PIECE = 64
 
@@ -86,6 +88,8 @@ class Transducer:
         self.moves: dict[int, int] = {}
         self.fresh: dict[int, int] = {}
         self.kept_states = self.kept_outputs = 1
+        self.heads: dict[bytes, tuple[int, bytes]] = {}
+        self.now = 0
 
     def _forget(self) -> None:
         for state in self.states[self.kept_states :]:
@@ -197,14 +201,18 @@ class Transducer:
             move = self.fresh[key] = self._move(state, byte)
         return move
 
-    def steps(self, piece: bytes) -> list[bytes]:
-        """The coded ids that each byte settles, and at last what the end settles."""
-        if len(self.fresh) > FRESH_MOVES:
-            self._forget()
-        if len(self.follows) > FRESH_MOVES:
-            self.follows.clear()
-        state, moves, outputs, out = 0, self.moves, self.outputs, []
-        for byte in piece:
+    def steps(self, piece: bytes) -> Iterator[bytes]:
+        """A byte at a time: the coded ids that each byte settles, and at last what the end settles."""
+        state = 0
+        for k in range(len(piece)):
+            yield b"".join(self._run(piece[k : k + 1], state))
+            state = self.now
+        yield self.ends[state]
+
+    def _run(self, data: bytes, state: int) -> list[bytes]:
+        """The coded ids that each byte settles; now is the state after it."""
+        moves, outputs, out = self.moves, self.outputs, []
+        for byte in data:
             key = state << 8 | byte
             move = moves.get(key)
             if move is None:
@@ -212,13 +220,27 @@ class Transducer:
                 if move is None:
                     move = self._new_move(key, state, byte)
             state = move >> 32
-            out.append(outputs[move & 0xFFFFFFFF])
-        out.append(self.ends[state])
+            if done := move & 0xFFFFFFFF:
+                out.append(outputs[done])
+        self.now = state
         return out
 
     def encode(self, piece: bytes) -> bytes:
-        """The piece's ids as little-endian unsigned 32-bit integers."""
-        return b"".join(self.steps(piece))
+        """The piece's ids as little-endian unsigned 32-bit integers. Where the first bytes of pieces lead is remembered."""
+        if len(self.fresh) > FRESH_MOVES:
+            self._forget()
+        if len(self.follows) > FRESH_MOVES:
+            self.follows.clear()
+        head = piece[:HEAD]
+        known = self.heads.get(head)
+        if known is None:
+            out = b"".join(self._run(head, 0))
+            known = (self.now, out)
+            if self.now < self.kept_states and len(self.heads) < MOST_HEADS:
+                self.heads[head] = known
+        state, out = known
+        rest = self._run(piece[HEAD:], state)
+        return b"".join([out, *rest, self.ends[self.now]])
 
 
 class Encoder(dict):
