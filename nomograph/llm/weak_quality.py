@@ -18,6 +18,7 @@ empty table gives an empty result; texts of any length count whole; other column
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import hash_share, no_table, pick, small_batches, table, utf8
+from nomograph.llm.common import hash_share, no_table, pick, small_batches, table, utf8, worker_table
 from nomograph.llm.rules import SYMBOLS, Text
 
 #: Documents whose posteriors train the scorer, chosen by a hash of doc_id.
@@ -43,6 +44,9 @@ START_BYTES = range(4, 9)
 #: English abusive words, the default of Toxicity's parameter for tables without labels.
 ABUSE = frozenset("idiot idiots moron morons stupid loser losers scum worthless pathetic disgusting clown trash imbecile dumbass".encode().split())
 
+#: Words whose forms a worker keeps, and bytes of a word to keep.
+MOST_FORMS, LONG_WORD = 100_000, 64
+
 _SHAPES = bytes(0x61 if 0x61 <= b <= 0x7A or b >= 0x80 else 0x41 if 0x41 <= b <= 0x5A else 0x30 if 0x30 <= b <= 0x39 else b for b in range(256))
 _AGAIN = re.compile(rb"(.)\1+", re.S)
 _EDGES = b".,;:!?\"'()[]{}*#$%&|<>-"
@@ -133,12 +137,26 @@ class LabelModel:
         return self._posterior(np.array([votes_of(c) for c in codes], np.int64).reshape(len(codes), len(LABELLERS)) + 1)
 
 
-def hashed(t: Votes) -> tuple[np.ndarray, np.ndarray]:
+class Forms(dict):
+    """Words -> the features of each, the bare word and its shape. A full table starts anew."""
+
+    def __missing__(self, w: bytes) -> tuple[bytes, bytes]:
+        forms = b"w" + w.lower().strip(_EDGES), b"s" + _AGAIN.sub(rb"\1", w.translate(_SHAPES))
+        if len(w) <= LONG_WORD:
+            if len(self) >= MOST_FORMS:
+                self.clear()
+            self[w] = forms
+        return forms
+
+
+def hashed(t: Votes, forms: Forms) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values, of unit length: words, their shapes, and the text's rates by size."""
-    found: Counter = Counter()
+    found: dict[bytes, int] = {}
+    count = found.get
     for w, n in t.counts.items():
-        found[b"w" + w.lower().strip(_EDGES)] += n
-        found[b"s" + _AGAIN.sub(rb"\1", w.translate(_SHAPES))] += n
+        word, shape = forms[w]
+        found[word] = count(word, 0) + n
+        found[shape] = count(shape, 0) + n
     size = max(1, len(t.words))
     rates = (t.n_symbols / size, t.n_repeat_words / size, t.n_dup_lines / max(1, t.n_lines), t.word_chars / size / 10, t.raw.count(b"!") / size, len(t.counts) / size, t.share(bytes.isupper))
     keys = [zlib.crc32(k) % DIMENSIONS for k in found]
@@ -179,10 +197,10 @@ def learn(docs: DataFrame) -> tuple[LabelModel, np.ndarray]:
     share = min(1.0, TRAINING_ROWS / max(1, sum(counts.values())))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        no_table()
+        forms = worker_table("forms", Forms)
         for batch in batches:
             texts = [Votes(x) for x in utf8(batch.column(1))]
-            both = [hashed(t) for t in texts]
+            both = [hashed(t, forms) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array([pattern(t) for t in texts], pa.int64()), pa.array([i for i, _ in both], pa.list_(pa.int32())), pa.array([x for _, x in both], pa.list_(pa.float32()))],
                 ["doc_id", "code", "i", "x"],
@@ -190,10 +208,10 @@ def learn(docs: DataFrame) -> tuple[LabelModel, np.ndarray]:
 
     chosen = rows.where(hash_share("doc_id", F.xxhash64("text"), F.lit(5)) < share)
     # repeated rows count once, so that they don't swell the sample; a full order, so that reruns train alike
-    sample = chosen.mapInArrow(featurise, "doc_id long, code long, i array<int>, x array<float>").dropDuplicates().orderBy("doc_id", "code", "i", "x").toArrow()
-    target = model.posterior(sample["code"].to_pylist())
-    features = [(i.values.to_numpy(), x.values.to_numpy()) for i, x in zip(sample["i"], sample["x"], strict=True)]
-    return model, train(features, target)
+    sample = chosen.mapInArrow(featurise, "doc_id long, code long, i array<int>, x array<float>").dropDuplicates().toArrow()
+    found = [(doc_id is None, doc_id or 0, code, i.values.to_numpy(), x.values.to_numpy()) for doc_id, code, i, x in zip(sample["doc_id"].to_pylist(), sample["code"].to_pylist(), sample["i"], sample["x"], strict=True)]
+    found.sort(key=lambda r: (*r[:3], r[3].tobytes(), r[4].tobytes()))
+    return model, train([r[3:] for r in found], model.posterior([r[2] for r in found]))
 
 
 def starts(word: bytes) -> list[bytes]:
@@ -296,8 +314,12 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame) -> Toxicity:
             columns = [pa.array([list(b) for b in bare], pa.list_(pa.binary())), pa.array([list(b.values()) for b in bare], pa.list_(pa.int64())), pa.array([len(t.words) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2), *columns], ["doc_id", "lang", "toxic", "w", "k", "size"])
 
-    found = rows.mapInArrow(count, "doc_id long, lang string, toxic boolean, w array<binary>, k array<long>, size long").dropDuplicates().orderBy("doc_id", "lang", "w", "k").toArrow()
-    return Toxicity().fit([(lang.as_py(), bad.as_py(), dict(zip(w.as_py(), k.as_py(), strict=True)), size.as_py()) for lang, bad, w, k, size in zip(*[found[c] for c in ("lang", "toxic", "w", "k", "size")], strict=True)])
+    found = rows.mapInArrow(count, "doc_id long, lang string, toxic boolean, w array<binary>, k array<long>, size long").toArrow()
+    rows = {}  # repeated rows count once; a full order, so that reruns train alike
+    for i, lang, bad, w, k, size in zip(*[found[c] for c in ("doc_id", "lang", "toxic", "w", "k", "size")], strict=True):
+        words = dict(zip(w.as_py(), k.as_py(), strict=True))
+        rows[i.as_py(), lang.is_valid, lang.as_py() or "", size.as_py(), hashlib.sha256(repr(sorted(words.items())).encode()).digest()] = (lang.as_py(), bad.as_py(), words, size.as_py())
+    return Toxicity().fit([rows[key] for key in sorted(rows)])
 
 
 def score(docs: DataFrame, weights: np.ndarray, toxicity: Toxicity | None = None) -> DataFrame:
@@ -306,13 +328,13 @@ def score(docs: DataFrame, weights: np.ndarray, toxicity: Toxicity | None = None
     shared = docs.sparkSession.sparkContext.broadcast((weights, toxicity or Toxicity()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        no_table()
+        forms = worker_table("forms", Forms)
         w, toxic = shared.value
         for batch in batches:
             scores, abuse = [], []
             for raw in utf8(batch.column(1)):
                 t = Votes(raw)
-                i, x = hashed(t)
+                i, x = hashed(t, forms)
                 scores.append(float(1 / (1 + np.exp(-np.clip(w[i] @ x, -30, 30)))))
                 abuse.append(toxic.n_abuse(t))
             kept = [s >= 0.5 and not a for s, a in zip(scores, abuse, strict=True)]
