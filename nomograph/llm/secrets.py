@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import checkpoint_dir, cut, exists, folder_in, pick, table
+from nomograph.llm.common import checkpoint_dir, cut, exists, folder_in, pick, remove, table
 
 #: kind -> (pattern, a quick test without which the pattern can't match, least length of the group or match, group).
 #: Run lengths are in the pattern where the whole run is the match; assign drops short values after matching.
@@ -107,10 +107,11 @@ def findings_of(versions: DataFrame, ledger: str | None = None) -> DataFrame:
     """versions: doc_id, text, one row for each path or historical version. doc_id, blob, spans of every row.
 
     ledger: a folder of findings (Parquet), read if it exists and extended by what this call scans; None stands for the
-    session's setting LEDGER, and without that for a new folder in the shared one. Texts of unseen blobs are shuffled once,
+    session's setting LEDGER, and without that for a new folder in the shared one, removed when its findings are read. Texts of unseen blobs are shuffled once,
     to meet one copy of each; in a first scan, where all are unseen, only those that a quick test lets pass."""
     spark = versions.sparkSession
-    ledger = ledger or spark.conf.get(LEDGER, None) or folder_in(spark, f"ledger-{uuid.uuid4().hex}")
+    kept = ledger or spark.conf.get(LEDGER, None)
+    ledger = kept or folder_in(spark, f"ledger-{uuid.uuid4().hex}")
     rows = pick(versions, "doc_id", "text")
     paths = rows.select("doc_id", blob_of(F.col("text")).alias("blob"))
     unseen = paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id"))
@@ -133,6 +134,8 @@ def findings_of(versions: DataFrame, ledger: str | None = None) -> DataFrame:
     entries.select("blob", F.lit(RULE_VERSION).alias("rule_version"), F.coalesce("_spans", _none()).alias("spans")).write.mode("append").parquet(ledger)
     found = spark.read.schema(FOUND).parquet(ledger).where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0))
     found = cut(found.select("blob", "spans").dropDuplicates(["blob"]))  # two runs at once may have scanned the same blob
+    if not kept:
+        remove(spark, ledger)
     return found_in(paths, found, F.col("blob")).select("doc_id", "blob", F.coalesce("_spans", _none()).alias("spans"))
 
 

@@ -1,6 +1,7 @@
 """Operators on single documents against independent readings of their contracts."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -281,6 +282,12 @@ def test_a_second_run_with_the_ledger_set_scans_nothing(spark, tmp_path, monkeyp
     assert runs[0] == runs[1] and scanned[0] > 0 and scanned[1] == 0
 
 
+def test_a_ledger_of_one_run_is_removed(spark):
+    found = secrets.findings_of(documents(spark, [(1, "password=hunter2hunter2")]))
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert found.count() == 1 and not [f for f in os.listdir(folder) if f.startswith("ledger-")]
+
+
 def test_secret_scans_take_linear_time(spark):
     """Runs in which a match could start anywhere, and texts of very many matches, found and redacted."""
     import time
