@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nomograph.llm import bpe, conversations, cover_tree, html_extract, langid, minhash, mixing, pii, rules, secrets, weak_quality
+from nomograph.llm import bpe, conversations, cover_tree, heap_lloyd, html_extract, langid, minhash, mixing, pii, rules, secrets, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -20,5 +20,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": rules.op9_quality_rules,
     "op10_secret_scan": secrets.op10_secret_scan,
     "op12_conversation_repair": conversations.op12_conversation_repair,
+    "op13_heap_lloyd": heap_lloyd.op13_heap_lloyd,
 }
-ORACLE_SQL: dict[str, str] = {"op2_cover_tree": cover_tree.OP2_SQL, "op6_minhash": minhash.OP6_SQL, "op4_mixing": mixing.OP4_SQL, "op9_quality_rules": rules.OP9_SQL, "op10_secret_scan": secrets.OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_cover_tree": cover_tree.OP2_SQL, "op6_minhash": minhash.OP6_SQL, "op4_mixing": mixing.OP4_SQL, "op9_quality_rules": rules.OP9_SQL, "op10_secret_scan": secrets.OP10_SQL, "op13_heap_lloyd": heap_lloyd.OP13_SQL}
