@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nomograph.llm import bpe, conversations, cover_tree, heap_lloyd, html_extract, langid, minhash, mixing, pii, rules, secrets, weak_quality
+from nomograph.llm import bpe, conversations, cover_tree, heap_lloyd, html_extract, kmeans_tree, langid, minhash, mixing, pii, rules, secrets, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": langid.op8_language,
     "op9_quality_rules": rules.op9_quality_rules,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_kmeans_tree": kmeans_tree.op11_kmeans_tree,
     "op12_conversation_repair": conversations.op12_conversation_repair,
     "op13_heap_lloyd": heap_lloyd.op13_heap_lloyd,
 }

@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from nomograph.llm import heap_lloyd
+from nomograph.llm import heap_lloyd, kmeans_tree
 from nomograph.llm.registry import ORACLE_SQL, QUERIES
 from tests.conftest import DATA
 from tests.llm.helpers import EXTRA
@@ -103,3 +103,101 @@ def test_heaps_spare_measuring(spark, monkeypatch):
 
 def test_codes_query(spark):
     assert same(QUERIES["op13_heap_lloyd"](spark, DATA), connect(DATA), ORACLE_SQL["op13_heap_lloyd"]) == 500
+
+
+# --- nearest neighbours ---
+
+
+def good(e):
+    return bool(e) and all(v is not None and math.isfinite(v) for v in e) and any(e)
+
+
+def nearest(rows, k=20):
+    """query -> [(vec_id, score)] by exact sums."""
+    rows = [(i, e) for i, e, *_ in rows if i is not None and good(e)]
+    out = {}
+    for q in sorted({i for i, _ in rows if i % 20 == 0}):
+        v = min(e for i, e in rows if i == q)
+        found = sorted((-math.fsum(a * b for a, b in zip(v, e, strict=True)), i) for i, e in rows if i != q and len(e) == len(v))
+        out[q] = [(i, -s) for s, i in found[:k]]
+    return {q: f for q, f in out.items() if f}
+
+
+def searched(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def close(got, true):
+    assert {q: [i for i, _ in f] for q, f in got.items()} == {q: [i for i, _ in f] for q, f in true.items()}
+    for q, found in got.items():
+        assert np.allclose([s for _, s in found], [s for _, s in true[q]], rtol=1e-12, atol=1e-12)
+
+
+def small_leaves(monkeypatch, **values):
+    for name, value in ({"LEAF": 32, "BLOCK": 24, "GROUP": 7, "BRANCH": 4} | values).items():
+        monkeypatch.setattr(kmeans_tree, name, value)
+
+
+def test_search_query(spark):
+    """One leaf: exact."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = QUERIES["op11_kmeans_tree"](spark, DATA)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    close(searched(got), nearest(rows))
+
+
+@pytest.mark.parametrize(("clusters", "least"), [(0, 0.9), (30, 0.9)])
+def test_recall_by_calibrated_visits(spark, monkeypatch, clusters, least):
+    small_leaves(monkeypatch)
+    monkeypatch.setattr(kmeans_tree, "CALIBRATION", 40)
+    rows = vectors(2000, 16, 8, clusters)
+    df = spark.createDataFrame(rows, SCHEMA)
+    index = kmeans_tree.Index(df)
+    visits, reached = index.calibrate(index.queries())
+    assert len(index.counts) > 30 and visits < len(index.counts) and reached >= 0.95
+    got, true = searched(kmeans_tree.neighbours(df)), nearest(rows)
+    assert set(got) == set(true) and all(len(f) == 20 for f in got.values())
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in true[q]}) for q in true) >= least * 20 * len(true)
+    assert searched(kmeans_tree.neighbours(df.repartition(3))) == got  # reruns agree
+
+
+def test_all_leaves_are_an_exact_search(spark, monkeypatch):
+    small_leaves(monkeypatch)
+    rows = vectors(900, 12, 9)
+    index = kmeans_tree.Index(spark.createDataFrame(rows, SCHEMA))
+    close(searched(index.search(index.queries(), 10_000)), nearest(rows))
+
+
+def test_search_of_ties_copies_and_awkward_vectors(spark, monkeypatch):
+    """A third of all rows is one vector; there are vectors without ids, of other lengths, without components; ids shared by rows."""
+    from pyspark.sql import functions as F
+
+    small_leaves(monkeypatch, TARGET=1.0)
+    r = random.Random(5)
+    grid = [[float(r.choice([-1, 0, 1])) for _ in range(6)] for _ in range(400)]
+    rows = [(i, e if i % 3 else [1.0, 0.5, 0.0, 0.0, 0.0, -1.0], 1) for i, e in enumerate(grid)]
+    rows += rows[:25] + [(20, [9.0] * 6, 1), (2000, None, 1), (2020, [], 1), (2040, [0.0] * 6, 1), (2060, [float("nan")] * 6, 1), (2080, [float("inf")] * 6, 1), (2100, [None, 1.0], 1), (None, [3.0] * 6, 1), (2120, [1.0, 2.0], 1), (2121, [1.0, 3.0], 1), (2140, [4.0, 1.0, 1.0], 1)]
+    df = spark.createDataFrame(rows, SCHEMA).select("*", *[F.lit(7).alias(c) for c in (*EXTRA, "leaf", "score", "rank", "query_id", "block")])
+    index = kmeans_tree.Index(df)
+    close(searched(index.search(index.queries(), 10_000)), nearest(rows))
+    got, true = searched(kmeans_tree.neighbours(df)), nearest(rows)
+    assert {q: len(f) for q, f in got.items()} == {q: len(f) for q, f in true.items()}
+    assert kmeans_tree.neighbours(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert kmeans_tree.neighbours(spark.createDataFrame([(1, [1.0], 1)], SCHEMA)).collect() == []
+    assert kmeans_tree.neighbours(spark.createDataFrame([(20, [1.0], 1)], SCHEMA)).collect() == []
+
+
+def test_equal_vectors_have_equal_scores():
+    r = np.random.default_rng(1)
+    x = r.normal(size=(70, 64))
+    rows = np.concatenate([x, x, x])
+    order = r.permutation(len(rows))
+    _, j, s = kmeans_tree.best(x[:5], np.full(5, -1), np.full(5, -np.inf), rows[order], order.astype(np.int64))
+    for k in range(5):
+        found = [(-score, order[n]) for score, n in zip(s[k * 20 : k * 20 + 20], j[k * 20 : k * 20 + 20], strict=True)]
+        assert found == sorted(found)
+        assert len({order[n] % 70 for n in j[k * 20 : k * 20 + 20]}) == 7  # three equal rows each
