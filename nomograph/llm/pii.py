@@ -42,8 +42,9 @@ PRECISION = 0.95
 Span = tuple[int, int]
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
-_CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+_CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_NO_DIGITS = re.compile(r"[^0-9]+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 
 
@@ -57,7 +58,7 @@ def luhn(digits: str) -> bool:
 
 
 def _digits(s: str) -> str:
-    return "".join(c for c in s if "0" <= c <= "9")
+    return _NO_DIGITS.sub("", s)
 
 
 def base_emails(text: str) -> list[Span]:
@@ -90,7 +91,8 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?
 _RUN = re.compile(r"[0-9]+")
 
 
-def candidates(text: str) -> list[tuple[str, int, int]]:
+def others(text: str) -> list[tuple[str, int, int]]:
+    """Candidates of all kinds but cards."""
     found = []
     for m in _AT.finditer(text):
         start = m.start()
@@ -101,21 +103,99 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     found += [("phone", *m.span()) for m in _LOOSE_PHONE.finditer(text)]
     found += [("ssn", *m.span()) for m in _SSN.finditer(text)]
     found += [("iban", *m.span()) for m in _IBAN.finditer(text)]
-    for m in _CARD.finditer(text):  # windows of whole groups inside a longer run
-        if m.end() - m.start() < 13:
-            continue
-        groups = [(m.start() + g.start(), m.start() + g.end()) for g in _RUN.finditer(m[0])]
-        for i, (start, _) in enumerate(groups):
-            n = 0
-            for a, b in groups[i : i + 19]:  # no cut: a group has a digit at least, so more would be over 19
-                n += b - a
-                if n > 19:
-                    break
-                if n >= 13:
-                    found.append(("card", start, b))
     return found
 
 
+def runs(text: str) -> Iterator[re.Match[str]]:
+    """Runs of digits and separators that may hold a card."""
+    return (m for m in _CARD.finditer(text) if m.end() - m.start() >= 13)
+
+
+def candidates(text: str) -> list[tuple[str, int, int]]:
+    """All candidates, windows that fail Luhn's test among them: the trees learn from these too."""
+    found = others(text)
+    for m in runs(text):
+        windows = Windows(m, sound=False)
+        found += [("card", a, b) for k in windows.blocks() for a, b in zip(*(x.tolist() for x in windows.spans(*k)), strict=True)]
+    return found
+
+
+def _running(x: np.ndarray) -> np.ndarray:
+    """Sums of what comes before each place, and of all."""
+    out = np.zeros(len(x) + 1, np.int32)
+    np.cumsum(x, out=out[1:])
+    return out
+
+
+class Windows:
+    """The windows of whole groups of 13 to 19 digits in a run; sound: only those that pass Luhn's test, which running sums tell at once."""
+
+    def __init__(self, m: re.Match[str], sound: bool = True):
+        self.text, self.start, self.sound = m.string, m.start(), sound
+        self.raw = raw = np.frombuffer(m[0].encode("ascii"), np.uint8)
+        self.at = np.flatnonzero(raw >= 48).astype(np.int32)  # all separators come before the digits
+        self.digit = digit = raw[self.at] - 48
+        first = np.concatenate([[True], np.diff(self.at) > 1])
+        self.firsts, self.last = np.flatnonzero(first).astype(np.int32), np.append(first[1:], True)
+        self.group = np.cumsum(first, dtype=np.int32) - 1
+        self.size = np.diff(np.append(self.firsts, len(digit))).astype(np.int32)
+        doubled = (2 * digit - 9 * (digit > 4)).astype(np.int32)
+        even = np.zeros(len(digit), bool)
+        even[::2] = True
+        self.sums = [_running(np.where(even == side, digit, doubled)) for side in (True, False)]
+        self.dashes = _running(raw == 45)
+
+    def blocks(self, starts: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """First and last digits (exclusive) of windows, by start and end, some thousand groups at a time."""
+        for at in range(0, len(self.firsts), starts):
+            a = np.repeat(self.firsts[at : at + starts], 7)
+            b = a + np.tile(np.arange(13, 20, dtype=np.int32), len(a) // 7)
+            fits = b <= len(self.digit)
+            a, b = a[fits], b[fits]
+            whole = self.last[b - 1]
+            a, b = a[whole], b[whole]
+            if self.sound:
+                good = self.luhn(a, b)
+                a, b = a[good], b[good]
+            if len(a):
+                yield a, b
+
+    def luhn(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of running sums in which even digits count once, or odd ones: that in which the window's last digit does."""
+        plain, other = self.sums
+        return np.where(b % 2 == 1, plain[b] - plain[a], other[b] - other[a]) % 10 == 0
+
+    def spans(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.start + self.at[a], self.start + self.at[b - 1] + 1
+
+    def features(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """features() of each window."""
+        out = np.zeros((len(a), 25))
+        low, high, g, h = self.at[a], self.at[b - 1] + 1, self.group[a], self.group[b - 1]
+        most = self.size[g].copy()
+        for k in range(1, 19):
+            some = g + k <= h
+            if not some.any():
+                break
+            most[some] = np.maximum(most[some], self.size[g[some] + k])
+        dashes = self.dashes[high] - self.dashes[low]
+        out[:, :8] = np.stack([np.full(len(a), KINDS.index("card")), high - low, b - a, h - g + 1, self.size[g], self.size[h], most, self.luhn(a, b)], axis=1)
+        out[:, 10], out[:, 11] = dashes, high - low - (b - a) - dashes
+        # what stands before a window is text only near the run's start, else digits and separators; the neighbours likewise
+        for k in np.flatnonzero(low < 40):
+            before = self.text[max(0, self.start + low[k] - 40) : self.start + low[k]]
+            out[k, 17], out[k, 18] = bool(_HINTS["card"].search(before)), bool(_AGAINST.search(before[-16:]))
+        out[:, 21], out[:, 22] = (self.raw[low - 1] == 45) & (low > 0), self.raw[np.minimum(high, len(self.raw) - 1)] == 45
+        left, right = self.text[self.start - 1 : self.start], self.text[self.start + len(self.raw) : self.start + len(self.raw) + 1]
+        out[low == 0, 19], out[low == 0, 21] = left.isalnum(), left in _BEFORE and left != ""
+        ends = high == len(self.raw)
+        out[ends, 20], out[ends, 22] = right.isalnum(), right in _AFTER and right != ""
+        one = self.digit[a]
+        year = (one == 1) & (self.digit[a + 1] == 9) | (one == 2) & (self.digit[a + 1] == 0)
+        out[:, 23], out[:, 24] = year & (self.size[g] == 4), (one >= 3) & (one <= 6)
+        return out
+
+
 _HINTS = {
     "email": re.compile(r"mail|contact|write|reach|send", re.I),
     "phone": re.compile(r"tel|phone|call|mobile|cell|fax|dial|ring|handy|móvil|contact", re.I),
@@ -124,6 +204,8 @@ _HINTS = {
     "iban": re.compile(r"iban|account|bank|konto|cuenta|compte", re.I),
 }
 _AGAINST = re.compile(r"version|release|order|invoice|isbn|part|page|item|serial|ref|no\.|#|\$|€|£|total|date|id\b", re.I)
+#: Neighbours that speak against a candidate, before and after it.
+_BEFORE, _AFTER = "-/.:,$€£#", "-/:%$€£"
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -138,7 +220,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         KINDS.index(kind), len(s), len(digits), len(groups), groups[0] if groups else 0, groups[-1] if groups else 0, max(groups, default=0),
         luhn(digits) if digits else 0, s.startswith("+"), "(" in s, s.count("-"), s.count(" "), s.count("."), "@" in s,
         bool(re.search(r"[\[({]at[\])}]", s, re.I)), bool(re.search(r"dot", s, re.I)), iban,
-        bool(_HINTS[kind].search(before)), bool(_AGAINST.search(before[-16:])), left.isalnum(), right.isalnum(), left in "-/.:,$€£#" and left != "", right in "-/:%$€£" and right != "",
+        bool(_HINTS[kind].search(before)), bool(_AGAINST.search(before[-16:])), left.isalnum(), right.isalnum(), left in _BEFORE and left != "", right in _AFTER and right != "",
         digits[:2] in ("19", "20") and len(groups[:1]) and groups[0] == 4, digits[:1] in "3456" and digits != "",
     ]
 
@@ -239,30 +321,74 @@ def model() -> BoostedTrees:
     return BoostedTrees().fit(x[~held], y[~held]).calibrate(x[held], y[held], PRECISION, x[held, 0].astype(int))
 
 
+#: Candidates that are scored at a time.
+AT_ONCE = 8192
+
+
+class Likely:
+    """Candidates of a batch of texts that reach their kind's threshold; candidates come in, and are let go of when scored."""
+
+    def __init__(self, trees: BoostedTrees):
+        self.trees, self.waiting, self.rows, self.found = trees, [], 0, []
+        self.least = np.array([trees.thresholds.get(k, 2.0) for k in range(len(KINDS))])
+
+    def add(self, text: int, a: np.ndarray, b: np.ndarray, x: np.ndarray) -> None:
+        if len(x):
+            self.waiting.append((np.full(len(a), text), a, b, x))
+            self.rows += len(a)
+            if self.rows >= AT_ONCE:
+                self.score()
+
+    def score(self) -> None:
+        if self.waiting:
+            text, a, b, x = (np.concatenate(c) for c in zip(*self.waiting, strict=True))
+            kind, p = x[:, 0].astype(np.int64), self.trees.probability(x)
+            good = p >= self.least[kind]
+            self.found.append((text[good].astype(np.int32), kind[good].astype(np.int8), a[good].astype(np.int32), b[good].astype(np.int32), p[good]))
+            self.waiting, self.rows = [], 0
+
+    def best(self) -> Iterator[tuple[int, int, int, int]]:
+        """(text, kind, start, end) of all, by text; the likeliest first."""
+        self.score()
+        if self.found:
+            text, kind, a, b, p = (np.concatenate(c) for c in zip(*self.found, strict=True))
+            self.found = []
+            order = np.lexsort((b, a, kind, -p, text))
+            for at in range(0, len(order), AT_ONCE):
+                k = order[at : at + AT_ONCE]
+                yield from zip(text[k].tolist(), kind[k].tolist(), a[k].tolist(), b[k].tolist(), strict=True)
+
+
 def find_all(texts: list[str], trees: BoostedTrees) -> list[tuple[dict[str, list[Span]], list[tuple[int, int, int]]]]:
-    """For each text its base spans, and all spans (kind's number, start, end) in order."""
-    base, proposed, rows = [base_spans(t) for t in texts], [], []
+    """For each text its base spans, and all spans (kind's number, start, end) in order. Of cards only windows that pass Luhn's test are proposed."""
+    base, likely = [base_spans(t) for t in texts], Likely(trees)
     for i, text in enumerate(texts):
         taken = sorted(s for spans in base[i].values() for s in spans)
-        starts = [s for s, _ in taken]
-        far = np.maximum.accumulate([e for _, e in taken]) if taken else []
-        for kind, a, b in candidates(text):
-            k = bisect.bisect_left(starts, b) - 1
-            if k < 0 or far[k] <= a:  # it overlaps no base span
-                proposed.append((i, KINDS.index(kind), a, b))
-                rows.append(features(text, kind, a, b))
+        starts = np.array([s for s, _ in taken], np.int64)
+        far = np.concatenate([[-1], np.maximum.accumulate(np.array([e for _, e in taken], np.int64))]) if taken else np.array([-1])
+        free = lambda a, b, starts=starts, far=far: far[np.searchsorted(starts, b)] <= a  # noqa: E731  overlaps no base span
+        found = others(text)
+        for at in range(0, len(found), AT_ONCE):
+            some = found[at : at + AT_ONCE]
+            a, b = np.array([s for _, s, _ in some]), np.array([e for _, _, e in some])
+            left = np.flatnonzero(free(a, b))
+            likely.add(i, a[left], b[left], np.array([features(text, *some[k]) for k in left], float))
+        for m in runs(text):
+            windows = Windows(m)
+            for k in windows.blocks():
+                a, b = windows.spans(*k)
+                left = free(a, b)
+                likely.add(i, a[left], b[left], windows.features(k[0][left], k[1][left]))
     extra: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    if rows:
-        x = np.array(rows, float)
-        p, least = trees.probability(x), np.array([trees.thresholds.get(int(k), 2.0) for k in x[:, 0]])
-        ends: dict[int, list[Span]] = {}
-        for j in sorted(np.flatnonzero(p >= least), key=lambda j: (proposed[j][0], -p[j], proposed[j])):
-            i, k, a, b = proposed[j]
-            used = ends.setdefault(i, [])
-            at = bisect.bisect_left(used, (b, b))
-            if at == 0 or used[at - 1][1] <= a:
-                used.insert(at, (a, b))
-                extra[i].append((k, a, b))
+    used: list[Span] = []
+    now = -1
+    for i, k, a, b in likely.best():
+        if i != now:
+            now, used = i, []
+        at = bisect.bisect_left(used, (b, b))
+        if at == 0 or used[at - 1][1] <= a:
+            used.insert(at, (a, b))
+            extra[i].append((k, a, b))
     return [(found, sorted([(KINDS.index(k), a, b) for k, spans in found.items() for a, b in spans] + more)) for found, more in zip(base, extra, strict=True)]
 
 
