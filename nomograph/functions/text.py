@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The grammars of identifiers.
 ACT_CORE = r"^[0-9A-Z](\d{4}[A-Z]{1,2}\d+)"
 CONSOLIDATED = r"^0(\d{4}[A-Z]{1,2}\d+)-(\d{4})(\d{2})(\d{2})$"
 CASE_NUMBER = r"^([CT])-(\d+)/(\d{2,4})$"
@@ -18,13 +19,13 @@ def _group(text: Column, pattern: str, group: int = 1) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
 
 
-#: White space as readers of the web trim it: the ASCII kinds, no-break spaces, every space separator, line separators.
-BLANK = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+# White space as readers of the web trim it: the ASCII kinds, no-break spaces, every space separator, line separators.
+BLANK = "\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def strip(text: Column) -> Column:
     """The text without white space of any kind at its ends."""
-    return F.regexp_replace(F.regexp_replace(text, f"^{BLANK}+", ""), f"(?<!{BLANK}){BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANK))
 
 
 def _let(value: Column, f: Callable[[Column], Column]) -> Column:

@@ -16,11 +16,12 @@ from nomograph.sources.corpus import Corpus
 
 #: Nodes of parsed plans that only read. What isn't named here is refused.
 READING = frozenset(
-    "Aggregate AsOfJoin Distinct Except Expand Filter Generate GlobalLimit Intersect Join LateralJoin LocalLimit LocalRelation Offset OneRowRelation Pivot Project Range Sample Sort SubqueryAlias "
+    "Aggregate AsOfJoin Distinct Except Expand Filter Generate GlobalLimit Intersect Join LateralJoin LocalLimit LocalRelation Offset OneRowRelation PipeOperator Pivot Project Range Sample Sort SubqueryAlias "
     "Tail Union UnresolvedHaving UnresolvedInlineTable UnresolvedRelation UnresolvedSubqueryColumnAliases UnresolvedTableValuedFunction UnresolvedTVFAliases UnresolvedWith Unpivot Window WithCTE WithWindowDefinition".split()
 )
-#: Functions that run any method of the JVM.
+#: Functions that run any method of the JVM, and what they are once resolved.
 CALLING = frozenset(("reflect", "java_method", "try_reflect"))
+CALLS = frozenset(("CallMethodViaReflection", "TryReflect"))
 LEAST_TEXT = 10
 
 
@@ -32,22 +33,37 @@ def _parsed(spark: SparkSession, statement: str):
 
 
 def _reads(plan) -> bool:
-    """Whether the plan and all plans below it, those of WITH clauses included, only read."""
-    below = [*_seq(plan.children()), *_seq(plan.innerChildren())]
-    if any(_calls(e) for e in _seq(plan.expressions())):
+    """Whether the plan and all plans below it, those of WITH clauses and subqueries included, only read."""
+    if plan.nodeName() not in READING or not all(_harmless(e) for e in _seq(plan.expressions())):
         return False
-    return plan.nodeName() in READING and all(_reads(p) for p in below if "org.apache.spark.sql.catalyst.plans" in (name := p.getClass().getName()) or "analysis" in name)
+    return all(_reads(p) for p in (*_seq(plan.children()), *_seq(plan.innerChildren())))
 
 
 def _seq(seq) -> list:
     return [seq.apply(i) for i in range(seq.size())]
 
 
-def _calls(expression) -> bool:
-    """Whether the expression, or one below it, calls a function that may do anything."""
-    if expression.getClass().getSimpleName() == "UnresolvedFunction" and str(_seq(expression.nameParts())[-1]).lower() in CALLING:
+def _harmless(expression) -> bool:
+    """Whether all functions in the expression are named plainly, by names that call nothing else. What IDENTIFIER(...) names isn't known before it is run."""
+    kind = expression.getClass().getSimpleName()
+    if "UnresolvedIdentifier" in kind or kind.startswith("Parameter") or kind.endswith("Parameter"):
+        return False
+    if kind == "UnresolvedFunction" and str(_seq(expression.nameParts())[-1]).lower() in CALLING:
+        return False
+    return all(_harmless(e) for e in _seq(expression.children()))
+
+
+def _resolved(plan) -> bool:
+    """Whether no expression of an analysed statement calls the JVM, whatever name it came by. The corpus's own tables aren't looked into."""
+    if plan.nodeName() == "View":
         return True
-    return any(_calls(e) for e in _seq(expression.children()))
+    calls = [plan.expressions()]
+    while calls:
+        for e in _seq(calls.pop()):
+            if e.getClass().getSimpleName() in CALLS:
+                return False
+            calls.append(e.children())
+    return all(_resolved(p) for p in (*_seq(plan.children()), *_seq(plan.innerChildren())))
 
 
 def read_only(spark: SparkSession, statement: str) -> bool:
@@ -91,6 +107,8 @@ def select(corpus: Corpus, statement: str, ceiling: int = CEILING) -> Bounded:
         df.schema  # noqa: B018  analysis happens here
     except AnalysisException as e:
         raise RequestError("query_error", str(e).strip().splitlines()[0]) from None
+    if not _resolved(df._jdf.queryExecution().analyzed()):
+        raise RequestError("not_read_only", "The statement calls what isn't a query's to call.")
     changed = own is None or own > ceiling
     return Bounded(df.limit(ceiling) if changed else df, changed)
 

@@ -12,6 +12,7 @@ from nomograph.operators import content, identify, markdown, relations, structur
 from nomograph.plans.config import entry_point
 from nomograph.plans.errors import RequestError
 from nomograph.plans.requests import WINDOW, DocumentRequest, exactly_one
+from nomograph.session import cut
 from nomograph.sources.corpus import Corpus
 
 BASIS = dims.RELATIONS["legal_basis"][0]
@@ -66,14 +67,18 @@ def staleness(corpus: Corpus, celexes: DataFrame) -> DataFrame:
 def documents(corpus: Corpus, requests: DataFrame, fmt: str = "html", content_mode: str = "paged", offset: int = 0, limit: int = WINDOW) -> DataFrame:
     """requests: identifier, kind (celex, eli or work_uri), language, resolve (as_requested or current_consolidated). A row for each
     request: requested_celex, null if nothing answers; the metadata of the document served; whether a newer consolidated
-    version exists; and its body in the language or else in English, whole or a window of it."""
+    version exists; and its body in the language or else in English, whole or a window of it.
+
+    Requests are resolved in jobs of their own, and what they come to (a row each, without bodies) is written to the
+    shared folder: the metadata, the bodies and the result all start from it."""
     asked = requests.select("identifier", "kind", "language", "resolve").distinct()
     found = identify.answers(corpus, asked.select("identifier", "kind").distinct()).select("identifier", "kind", F.col("celex").alias("requested_celex"))
-    asked = asked.join(found, ["identifier", "kind"], "left")
+    asked = cut(asked.join(found, ["identifier", "kind"], "left"))
     stale = staleness(corpus, asked.select(F.col("requested_celex").alias("celex")).where(F.col("celex").isNotNull()))
     asked = asked.join(stale.withColumnRenamed("celex", "requested_celex"), "requested_celex", "left")
     served = F.when(F.col("resolve") == "current_consolidated", F.coalesce("current_consolidated_celex", "requested_celex")).otherwise(F.col("requested_celex"))
     asked = asked.withColumn("celex_number", served).withColumn("is_superseded", F.coalesce("is_superseded", F.lit(False))).withColumnRenamed("language", "requested_language")
+    asked = cut(asked)
     rows = asked.join(metadata(corpus, asked.select(F.col("celex_number").alias("celex"))), "celex_number", "left")
     if content_mode == "metadata_only":
         return rows

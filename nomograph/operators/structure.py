@@ -80,44 +80,40 @@ def sections(headings: DataFrame, requests: DataFrame) -> DataFrame:
 ELEMENTS = ("TI.ART", "STI.ART", "TI", "STI", "NO.P")
 DIVISION = r"(?i)^(CHAPTER|SECTION)\s+([IVXLCDM0-9]+)"
 _TAG = r"</?[A-Za-z][^<>]*>"
-
-
-def tags_of(bodies: DataFrame) -> DataFrame:
-    """bodies: doc_id, body. Every tag in order: doc_id, i, tag (its name in capitals, with the slash of an end tag; null for one with attributes), offset, and after, the text up to the next tag."""
-    tags, pieces = F.regexp_extract_all("body", F.lit(_TAG), F.lit(0)), F.split("body", _TAG, -1)
-    pairs = F.zip_with(tags, F.slice(pieces, 2, F.greatest(F.size(tags), F.lit(1))), lambda t, x: F.struct(t.alias("t"), x.alias("after")))
-    each = bodies.select("doc_id", F.length(F.get(pieces, F.lit(0))).alias("lead"), F.posexplode(pairs).alias("i", "x"))
+_OPENS = r"(?i)^<(?:" + "|".join(e.replace(".", r"\.") for e in ELEMENTS) + ")>"
+_ELEMENT = r"(?is)^<([^\s<>/]+)>.*?</\1>"
+
+
+def elements_of(bodies: DataFrame) -> DataFrame:
+    """bodies: doc_id, body. Every heading element that ends before the next one begins, in order: doc_id, i, name (in capitals), offset, v (its visible text), and touching, whether nothing but white space stands before the next.
+
+    A body is cut where heading elements open; what lies between them is measured and let go of, so that windows sort rows of headings."""
+    pieces = F.split("body", "(?=" + _OPENS.replace("^", "") + ")", -1)
+    each = bodies.select("doc_id", F.posexplode(pieces).alias("i", "piece"))
+    each = each.select("doc_id", "i", F.length("piece").alias("n"), F.when(F.col("piece").rlike(_OPENS), F.regexp_extract("piece", _ELEMENT, 0)).alias("element"), "piece")
+    name = F.upper(F.regexp_extract("element", r"^<([^\s<>/]+)>", 1))
+    inside = F.substring(F.col("element"), F.length("name") + 3, F.length("element") - 2 * F.length("name") - 5)
+    each = each.withColumn("name", F.when(F.length("element") > 0, name))
+    touching = text.strip(F.substring(F.col("piece"), F.length("element") + 1, F.length("piece"))) == ""
+    # settled before the windows: an expression over a window's rows would carry the pieces through the sort
+    each = each.select("doc_id", "i", "n", "name", F.when(F.col("name").isNotNull(), F.struct(text.visible(F.regexp_replace(inside, _TAG, " ")).alias("v"), touching.alias("touching"))).alias("e"))
     before = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    passed = F.coalesce(F.sum(F.length("x.t") + F.length("x.after")).over(before), F.lit(0))
-    name = F.when(F.col("x.t").rlike(r"^</?[^\s<>/]+>$"), F.upper(F.regexp_replace("x.t", "[<>]", "")))
-    return each.select("doc_id", "i", name.alias("tag"), (F.col("lead") + passed).cast("long").alias("offset"), "x.after")
+    return each.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long")).select("doc_id", "i", "name", "offset", "e.v", "e.touching")
 
 
 def outline_xml(bodies: DataFrame) -> DataFrame:
     """bodies: doc_id, body. The headings of acts in XML, as outline_lines gives them. A title is the title element that stands right after the name; recitals count before the first article only; annexes have no element."""
-    by_tag = Window.partitionBy("doc_id").orderBy("i")
-    tags = tags_of(bodies).withColumn("opens", F.coalesce(F.col("tag").isin(list(ELEMENTS)), F.lit(False)))
-    tags = tags.withColumn("element", F.sum(F.col("opens").cast("int")).over(by_tag.rowsBetween(Window.unboundedPreceding, 0))).where("element > 0")
-    within = Window.partitionBy("doc_id", "element").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    name = F.first("tag").over(within)
-    tags = tags.withColumn("name", name).withColumn("ended", F.coalesce(F.max(F.col("tag") == F.concat(F.lit("/"), F.col("name"))).over(within), F.lit(False)))
-    inside = F.transform(F.array_sort(F.collect_list(F.when(~F.col("ended"), F.struct("i", "after")))), lambda x: x["after"])
-    beyond = F.count_if(F.col("ended"))  # the end tag, and whatever else stands before the next element
-    parts = tags.groupBy("doc_id", "element").agg(
-        F.first("name").alias("name"), F.min("offset").alias("offset"), text.visible(F.array_join(inside, " ")).alias("v"), beyond.alias("beyond"), F.max(F.when(F.col("ended"), text.strip(F.col("after")) != "")).alias("words")
-    )
-    by_element = Window.partitionBy("doc_id").orderBy("element")
-    following = F.lead(F.struct("name", "v")).over(by_element)
-    touching = (F.col("beyond") == 1) & ~F.col("words")
-    parts = parts.where("beyond > 0").withColumn("next", F.when(touching, following))
+    in_order = Window.partitionBy("doc_id").orderBy("i")
+    following = F.lead(F.struct("name", "v")).over(in_order)
+    article = F.col("name") == "TI.ART"
+    first = F.min(F.when(article, F.col("offset"))).over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    parts = elements_of(bodies).withColumn("next", F.when(F.col("touching"), following)).withColumn("first", F.coalesce(first, F.lit(2**62))).where(F.col("name").isNotNull())
     subtitle = F.when(F.col("next.name") == F.concat(F.lit("S"), F.col("name")), F.nullif(F.col("next.v"), F.lit("")))
-    article, division = F.col("name") == "TI.ART", (F.col("name") == "TI") & F.col("v").rlike(DIVISION)
-    first = F.min(F.when(article, F.col("offset"))).over(Window.partitionBy("doc_id"))
-    parts = parts.withColumn("title", subtitle).withColumn("first", F.coalesce(first, F.lit(2**62)))
+    division = (F.col("name") == "TI") & F.col("v").rlike(DIVISION)
     recital = (F.col("name") == "NO.P") & F.col("v").rlike(r"^\(\d+\)$") & (F.col("offset") < F.col("first"))
     kind = F.when(article, "article").when(division, F.lower(F.regexp_extract("v", DIVISION, 1))).when(recital, "recital")
     number = F.when(article, F.upper(F.regexp_extract("v", r"\d+[a-z]?", 0))).when(division, F.upper(F.regexp_extract("v", DIVISION, 2))).otherwise(F.regexp_extract("v", r"\d+", 0))
-    found = parts.select("doc_id", kind.alias("kind"), number.alias("number"), "v", "title", "offset").where(F.col("kind").isNotNull())
+    found = parts.select("doc_id", kind.alias("kind"), number.alias("number"), "v", subtitle.alias("title"), "offset").where(F.col("kind").isNotNull())
     own = F.when(F.col("kind") == "article", F.nullif(F.col("v"), F.lit("")))
     return found.select("doc_id", "kind", "number", F.coalesce(own, label(F.col("kind"), F.col("number"))).alias("label"), "title", "offset")
 

@@ -122,10 +122,16 @@ def _(c: Corpus) -> DataFrame:
     return search.search_documents(c, SearchRequest(author="Nation_1", limit=100))
 
 
-@query("search_all_filters", _page(f"w.in_force AND w.doc_date >= DATE '1993-01-01' AND {_has_type('REG')} AND w.work_uri IN (SELECT work_uri FROM work_agents JOIN agent_labels USING (agent_uri) WHERE lang = 'en' AND {_phrase('label', 'supplier')}) AND contains(lower(w.celex), '5')", _type("REG"), 60, 0))
+_ALL = f"""w.in_force AND w.doc_date >= DATE '1992-01-01' AND w.doc_date <= DATE '1998-12-31' AND {_has_type('REG', 'CONS_TEXT')}
+  AND w.work_uri IN (SELECT work_uri FROM work_agents JOIN agent_labels USING (agent_uri) WHERE lang = 'en' AND {_phrase('label', 'supplier')})
+  AND w.work_uri IN (SELECT work_uri FROM work_subjects WHERE concept_uri = '{dims.CONCEPT}45')
+  AND {_KEYWORD.replace("part 7", "5")}"""
+
+
+@query("search_all_filters", _page(_ALL, _type("REG", "CONS_TEXT"), 60, 0))
 def _(c: Corpus) -> DataFrame:
-    works = c["works"].where(F.contains("celex", F.lit("5")))
-    return search.search_documents(Corpus(c.spark, c.folder, works=works), SearchRequest(in_force=True, date_from="1993-01-01", document_type="REG", author="supplier", limit=60))
+    """Every filter of a request at once, over all works."""
+    return search.search_documents(c, SearchRequest(keyword="5", document_type="REG", include_consolidated=True, date_from="1992-01-01", date_to="1998-12-31", concept=dims.CONCEPT + "45", author="supplier", in_force=True, limit=60))
 
 
 # --- cases ---

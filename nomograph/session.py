@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHIPPED = "nomograph_package.zip"
 
@@ -45,3 +45,23 @@ def small_batches(spark: SparkSession) -> None:
         now = spark.conf.get(key, None)
         if now is None or not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder. Only where driver and executors are one process, a temporary one may stand in for it."""
+    sc = spark.sparkContext
+    known = sc.getCheckpointDir()
+    if known is None:
+        known = spark.conf.get("spark.checkpoint.dir", None)
+        if known is None:
+            if sc.master.split("[")[0] != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            known = tempfile.mkdtemp(prefix="nomograph-")
+        sc.setCheckpointDir(known)
+    return known
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes df to the shared checkpoint folder and returns it without its lineage: for what a plan reads more than once, or an iteration hands on."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

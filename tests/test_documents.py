@@ -189,6 +189,37 @@ def test_adhoc_refuses_calls_into_the_jvm(spark):
     assert spark._jvm.java.lang.System.getProperty("own.probe") is None
 
 
+@pytest.mark.parametrize(
+    "statement",
+    [
+        "SELECT IDENTIFIER('reflect')('java.lang.System', 'setProperty', 'nomograph.x', 'y') FROM works",
+        "FROM works |> EXTEND IDENTIFIER('java_' || 'method')('java.lang.System', 'setProperty', 'nomograph.x', 'y') AS z",
+        "FROM works |> SELECT `try_reflect`('java.lang.System', 'setProperty', 'nomograph.x', 'y') AS z",
+        "SELECT system.builtin.reflect('java.lang.System', 'setProperty', 'nomograph.x', 'y')",
+        "SELECT (SELECT max(reflect('java.lang.System', 'setProperty', 'nomograph.x', 'y')) FROM works) AS z",
+        "SELECT transform(array(1), x -> java_method('java.lang.System', 'setProperty', 'nomograph.x', 'y')) AS z",
+        "SELECT celex FROM works WHERE EXISTS (SELECT 1 FROM edges WHERE reflect('java.lang.System', 'setProperty', 'nomograph.x', 'y') = src_uri)",
+        "SELECT celex FROM works ORDER BY reflect('java.lang.System', 'setProperty', 'nomograph.x', 'y')",
+        "SELECT sum(1) OVER (PARTITION BY reflect('java.lang.System', 'setProperty', 'nomograph.x', 'y')) AS z FROM works",
+        "SELECT * FROM range(length(reflect('java.lang.System', 'setProperty', 'nomograph.x', 'y')))",
+        "SELECT * FROM IDENTIFIER('wo' || 'rks')",
+        "WITH a AS (SELECT IDENTIFIER('ce' || 'lex') FROM works) SELECT * FROM a",
+        "EXECUTE IMMEDIATE 'SELECT reflect(1)'",
+    ],
+)
+def test_adhoc_names_functions_plainly(spark, statement):
+    with pytest.raises(RequestError) as e:
+        adhoc.select(Corpus(spark, DATA), statement).df.collect()
+    assert e.value.reason == "not_read_only"
+    assert spark._jvm.java.lang.System.getProperty("nomograph.x") is None
+
+
+def test_adhoc_pipes_and_functions(spark):
+    corpus = Corpus(spark, DATA)
+    assert adhoc.select(corpus, "FROM works |> WHERE celex IS NOT NULL |> EXTEND upper(celex) AS z |> LIMIT 3").df.count() == 3
+    assert adhoc.select(corpus, "SELECT btrim(celex), url_encode(celex), transform(array(1), x -> x + 1), max(celex) OVER () FROM works LIMIT 3").df.count() == 3
+
+
 def test_adhoc_over_given_tables(spark):
     given = Corpus(spark, works=spark.createDataFrame([("w", "32001R0001")], "work_uri string, celex string"))
     assert [tuple(r) for r in adhoc.run(given, "SELECT work_uri, celex FROM works").bindings] == [("w", "32001R0001")]
