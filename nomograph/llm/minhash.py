@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nomograph.llm.common import checkpoint_dir, cut, no_table, pick, small_batches, table, utf8
@@ -262,11 +262,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "n_shingles", found.alias("component_id"), (F.col("doc_id") == found).alias("kept"))
 
 
+#: Ids beyond all others, for rows whose own id is null or names several texts: of these rows those of one id and text share one.
+_BEYOND, _ROOM = 2**62, 2**61
+
+
+def _named(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """docs with _near_id, which names a document, and _several, whether rows may share it; whether any do."""
+    shared = cut(pick(docs, "doc_id").groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_shared")))
+    n = shared.count()
+    if not n:
+        return docs.withColumns({"_near_id": docs["`doc_id`"].cast("long"), "_several": F.lit(False)}), False
+    some = lambda df: F.broadcast(df) if n <= BROADCAST_IDS else df
+    text = F.xxhash64(docs["`text`"])
+    rows = pick(docs, "doc_id", "text").join(some(shared), F.col("doc_id").eqNullSafe(F.col("_shared")), "left_semi")
+    texts = cut(rows.groupBy(F.col("doc_id").alias("_shared")).agg((F.col("_shared").isNull() | (F.min(F.xxhash64("text")) < F.max(F.xxhash64("text")))).alias("_torn")))
+    own = F.when(F.col("_torn"), F.lit(_BEYOND) + F.pmod(F.xxhash64(docs["`doc_id`"], text), F.lit(_ROOM))).otherwise(docs["`doc_id`"])
+    named = docs.join(some(texts), docs["`doc_id`"].eqNullSafe(texts["_shared"]), "left").withColumns({"_near_id": own, "_several": F.col("_torn").isNotNull()}).drop("_shared", "_torn")
+    return cut(named), True
+
+
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """docs without the rows whose document is a near duplicate of an earlier one. The ids that go are broadcast while they are few."""
-    gone = cut(near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
+    """docs with one row of each group of near duplicates: that of the least doc_id. Rows without an id, or with one that names
+    several texts, count as documents of their own behind all others; of rows equal in id and text one stays. Ids that go are
+    broadcast while they are few."""
+    named, several = _named(docs)
+    gone = cut(near_duplicates(named.select(named["_near_id"].alias("doc_id"), named["`text`"].alias("text"))).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, docs["`doc_id`"] == gone["_gone"], "left_anti")
+    stays = named.join(gone, named["_near_id"] == gone["_gone"], "left_anti")
+    if several:
+        by = Window.partitionBy("_near_id").orderBy(F.xxhash64(F.to_json(F.struct(*[named[f"`{c}`"] for c in docs.columns]))))
+        one = stays.where("_several").withColumn("_nth", F.row_number().over(by)).where("_nth = 1").drop("_nth")
+        stays = stays.where("NOT _several").unionByName(one)
+    return stays.drop("_near_id", "_several")
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import SPACE, no_table, pick, small_batches, table, utf8
+from nomograph.llm.common import SPACE, hash_share, no_table, pick, small_batches, table, utf8
 
 #: Documents on which costs and rejection rates are estimated; the verdicts don't depend on it.
 SAMPLE_ROWS = 400
@@ -124,20 +124,40 @@ RULES: dict[str, Callable[[Text], bool]] = {
 }
 
 
-def order_rules(sample: list[bytes | None], rules: dict[str, Callable[[Text], bool]] = RULES) -> list[str]:
-    """Rule names by estimated rejections per second, the best first; ties and an empty sample keep the given order."""
-    worth = {}
+def trial(sample: list[bytes | None], rules: dict[str, Callable[[Text], bool]] = RULES) -> list[tuple[str, int, float]]:
+    """For each rule how many texts it rejects, and the seconds that this takes. A rule pays for the features that it needs, so each has its texts anew."""
+    found = []
     for name, rejects in rules.items():
-        texts = [Text(x) for x in sample]  # anew for each rule: a rule pays for the features it needs
+        texts = [Text(x) for x in sample]
         began = time.perf_counter()
         hits = sum(map(rejects, texts))
-        worth[name] = hits / max(time.perf_counter() - began, 1e-9)
-    return sorted(rules, key=lambda name: -worth[name])
+        found.append((name, hits, time.perf_counter() - began))
+    return found
+
+
+def order_rules(found: list[tuple[str, int, float]], rules: dict[str, Callable[[Text], bool]] = RULES) -> list[str]:
+    """Rule names by estimated rejections per second, the best first; ties and an empty sample keep the given order. found: trials, any number a rule."""
+    hits, seconds = dict.fromkeys(rules, 0), dict.fromkeys(rules, 1e-9)
+    for name, n, took in found:
+        hits[name] += n
+        seconds[name] += took
+    return sorted(rules, key=lambda name: -hits[name] / seconds[name])
 
 
 def sampled_order(docs: DataFrame) -> list[str]:
-    """The order by a bounded sample, read from as few partitions as give its rows."""
-    return order_rules([r[0] for r in pick(docs, "text").select(F.encode("text", "UTF-8")).limit(SAMPLE_ROWS).collect()])
+    """The order by a sample of about SAMPLE_ROWS rows from all of docs, drawn by hash and tried where it lies: only sums reach the driver."""
+    small_batches(docs.sparkSession)
+    share = SAMPLE_ROWS / max(1, docs.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_table()
+        for batch in batches:
+            columns = list(zip(*trial(utf8(batch.column(0))), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rule", "hits", "seconds"])
+
+    some = pick(docs, "doc_id", "text").where(hash_share("doc_id", F.length("text"), F.lit(9)) < share).select("text")
+    tried = some.mapInArrow(run, "rule string, hits long, seconds double").groupBy("rule").agg(F.sum("hits"), F.sum("seconds"))
+    return order_rules([tuple(r) for r in tried.collect()])
 
 
 def passes(text: Text, order: list[str]) -> bool:

@@ -314,8 +314,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame) -> Toxicity:
             columns = [pa.array([list(b) for b in bare], pa.list_(pa.binary())), pa.array([list(b.values()) for b in bare], pa.list_(pa.int64())), pa.array([len(t.words) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2), *columns], ["doc_id", "lang", "toxic", "w", "k", "size"])
 
-    found = rows.mapInArrow(count, "doc_id long, lang string, toxic boolean, w array<binary>, k array<long>, size long").toArrow()
-    rows = {}  # repeated rows count once; a full order, so that reruns train alike
+    found = rows.mapInArrow(count, "doc_id long, lang string, toxic boolean, w array<binary>, k array<long>, size long").dropDuplicates().toArrow()
+    rows = {}  # a text's words may come in another order elsewhere; a full order, so that reruns train alike
     for i, lang, bad, w, k, size in zip(*[found[c] for c in ("doc_id", "lang", "toxic", "w", "k", "size")], strict=True):
         words = dict(zip(w.as_py(), k.as_py(), strict=True))
         rows[i.as_py(), lang.is_valid, lang.as_py() or "", size.as_py(), hashlib.sha256(repr(sorted(words.items())).encode()).digest()] = (lang.as_py(), bad.as_py(), words, size.as_py())

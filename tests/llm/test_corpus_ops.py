@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from nomograph.llm import components, cover_tree, html_extract, langid, minhash, mixing, pii, rules, secrets, weak_quality
@@ -103,6 +104,53 @@ def test_keep_one_of_each(spark, copies):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, _, k) in brute_near(copies).items() if k}
 
 
+def test_keep_one_of_each_by_row(spark):
+    """Repeated rows, rows without ids, ids that name several texts: one row of each group stays."""
+    a, b, c, d = (prose(k, 60) for k in range(50, 54))
+    rows = [(1, a), (1, a), (2, a.replace("alpha", "other", 1)), (None, a), (None, b), (None, b), (5, c), (5, d), (6, c), (7, ""), (7, ""), (8, None)]
+    kept = minhash.keep_one_of_each(documents(spark, rows, extra=True))
+    assert kept.columns == documents(spark, rows, extra=True).columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (None, b), (5, d), (6, c), (7, ""), (8, None)], key=str)
+
+
+def test_one_digest_on_half_of_all_rows(spark):
+    same, other = prose(60, 40), [(i, prose(i, 30)) for i in range(2000, 2400)]
+    rows = [(i, same) for i in range(400)] + other
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {i: 0 if i < 400 else i for i, _ in rows}
+
+
+def test_pairs_at_the_threshold_are_all_found(spark):
+    """Pairs whose similarity is exactly 0.75: 6 n shingles in common, n of its own for each."""
+    rows = []
+    for k in range(300):
+        n = 1 + k % 60
+        shared = " ".join(f"s{k}x{i}" for i in range(6 * n + 4))
+        rows += [(2 * k, shared + "".join(f" a{k}x{i}" for i in range(n))), (2 * k + 1, shared + "".join(f" b{k}x{i}" for i in range(n)))]
+    assert 100 * len(shingle_set(rows[0][1]) & shingle_set(rows[1][1])) == 75 * len(shingle_set(rows[0][1]) | shingle_set(rows[1][1]))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_one_labelled_id_on_very_many_rows(spark):
+    """The sample for toxicity counts a repeated row once, before anything reaches the driver."""
+    docs = [(i, f"you {'rotten trash' if i % 2 else 'kind person'} number {i}", "en") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    one = weak_quality.learn_toxicity(documents(spark, docs), labels)
+    many = documents(spark, docs).unionByName(documents(spark, docs[:1]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(100_000)))).drop("n"))
+    again = weak_quality.learn_toxicity(many, labels)
+    assert one.weights and one.weights == again.weights and one.scorers == again.scorers
+
+
+@pytest.mark.parametrize("labels", [[], [(None, 1, 1), (3, None, None)], [(3, 1, 1), (3, 1, 0), (4, 1, 0)], [(99, 1, 1)]])
+def test_toxicity_of_awkward_tables(spark, labels):
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for rows in (awkward(), []):
+        docs = documents(spark, rows, extra=True)
+        got = weak_quality.score(docs, weak_quality.learn(docs)[1], weak_quality.learn_toxicity(docs, known))
+        assert got.count() == len(rows)
+
+
 # --- near-duplicate embeddings ---
 
 

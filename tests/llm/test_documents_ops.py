@@ -63,7 +63,7 @@ def test_rules(spark, texts):
 
 def test_order_changes_no_verdict():
     sample = [t.encode() for t in (prose(1, 30), "few words", "SHOUTING " * 30, "### " * 20 + prose(2, 5), "same line\n" * 9)]
-    order = rules.order_rules(sample)
+    order = rules.order_rules(rules.trial(sample))
     assert sorted(order) == sorted(rules.RULES) and rules.order_rules([]) == list(rules.RULES)
     for raw in sample:
         assert len({rules.passes(rules.Text(raw), o) for o in (order, order[::-1], list(rules.RULES))}) == 1
