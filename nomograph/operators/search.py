@@ -16,13 +16,17 @@ from nomograph.sources.corpus import Corpus
 
 
 def english(corpus: Corpus) -> DataFrame:
-    """work_uri and title of English expressions."""
+    """work_uri and title of English expressions, from the index of titles where the corpus has one."""
+    if corpus.titles is not None:
+        return corpus.titles.texts.select(F.col("key").alias("work_uri"), F.col("text").alias("title"))
     return corpus["expressions"].where(F.col("language_uri") == dims.ENGLISH).select("work_uri", "title")
 
 
 def keyword_works(corpus: Corpus, keyword: str) -> DataFrame:
     """Works whose English title has the phrase, or whose CELEX has the text. Work ids only, so that duplicates cost nothing downstream."""
     by_celex = corpus["works"].where(text.has_part(F.col("celex"), F.lit(keyword))).select("work_uri")
+    if corpus.titles is not None:
+        return corpus.titles.keys(keyword).select(F.col("key").alias("work_uri")).union(by_celex)
     by_title = english(corpus).where((text.phrase(F.lit(keyword)) != "") & text.has_phrase(F.col("title"), F.lit(keyword))).select("work_uri")
     return by_title.union(by_celex)
 
@@ -72,8 +76,8 @@ def newest_first(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("date").desc_nulls_last(), "celex_number")
 
 
-def search_documents(corpus: Corpus, request: SearchRequest) -> DataFrame:
-    """Documents that pass every given filter. A type filter also limits the types that are listed."""
+def hits(corpus: Corpus, request: SearchRequest) -> tuple[DataFrame, DataFrame]:
+    """All works that pass every given filter, and the types that count: a type filter also limits the types that are listed."""
     works = corpus["works"].where(F.col("celex").isNotNull())
     for condition in in_dates(F.col("doc_date"), request.date_from, request.date_to):
         works = works.where(condition)
@@ -90,6 +94,12 @@ def search_documents(corpus: Corpus, request: SearchRequest) -> DataFrame:
         works = works.join(author_works(corpus, request.author), "work_uri", "left_semi")
     if request.keyword:
         works = works.join(keyword_works(corpus, request.keyword), "work_uri", "left_semi")
+    return works, types
+
+
+def search_documents(corpus: Corpus, request: SearchRequest) -> DataFrame:
+    """A page of the documents that pass every given filter."""
+    works, types = hits(corpus, request)
     return collapse(works, types, english(corpus), request.offset, min(request.limit, corpus.settings.row_ceiling))
 
 

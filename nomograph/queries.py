@@ -628,3 +628,6 @@ def _(c: Corpus) -> DataFrame:
 @query("events_tumbling", "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY ALL")
 def _(c: Corpus) -> DataFrame:
     return event_counts(c["events"])
+
+
+from nomograph import index_queries, graph_queries  # noqa: E402, F401, I001  further queries of this module's kind

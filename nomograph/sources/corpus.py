@@ -109,6 +109,8 @@ class Corpus:
 
     def __init__(self, spark: SparkSession, folder: str | None = None, settings: Settings | None = None, **tables: DataFrame):
         self.spark, self.folder, self.settings, self.given = spark, folder, settings or Settings(), dict(tables)
+        #: An index of English titles (fulltext.PhraseIndex) that searches use in place of the titles, if there is one.
+        self.titles = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.given:
