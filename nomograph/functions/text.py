@@ -148,9 +148,15 @@ def same_number(a: Column, b: Column) -> Column:
     return (a == b) | F.coalesce(number_value(a) == number_value(b), F.lit(False))
 
 
+#: Named character references of bodies, in the order in which they are read.
+NAMED = (("(?i)&nbsp;", " "), ("(?i)&amp;", "&"), ("(?i)&lt;", "<"), ("(?i)&gt;", ">"))
+
+
 def decoded(text: Column) -> Column:
     """Character references of HTML that bodies use, in this order, so that &amp;lt; becomes <. Decimal ones are read with the rest of the text between them."""
-    named = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "(?i)&nbsp;", " "), "(?i)&amp;", "&"), "(?i)&lt;", "<"), "(?i)&gt;", ">")
+    named = text
+    for pattern, char in NAMED:
+        named = F.regexp_replace(named, pattern, char)
     codes = F.regexp_extract_all(named, F.lit(r"&#(\d{1,7});"), F.lit(1))
     pieces = F.split(named, r"&#\d{1,7};", -1)
     char = lambda c: F.decode(F.unhex(F.lpad(F.hex(c.cast("int")), 8, "0")), "UTF-32")

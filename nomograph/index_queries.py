@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nomograph.operators import facets, search
+from nomograph.operators import adhoc, facets, search
 from nomograph.operators.fulltext import K1, B, PhraseIndex, RankedIndex
 from nomograph.plans.requests import SearchRequest
 from nomograph.queries import _NORM, ORACLE_SQL, query
 from nomograph.session import checkpoint_dir
+from nomograph.sources import service
 from nomograph.sources.corpus import Corpus, with_tables
 from nomograph.sources.mirror import Mirror
 from nomograph.streaming.sessions import sessions
@@ -98,3 +99,28 @@ SELECT min(ts) AS session_start, max(ts) AS session_end, user_id, count(*) AS n,
 )
 def _(c: Corpus) -> DataFrame:
     return sessions(c["events"])
+
+
+@query("service_works", with_tables("works") + " SELECT work_uri, celex, doc_date, in_force FROM works WHERE in_force AND doc_date >= DATE '1994-01-01' AND celex IN (SELECT celex FROM works WHERE celex LIKE '3%')")
+def _(c: Corpus) -> DataFrame:
+    """Works as pages of a service, read back through the data source; the first two filters go along with the request."""
+    folder = _new_folder(c, "service")
+    service.store_pages(c["works"].select("work_uri", "celex", "doc_date", "in_force"), folder, "works")
+    works = service.read(c.spark, folder, "works", "work_uri string, celex string, doc_date date, in_force boolean")
+    return works.where((F.col("in_force") == F.lit(True)) & (F.col("doc_date") >= F.lit("1994-01-01").cast("date")) & F.startswith("celex", F.lit("3")))
+
+
+@query("adhoc_outline", ORACLE_SQL["outline_offsets"])
+def _(c: Corpus) -> DataFrame:
+    """Outlines by an ad-hoc statement that calls the table function for each act."""
+    bodies = "SELECT doc_id, array_join(transform(array_sort(collect_list(struct(line_no, line))), x -> x.line), '\\n') AS body FROM act_lines GROUP BY doc_id"
+    return adhoc.select(c, f"SELECT b.doc_id, h.* FROM ({bodies}) b, LATERAL outline(b.body) h", ceiling=2**31 - 1).df
+
+
+@query("adhoc_part_urls", ORACLE_SQL["multipart_urls"])
+def _(c: Corpus) -> DataFrame:
+    """The part addresses of indexes, by an ad-hoc statement over the parts."""
+    link = """concat('<li><a href="/resource/', doc, '/', CASE WHEN seq % 4 = 3 THEN concat('x', seq) ELSE concat('DOC_', seq, '?a=1&amp;b=2') END, '">part</a></li>')"""
+    index = f"SELECT doc, array_join(transform(sort_array(collect_set(struct(seq, {link} AS a)), false), x -> x.a), '') AS index FROM parts GROUP BY doc"
+    statement = f"SELECT doc, array_join(transform(array_sort(collect_list(struct(position, url))), x -> x.url), ' ') AS urls FROM (SELECT i.doc, u.* FROM ({index}) i, LATERAL part_urls(i.index) u) GROUP BY doc"
+    return adhoc.select(c, statement, ceiling=2**31 - 1).df

@@ -9,6 +9,7 @@ from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from nomograph.functions import tables
 from nomograph.plans.config import TIMEOUT_MS, entry_point
 from nomograph.plans.errors import RequestError
 from nomograph.plans.requests import CEILING
@@ -22,6 +23,8 @@ READING = frozenset(
 #: Functions that run any method of the JVM, and what they are once resolved.
 CALLING = frozenset(("reflect", "java_method", "try_reflect"))
 CALLS = frozenset(("CallMethodViaReflection", "TryReflect"))
+#: Table functions that only compute: Spark's, and the corpus's own.
+TABLE_FUNCTIONS = frozenset("range explode explode_outer posexplode posexplode_outer inline inline_outer stack json_tuple variant_explode variant_explode_outer".split()) | set(tables.FUNCTIONS)
 LEAST_TEXT = 10
 
 
@@ -36,6 +39,8 @@ def _reads(plan) -> bool:
     """Whether the plan and all plans below it, those of WITH clauses and subqueries included, only read."""
     if plan.nodeName() not in READING or not all(_harmless(e) for e in _seq(plan.expressions())):
         return False
+    if plan.nodeName() == "UnresolvedTableValuedFunction" and [str(n).lower() for n in _seq(plan.name())][-1] not in TABLE_FUNCTIONS:
+        return False
     return all(_reads(p) for p in (*_seq(plan.children()), *_seq(plan.innerChildren())))
 
 
@@ -99,6 +104,7 @@ def select(corpus: Corpus, statement: str, ceiling: int = CEILING) -> Bounded:
     # a session of its own: its views and its setting, which keeps statements from reading files by path, touch no other
     session = spark.newSession()
     session.conf.set("spark.sql.runSQLOnFiles", "false")
+    tables.register(session)
     of_rows = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows
     for name in corpus.tables():
         DataFrame(of_rows(session._jsparkSession, corpus[name]._jdf.queryExecution().analyzed()), session).createOrReplaceTempView(name)

@@ -220,6 +220,21 @@ def test_adhoc_pipes_and_functions(spark):
     assert adhoc.select(corpus, "SELECT btrim(celex), url_encode(celex), transform(array(1), x -> x + 1), max(celex) OVER () FROM works LIMIT 3").df.count() == 3
 
 
+def test_adhoc_calls_table_functions(spark):
+    body = "(1) first &amp; &#233;\n\nCHAPTER iv\n<b>Rules</b>\nArticle 1a\nArticle 2\n" + "x" * 201 + "\n(2) no recital\nANNEX II - Forms"
+    acts = spark.createDataFrame([(1, body), (2, body), (3, ""), (4, None), (5, "no heading")], "doc_id int, body string")
+    given = Corpus(spark, works=spark.createDataFrame([(1, "x")], "n int, work_uri string"))
+    given.given["works"] = acts
+    got = adhoc.select(given, "SELECT w.doc_id, h.* FROM works w, LATERAL outline(w.body) h", ceiling=1000).df.orderBy("doc_id", "offset").collect()
+    for doc in (1, 2):
+        assert [r.asDict() | {"doc_id": None} for r in got if r.doc_id == doc] == [h | {"doc_id": None} for h in structure.outline(body)]
+    assert {r.doc_id for r in got} == {1, 2} and len(structure.outline(body)) == 5
+    with pytest.raises(RequestError) as e:
+        adhoc.select(given, "SELECT * FROM python_worker_logs()")
+    assert e.value.reason == "not_read_only"
+    assert adhoc.select(given, "SELECT * FROM works w, LATERAL explode(split(w.body, ' ')) LIMIT 2").df.count() == 2
+
+
 def test_adhoc_over_given_tables(spark):
     given = Corpus(spark, works=spark.createDataFrame([("w", "32001R0001")], "work_uri string, celex string"))
     assert [tuple(r) for r in adhoc.run(given, "SELECT work_uri, celex FROM works").bindings] == [("w", "32001R0001")]
