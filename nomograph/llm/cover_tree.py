@@ -5,13 +5,14 @@ most PIVOTS pivots (the top level), and large cells to blocks of about BLOCK vec
 a tree of nested levels whose radii halve from 1 to 1/8; every node keeps its true covering radius. Two cells, and
 then two nodes, are left out if their centres' distance less both radii exceeds T, are linked as a whole if that
 distance plus both radii is within T, and are opened otherwise; vectors in leaves are compared in double
-precision. A traversal yields counts and a spanning forest of the links, never the pairs themselves.
+precision, first over the HEAD components of the greatest variance: what these give and the lengths of the rest bound the
+cosine, and only pairs whose bound reaches THRESHOLD are compared whole. A traversal yields counts and a spanning forest of the links, never the pairs themselves.
 
 Equal vectors form a class, counted through its one representative.
 
 Defined cases: vectors that are null, empty, zero, or hold nulls or non-finite numbers link with nothing;
 vectors of different lengths don't link; repeated rows are links of each other; a row without vec_id links as any
-other, but names no component, and where all rows of a vector have none they have no links; rows that share a vec_id
+other, but names no component (its kept is null, as vec_id = component_id is), and where all rows of a vector have none they have no links; rows that share a vec_id
 but not the vector are each judged by their own vector; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -30,6 +31,8 @@ THRESHOLD = 0.95
 PIVOTS = 512
 BLOCK = 4096
 RADII = (1.0, 0.5, 0.25, 0.125)
+#: Components by which pairs of a leaf are looked at first: this share of them.
+HEAD = 0.25
 #: Pairs opened at a time.
 OPEN = 60_000
 _EPS = 1e-9
@@ -76,11 +79,15 @@ def build(u: np.ndarray) -> np.ndarray:
 class Tree:
     """A block's nodes by level, in an order in which each node is a range of vectors and of nodes below."""
 
-    def __init__(self, ids: np.ndarray, counts: np.ndarray, x: np.ndarray, path: np.ndarray):
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, x: np.ndarray, path: np.ndarray, spread: np.ndarray | None = None):
+        """spread: the components' numbers by falling variance, the same for all trees that meet."""
         order = np.lexsort(path.T[::-1])
         where = np.empty(len(order), np.int64)
         where[order] = np.arange(len(order))
         self.ids, self.counts, self.u = ids[order], counts[order], _unit(x)[order]
+        first = (np.arange(x.shape[1]) if spread is None else spread)[: max(1, round(HEAD * x.shape[1]))]
+        self.head = np.ascontiguousarray(self.u[:, first])
+        self.rest = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", self.head, self.head)))
         path, n = path[order], len(order)
         self.centre, self.radius, self.low, self.high = [], [], [], []
         starts = []
@@ -146,6 +153,8 @@ class Traversal:
                 i, j = i[i < j], j[i < j]
             for at in range(0, len(i), OPEN):
                 p, q = i[at : at + OPEN], j[at : at + OPEN]
+                near = np.einsum("ij,ij->i", a.head[p], b.head[q]) + a.rest[p] * b.rest[q] >= THRESHOLD - _EPS
+                p, q = p[near], q[near]
                 hit = np.einsum("ij,ij->i", a.u[p], b.u[q]) >= THRESHOLD
                 self._link(p[hit], q[hit])
             return
@@ -195,8 +204,9 @@ class Traversal:
         return pa.table({"rep": ids[hit], "n": self.linked[hit], "root": ids[self.parent[hit]]})
 
 
-def _tree(block: pa.Table) -> Tree:
-    return Tree(block["rep"].to_numpy(), block["rows"].to_numpy(), _matrix(block["embedding"]), _matrix(block["path"]).astype(np.int64))
+def _tree(block: pa.Table, spreads: dict[int, np.ndarray]) -> Tree:
+    x = _matrix(block["embedding"])
+    return Tree(block["rep"].to_numpy(), block["rows"].to_numpy(), x, _matrix(block["path"]).astype(np.int64), spreads.get(x.shape[1]))
 
 
 def _planted(block: pa.Table) -> pa.Table:
@@ -205,22 +215,23 @@ def _planted(block: pa.Table) -> pa.Table:
     return block.append_column("path", pa.FixedSizeListArray.from_arrays(pa.array(path.ravel(), pa.int32()), path.shape[1]).cast(pa.list_(pa.int32())))
 
 
-def _pair(block: pa.Table) -> pa.Table:
+def _pair(block: pa.Table, spreads: dict[int, np.ndarray]) -> pa.Table:
     side = block["side"].to_numpy()
-    a = _tree(block.filter(pa.array(side == 0)))
     within = block["i"][0].as_py() == block["j"][0].as_py() and block["s"][0].as_py() == block["z"][0].as_py()
     if not within and side.all() or not within and not side.any():
         return pa.table({"rep": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
-    return Traversal(a, None if within else _tree(block.filter(pa.array(side == 1)))).result()
+    a, b = (None if within and k else _tree(block.filter(pa.array(side == k)), spreads) for k in (0, 1))
+    return Traversal(a, b).result()
 
 
-def _cells(reps: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
-    """reps with cell and salt, and the pairs of cells that may hold a link: i <= j, and each cell's number of salts. Pivots, radii and pairs are bounded by PIVOTS, not by the data."""
+def _cells(reps: DataFrame, total: int) -> tuple[DataFrame, DataFrame, dict[int, np.ndarray]]:
+    """reps with cell and salt, the pairs of cells that may hold a link: i <= j, and each cell's number of salts, and for each length its components by falling variance among the pivots. Pivots, radii and pairs are bounded by PIVOTS, not by the data."""
     spark = reps.sparkSession
     wanted = max(1, min(PIVOTS, -(-total // BLOCK)))
     chosen = [(r[0], np.array(r[1], float)) for r in reps.select("size", "embedding").orderBy(F.xxhash64("rep"), "rep").limit(wanted).collect()]
     sizes = [r[0] for r in reps.select("size").distinct().orderBy("size").limit(PIVOTS).collect()]
     pivots = {n: _unit(np.stack([v for k, v in chosen if k == n])) for n in {k for k, _ in chosen}}
+    spreads = {n: np.argsort(-p.var(axis=0), kind="stable") for n, p in pivots.items()}
     first, cells = {}, 0
     for n in sizes:  # a size without a pivot has one cell, of the greatest radius
         first[n] = cells
@@ -255,13 +266,13 @@ def _cells(reps: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
             if i <= j:
                 pairs.append((i, j, salts[i], salts[j]))
     many = F.create_map(*[F.lit(x) for c, n in salts.items() for x in (c, n)]) if salts else F.create_map().cast("map<int,int>")
-    return dealt.drop("gap").withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(1)), many[F.col("cell")]).cast("int")), spark.createDataFrame(pairs, "i int, j int, ni int, nj int")
+    return dealt.drop("gap").withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(1)), many[F.col("cell")]).cast("int")), spark.createDataFrame(pairs, "i int, j int, ni int, nj int"), spreads
 
 
 def near_pairs(reps: DataFrame) -> DataFrame:
     """reps: rep, rows, size, embedding. rep, n (linked rows of other classes), root (a vector of the same component) for each traversal in which the vector has a link."""
     small_batches(reps.sparkSession)
-    dealt, pairs = _cells(reps, reps.count())
+    dealt, pairs, spreads = _cells(reps, reps.count())
     kind = dict(reps.dtypes)["embedding"]
     cols = "rep long, rows long, size int, embedding " + kind
     # blocks of differing lengths of vectors share a cell only beyond PIVOTS lengths; size keeps them apart
@@ -272,7 +283,7 @@ def near_pairs(reps: DataFrame) -> DataFrame:
     one = one.where((F.col("i") < F.col("j")) | (F.col("s") <= F.col("z")))
     two = two.where((F.col("i") < F.col("j")) | (F.col("s") < F.col("z")))
     keep = ["rep", "rows", "size", "embedding", "path", "i", "s", "j", "z", "side"]
-    return one.select(keep).unionByName(two.select(keep)).groupBy("i", "s", "j", "z", "size").applyInArrow(_pair, "rep long, n long, root long")
+    return one.select(keep).unionByName(two.select(keep)).groupBy("i", "s", "j", "z", "size").applyInArrow(lambda block: _pair(block, spreads), "rep long, n long, root long")
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:

@@ -11,13 +11,15 @@ Documents with equal sets form a class, and one stands for it. In a band's group
 two hubs, its most connected member and one drawn by hash, and all with all only in groups of a few. Confirmed links give
 components. What remains are groups whose members lie in different components. Their documents meet in blocks, each
 document once whatever the number of bands it shares, and a task compares two blocks: only documents of different
-components, sketches first, and full sets where the sketches are alike; a link found joins two components at once, so a
-task returns a link for each join and not the pairs. No candidate is dropped.
+components, and twice. First sketches alone travel, and documents whose sketch is like none of another component are
+done with. Then the others meet with their full sets; a link found joins two components at once, so a task returns a link
+for each join and not the pairs. No candidate is dropped.
 
 Defined cases: null and blank texts have an empty set, 0 shingles and no links; texts of fewer than five words have
 one shingle; repeated rows and exact copies link; an empty table gives an empty result; texts of any
 length count whole; other columns are ignored by near_duplicates and passed through by keep_one_of_each.
-doc_id identifies a document: rows that share it are the same document.
+doc_id identifies a document: rows that share it are the same document. A row without an id names no component, so that
+its component_id is that of an equal text, or null, and its kept is null, as doc_id = component_id is.
 """
 
 from __future__ import annotations
@@ -167,12 +169,36 @@ def _rows(column: pa.ChunkedArray, kind: np.dtype) -> list[np.ndarray]:
     return [x.values.to_numpy().astype(kind, copy=False) for x in column]
 
 
+#: So many equal registers may belong to a link.
+_NEED = REGISTERS * (CHANCE + (1 - CHANCE) * (PERCENT / 100 - MARGIN))
+
+
+def _sides(block: pa.Table) -> tuple[bool, pa.Table, pa.Table]:
+    """Whether a block meets itself, and the two."""
+    first, one = block["side"].to_numpy() == 0, block["i"][0].as_py() == block["j"][0].as_py()
+    a = block.filter(pa.array(first))
+    return one, a, a if one else block.filter(pa.array(~first))
+
+
+def _alike(block: pa.Table) -> pa.Table:
+    """The documents of two blocks, or of one, whose sketch is like one of another component."""
+    one, a, b = _sides(block)
+    parts, regs = [t["part"].to_numpy() for t in (a, b)], [np.stack(_rows(t["registers"], np.int16)) if len(t) else np.empty((0, REGISTERS), np.int16) for t in (a, b)]
+    found = [np.zeros(len(t), bool) for t in (a, b)]
+    if one:
+        found[1] = found[0]
+    for i in range(len(a)):
+        far = np.flatnonzero(parts[1][i + 1 if one else 0 :] != parts[0][i]) + (i + 1 if one else 0)
+        like = far[np.count_nonzero(regs[1][far] == regs[0][i], axis=1) >= _NEED]
+        found[0][i] |= bool(len(like))
+        found[1][like] = True
+    ids = [t["doc_id"].to_numpy()[f] for t, f in zip((a, b), found, strict=True)]
+    return pa.table({"doc_id": pa.array(ids[0] if one else np.concatenate(ids), pa.int64())})
+
+
 def _compare(block: pa.Table) -> pa.Table:
     """Links between documents of two blocks, or of one, that lie in different components; one link joins two."""
-    first = block["side"].to_numpy() == 0
-    one = block["i"][0].as_py() == block["j"][0].as_py()
-    a = block.filter(pa.array(first))
-    b = a if one else block.filter(pa.array(~first))
+    one, a, b = _sides(block)
     out: list[tuple[int, int]] = []
     if len(a) and len(b):
         ids, part = [t["doc_id"].to_numpy() for t in (a, b)], [t["part"].to_numpy().copy() for t in (a, b)]
@@ -180,11 +206,10 @@ def _compare(block: pa.Table) -> pa.Table:
             part[1] = part[0]
         regs = [np.stack(_rows(t["registers"], np.int16)) for t in (a, b)]
         sets = [[x.view(np.uint64) for x in _rows(t["shingles"], np.int64)] for t in (a, b)]  # sorted as they were hashed
-        need = REGISTERS * (CHANCE + (1 - CHANCE) * (PERCENT / 100 - MARGIN))
         for i in range(len(a)):
             far = np.flatnonzero(part[1][i + 1 if one else 0 :] != part[0][i]) + (i + 1 if one else 0)
             equal = np.count_nonzero(regs[1][far] == regs[0][i], axis=1)
-            far, equal = far[equal >= need], equal[equal >= need]
+            far, equal = far[equal >= _NEED], equal[equal >= _NEED]
             for j in far[np.argsort(-equal, kind="stable")]:
                 x, y = sets[0][i], sets[1][j]
                 if part[0][i] == part[1][j] or 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
@@ -198,6 +223,14 @@ def _compare(block: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
 
 
+def _meeting(members: DataFrame) -> DataFrame:
+    """members: doc_id, area and others. Each document once for every block of its area: area, i <= j, side, and the members' columns."""
+    sizes = members.groupBy("area").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "area").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return each.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int")}).drop("own", "other", "blocks")
+
+
 def remaining(docs: DataFrame, registers: DataFrame, groups: DataFrame, parts: DataFrame) -> DataFrame | None:
     """Links that join components among the members of one group; None if every group lies in one component."""
     sides = groups.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component_id", "doc_id").alias("part"))
@@ -211,14 +244,12 @@ def remaining(docs: DataFrame, registers: DataFrame, groups: DataFrame, parts: D
     lowest = by_key.groupBy("key").agg(F.min("end").alias("low"))
     edges = ends.select(F.col("doc_id").alias("a"), F.col("end").alias("b")).unionByName(by_key.join(lowest, "key").select(F.col("low").alias("a"), F.col("end").alias("b")).distinct())
     where = cut(connected(edges)).select(F.col("id").alias("doc_id"), F.col("component_id").alias("area"))
-    members = sides.select("doc_id", "part").distinct().join(where, "doc_id")
-    sizes = members.groupBy("area").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    members = members.join(sizes, "area").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    sets = sets_of(docs, cut(members.select("doc_id")))
-    members = cut(members.join(registers, "doc_id").join(sets, "doc_id"))
-    each = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    each = each.select("doc_id", "part", "registers", "shingles", "area", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    return each.groupBy("area", "i", "j").applyInArrow(_compare, "a long, b long").select(*_pairs(F.col("a"), F.col("b")))
+    members = cut(sides.select("doc_id", "part").distinct().join(where, "doc_id").join(registers, "doc_id"))
+    alike = cut(_meeting(members).groupBy("area", "i", "j").applyInArrow(_alike, "doc_id long").distinct())
+    if alike.isEmpty():
+        return None
+    few = cut(members.join(alike, "doc_id").join(sets_of(docs, alike), "doc_id"))
+    return _meeting(few).groupBy("area", "i", "j").applyInArrow(_compare, "a long, b long").select(*_pairs(F.col("a"), F.col("b")))
 
 
 def _pairs(one: Column, other: Column) -> list[Column]:
