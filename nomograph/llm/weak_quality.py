@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.llm.common import hash_share, no_table, pick, small_batches, table, utf8, worker_table
+from nomograph.llm.common import hash_share, no_table, pick, small_batches, table, utf8
 from nomograph.llm.rules import SYMBOLS, Text
 
 #: Documents whose posteriors train the scorer, chosen by a hash of doc_id.
@@ -44,22 +44,18 @@ START_BYTES = range(4, 9)
 #: English abusive words, the default of Toxicity's parameter for tables without labels.
 ABUSE = frozenset("idiot idiots moron morons stupid loser losers scum worthless pathetic disgusting clown trash imbecile dumbass".encode().split())
 
-#: Words whose forms a worker keeps, and bytes of a word to keep.
-MOST_FORMS, LONG_WORD = 100_000, 64
-
 _SHAPES = bytes(0x61 if 0x61 <= b <= 0x7A or b >= 0x80 else 0x41 if 0x41 <= b <= 0x5A else 0x30 if 0x30 <= b <= 0x39 else b for b in range(256))
-_AGAIN = re.compile(rb"(.)\1+", re.S)
 _EDGES = b".,;:!?\"'()[]{}*#$%&|<>-"
 
 
 class Votes(Text):
     """A text's features for labellers and scorer."""
 
-    __slots__ = ("_counts",)
+    __slots__ = ("_counts", "_shares", "_bare")
 
     def __init__(self, raw: bytes | None):
         super().__init__(raw)
-        self._counts = None
+        self._counts = self._shares = self._bare = None
 
     @property
     def counts(self) -> Counter:
@@ -67,8 +63,33 @@ class Votes(Text):
             self._counts = Counter(self.words)
         return self._counts
 
-    def share(self, test: Callable[[bytes], bool]) -> float:
-        return sum(n for w, n in self.counts.items() if test(w)) / max(1, len(self.words))
+    @property
+    def bare(self) -> dict[bytes, int]:
+        """The words in small letters without the signs around them, counted."""
+        if self._bare is None:
+            self._bare = {}
+            for w, n in self.counts.items():
+                w = w.lower().strip(_EDGES)
+                self._bare[w] = self._bare.get(w, 0) + n
+        return self._bare
+
+    @property
+    def shares(self) -> tuple[float, float, float, float]:
+        """The shares of words of up to three bytes, that end in two symbols, in capitals, and that end a sentence; one pass tells all."""
+        if self._shares is None:
+            short = glued = upper = ends = 0
+            for w, n in self.counts.items():
+                if len(w) <= 3:
+                    short += n
+                elif w[-1] in SYMBOLS and w[-2] in SYMBOLS:
+                    glued += n
+                if w[-1] in b".?!":
+                    ends += n
+                if w.isupper():
+                    upper += n
+            size = max(1, len(self.words))
+            self._shares = short / size, glued / size, upper / size, ends / size
+        return self._shares
 
 
 def _vote(good: bool, bad: bool) -> int:
@@ -78,16 +99,16 @@ def _vote(good: bool, bad: bool) -> int:
 #: name -> vote: 1 good, -1 bad, 0 none. A defect's absence says little, so the labellers of defects don't vote good.
 LABELLERS: dict[str, Callable[[Votes], int]] = {
     "symbols": lambda t: _vote(False, t.n_symbols * 5 > len(t.words)),
-    "glued": lambda t: _vote(False, t.share(lambda w: len(w) > 3 and w[-1] in SYMBOLS and w[-2] in SYMBOLS) > 0.3),
+    "glued": lambda t: _vote(False, t.shares[1] > 0.3),
     "bars": lambda t: _vote(False, t.counts[b"|"] * 6 > len(t.words)),
     "repetition": lambda t: _vote(False, t.n_repeat_words * 5 > len(t.words)),
     "lines": lambda t: _vote(False, t.n_dup_lines * 3 > t.n_lines),
     "few_words": lambda t: _vote(False, len(t.words) < 6),
-    "capitals": lambda t: _vote(False, t.share(bytes.isupper) > 0.5),
+    "capitals": lambda t: _vote(False, t.shares[2] > 0.5),
     "exclamation": lambda t: _vote(False, t.raw.count(b"!") * 8 > len(t.words)),
     "variety": lambda t: _vote(False, len(t.counts) * 10 < len(t.words)),
-    "short_words": lambda t: _vote(0.15 <= (s := t.share(lambda w: len(w) <= 3)) <= 0.65, s < 0.05 or s > 0.9),
-    "full_stops": lambda t: _vote((s := t.share(lambda w: w.endswith((b".", b"?", b"!")))) > 0.02, s < 0.002),
+    "short_words": lambda t: _vote(0.15 <= t.shares[0] <= 0.65, t.shares[0] < 0.05 or t.shares[0] > 0.9),
+    "full_stops": lambda t: _vote(t.shares[3] > 0.02, t.shares[3] < 0.002),
 }
 
 
@@ -137,35 +158,34 @@ class LabelModel:
         return self._posterior(np.array([votes_of(c) for c in codes], np.int64).reshape(len(codes), len(LABELLERS)) + 1)
 
 
-class Forms(dict):
-    """Words -> the features of each, the bare word and its shape. A full table starts anew."""
+_WORD, _SHAPE = zlib.crc32(b"w"), zlib.crc32(b"s")
+
 
-    def __missing__(self, w: bytes) -> tuple[bytes, bytes]:
-        forms = b"w" + w.lower().strip(_EDGES), b"s" + _AGAIN.sub(rb"\1", w.translate(_SHAPES))
-        if len(w) <= LONG_WORD:
-            if len(self) >= MOST_FORMS:
-                self.clear()
-            self[w] = forms
-        return forms
+def shapes(raw: bytes) -> Counter:
+    """The words' shapes: letters small and capital, digits, signs, each run of the same as one. All of a text at once, by replacing doubles until there are none."""
+    kinds = raw.translate(_SHAPES)
+    for c in set(kinds):
+        double = bytes([c, c])
+        if double in kinds:
+            kinds = kinds.replace(4 * double, double[:1]).replace(2 * double, double[:1])
+        while double in kinds:
+            kinds = kinds.replace(double, double[:1])
+    return Counter(kinds.split())
 
 
-def hashed(t: Votes, forms: Forms) -> tuple[np.ndarray, np.ndarray]:
+def hashed(t: Votes) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values, of unit length: words, their shapes, and the text's rates by size."""
-    found: dict[bytes, int] = {}
-    count = found.get
-    for w, n in t.counts.items():
-        word, shape = forms[w]
-        found[word] = count(word, 0) + n
-        found[shape] = count(shape, 0) + n
+    forms = shapes(t.raw)
     size = max(1, len(t.words))
-    rates = (t.n_symbols / size, t.n_repeat_words / size, t.n_dup_lines / max(1, t.n_lines), t.word_chars / size / 10, t.raw.count(b"!") / size, len(t.counts) / size, t.share(bytes.isupper))
-    keys = [zlib.crc32(k) % DIMENSIONS for k in found]
-    values = np.log1p(np.fromiter(found.values(), float, len(found)))
-    if len(values):
+    rates = (t.n_symbols / size, t.n_repeat_words / size, t.n_dup_lines / max(1, t.n_lines), t.word_chars / size / 10, t.raw.count(b"!") / size, len(t.counts) / size, t.shares[2])
+    keys = [zlib.crc32(k, _WORD) % DIMENSIONS for k in t.bare] + [zlib.crc32(k, _SHAPE) % DIMENSIONS for k in forms]
+    count = len(keys)
+    values = np.log1p(np.fromiter([*t.bare.values(), *forms.values()], float, count))
+    if count:
         values /= np.linalg.norm(values)
     keys += [zlib.crc32(b"r%d:%d" % (i, min(20, int(x * 20)))) % DIMENSIONS for i, x in enumerate(rates)]
     keys += [zlib.crc32(b"n%d" % size.bit_length()) % DIMENSIONS, zlib.crc32(b"bias") % DIMENSIONS]
-    return np.array(keys, np.int32), np.concatenate([values, np.full(len(keys) - len(values), 0.5)]).astype(np.float32)
+    return np.array(keys, np.int32), np.concatenate([values, np.full(len(keys) - count, 0.5)]).astype(np.float32)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> np.ndarray:
@@ -197,10 +217,10 @@ def learn(docs: DataFrame) -> tuple[LabelModel, np.ndarray]:
     share = min(1.0, TRAINING_ROWS / max(1, sum(counts.values())))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forms = worker_table("forms", Forms)
+        no_table()
         for batch in batches:
             texts = [Votes(x) for x in utf8(batch.column(1))]
-            both = [hashed(t, forms) for t in texts]
+            both = [hashed(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array([pattern(t) for t in texts], pa.int64()), pa.array([i for i, _ in both], pa.list_(pa.int32())), pa.array([x for _, x in both], pa.list_(pa.float32()))],
                 ["doc_id", "code", "i", "x"],
@@ -219,13 +239,6 @@ def starts(word: bytes) -> list[bytes]:
     return [word + b" ", *[word[:k] for k in START_BYTES if k < len(word)]]
 
 
-def bare_words(t: Votes) -> Counter:
-    found: Counter = Counter()
-    for w, n in t.counts.items():
-        found[w.lower().strip(_EDGES)] += n
-    return found
-
-
 class Toxicity:
     """Logistic scorers, one for each group of labelled texts: weights of log counts of words and beginnings, and of the text's size."""
 
@@ -276,10 +289,9 @@ class Toxicity:
     def n_abuse(self, t: Votes) -> int:
         """0 for a text that isn't toxic; else the uses of words that speak for it, at least 1."""
         if not self.scorers:
-            return sum(n for w, n in t.counts.items() if w.lower().strip(_EDGES) in self.words)
+            return sum(n for w, n in t.bare.items() if w in self.words)
         heads, first, found, words = self.heads, START_BYTES[0], Counter(), []
-        for w, n in t.counts.items():
-            w = w.lower().strip(_EDGES)
+        for w, n in t.bare.items():
             if (w + b" ")[:first] in heads:
                 known = [f for f in starts(w) if f in self.weights]
                 for f in known:
@@ -310,7 +322,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame) -> Toxicity:
         no_table()
         for batch in batches:
             texts = [Votes(x) for x in utf8(batch.column(3))]
-            bare = [bare_words(t) for t in texts]
+            bare = [t.bare for t in texts]
             columns = [pa.array([list(b) for b in bare], pa.list_(pa.binary())), pa.array([list(b.values()) for b in bare], pa.list_(pa.int64())), pa.array([len(t.words) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2), *columns], ["doc_id", "lang", "toxic", "w", "k", "size"])
 
@@ -328,13 +340,13 @@ def score(docs: DataFrame, weights: np.ndarray, toxicity: Toxicity | None = None
     shared = docs.sparkSession.sparkContext.broadcast((weights, toxicity or Toxicity()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forms = worker_table("forms", Forms)
+        no_table()
         w, toxic = shared.value
         for batch in batches:
             scores, abuse = [], []
             for raw in utf8(batch.column(1)):
                 t = Votes(raw)
-                i, x = hashed(t, forms)
+                i, x = hashed(t)
                 scores.append(float(1 / (1 + np.exp(-np.clip(w[i] @ x, -30, 30)))))
                 abuse.append(toxic.n_abuse(t))
             kept = [s >= 0.5 and not a for s, a in zip(scores, abuse, strict=True)]
