@@ -27,27 +27,35 @@ def challenged(body: Column) -> Column:
     return F.contains(head, F.lit(CHALLENGES[0])) | F.contains(head, F.lit(CHALLENGES[1]))
 
 
+def _usable(contents: DataFrame, fmt: str) -> tuple[DataFrame, Column]:
+    """The bodies that may serve, and their media types' places in the order."""
+    fmt = "html" if fmt == "markdown" else fmt
+    priority = F.array_position(F.array(*map(F.lit, MEDIA_TYPES[fmt])), F.col("media_type"))
+    return contents.where((F.col("format") == fmt) & (priority > 0) & F.col("language").isin(list(LANGUAGES)) & usable(F.col("body")) & ~challenged(F.col("body"))), priority
+
+
 def representations(contents: DataFrame, fmt: str = "html") -> DataFrame:
     """The first usable body of each CELEX and language, by the order of media types. Challenges are no bodies."""
-    media = MEDIA_TYPES["html" if fmt == "markdown" else fmt]
-    priority = F.array_position(F.array(*map(F.lit, media)), F.col("media_type"))
-    good = contents.where((F.col("format") == ("html" if fmt == "markdown" else fmt)) & (priority > 0) & F.col("language").isin(list(LANGUAGES)) & usable(F.col("body")) & ~challenged(F.col("body")))
+    good, priority = _usable(contents, fmt)
     best = Window.partitionBy("celex", "language").orderBy(priority, "part_seq", "body")
     return good.withColumn("_n", F.row_number().over(best)).where(F.col("_n") == 1).select("celex", "language", "media_type", "body")
 
 
 def in_language(contents: DataFrame, wanted: DataFrame, fmt: str = "html") -> DataFrame:
-    """wanted: celex, requested. The body in the requested language, else in English; available, the language served, and whether it fell back."""
-    have = representations(contents, fmt)
-    asked = wanted.select("celex", "requested", F.explode(F.array_distinct(F.array("requested", F.lit("EN")))).alias("language"))
-    found = asked.join(have, ["celex", "language"]).groupBy("celex", "requested").agg(F.min_by(F.struct("language", "body"), F.col("language") != F.col("requested")).alias("b"))
-    return wanted.join(found, ["celex", "requested"], "left").select(
+    """wanted: celex, requested. The body in the requested language, else in English; available, the language served, and whether it fell back.
+
+    The language is chosen by what there is, without the bodies; these then come to the requests in one join, the last."""
+    there = _usable(contents, fmt)[0].select("celex", "language").distinct()
+    asked = wanted.select("celex", "requested", F.explode(F.array_distinct(F.array("requested", F.lit("EN")))).alias("language")).distinct()
+    chosen = asked.join(there, ["celex", "language"]).groupBy("celex", "requested").agg(F.min_by("language", F.col("language") != F.col("requested")).alias("language"))
+    served = wanted.join(chosen, ["celex", "requested"], "left").join(representations(contents, fmt).select("celex", "language", "body"), ["celex", "language"], "left")
+    return served.select(
         "celex",
         "requested",
-        F.col("b").isNotNull().alias("available"),
-        F.coalesce("b.language", "requested").alias("language"),
-        F.coalesce(F.col("b.language") != F.col("requested"), F.lit(False)).alias("fallback"),
-        F.coalesce("b.body", F.lit("")).alias("content"),
+        F.col("language").isNotNull().alias("available"),
+        F.coalesce("language", "requested").alias("language"),
+        F.coalesce(F.col("language") != F.col("requested"), F.lit(False)).alias("fallback"),
+        F.coalesce("body", F.lit("")).alias("content"),
     )
 
 

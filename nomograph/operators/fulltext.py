@@ -91,14 +91,17 @@ class PhraseIndex:
 # --- ranked search ---
 
 
-def _packed(ids: np.ndarray, tf: np.ndarray, dl: np.ndarray) -> bytes:
-    """Steps between ids, counts and lengths, each in as few bytes as its greatest needs."""
-    parts = []
-    for values in (np.diff(ids, prepend=ids[0]), tf, dl):
-        most = int(values.max())
-        width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w - (w == 8)))
-        parts.append(bytes([width]) + values.astype(f"<u{width}").tobytes())
-    return b"".join(parts)
+def _packed(ids: np.ndarray, tf: np.ndarray, dl: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """For each block from starts to ends its steps between ids, counts and lengths, each in as few bytes as its greatest needs."""
+    steps = np.diff(ids, prepend=ids[0])
+    steps[starts] = 0
+    out = [b""] * len(starts)
+    for values in (steps, tf, dl):
+        most = np.maximum.reduceat(values, starts)
+        width = np.select([most < 1 << 8, most < 1 << 16, most < 1 << 32], [1, 2, 4], 8)
+        cast = {w: values.astype(f"<u{w}") for w in np.unique(width).tolist()}
+        out = [done + bytes((w,)) + cast[w][a:b].tobytes() for done, w, a, b in zip(out, width.tolist(), starts.tolist(), ends.tolist(), strict=True)]
+    return out
 
 
 def unpacked(data: bytes, n: int, low: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,15 +125,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], mean: float) -> Iterator[pa.Recor
     """Sorted rows (bucket, shard, word, id, tf, dl) as blocks."""
     held = None
 
-    def made(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
-        word, ids, tf, dl = rows["word"], rows["id"].to_numpy(), rows["tf"].to_numpy(), rows["dl"].to_numpy()
-        top, out = weight(tf, dl, mean), []
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
-            for at in range(a, b, BLOCK):
-                to = min(b, at + BLOCK)
-                out.append((rows["bucket"][at].as_py(), rows["shard"][at].as_py(), word[at].as_py(), ids[at], ids[to - 1], to - at, top[at:to].max(), _packed(ids[at:to], tf[at:to], dl[at:to])))
-        kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [c.split()[0] for c in _BLOCKS.split(", ")])
+    def made(rows: pa.Table, words: np.ndarray) -> pa.RecordBatch:
+        """words: where each word's rows start, and the end of the last. All rows begin a block, or go on with one that is full."""
+        parts = [np.arange(a, b, BLOCK) for a, b in zip(words[:-1].tolist(), words[1:].tolist(), strict=True)]
+        starts = np.concatenate(parts)
+        ends = np.append(starts[1:], words[-1])
+        ids, tf, dl = (rows[c].to_numpy() for c in ("id", "tf", "dl"))
+        at = pa.array(starts)
+        columns = [rows[c].combine_chunks().take(at) for c in ("bucket", "shard", "word")] + [pa.array(ids[starts]), pa.array(ids[ends - 1]), pa.array((ends - starts).astype(np.int32)), pa.array(np.maximum.reduceat(weight(tf, dl, mean), starts)), pa.array(_packed(ids, tf, dl, starts, ends), pa.binary())]
+        return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], [c.split()[0] for c in _BLOCKS.split(", ")])
 
     for batch in batches:
         if not batch.num_rows:

@@ -86,7 +86,7 @@ def test_ranked_search_against_all_scores(spark, tmp_path, monkeypatch, block, s
 
 def test_blocks_are_packed_small_and_skipped(spark, tmp_path):
     ids, tf, dl = np.array([5, 9, 300, 70_000]), np.array([1, 2, 300, 1]), np.array([4, 8, 1000, 3])
-    data = fulltext._packed(ids, tf, dl)
+    (data,) = fulltext._packed(ids, tf, dl, np.array([0]), np.array([4]))
     assert len(data) < 40 and all((a == b).all() for a, b in zip(fulltext.unpacked(data, 4, 5), (ids, tf, dl), strict=True))
     # one rare text holds both words: blocks of the frequent word elsewhere stay closed
     texts = [(i, "the " * (1 + i % 3) + "law") for i in range(4000)] + [(5000, "the unicorn " * 5)]
