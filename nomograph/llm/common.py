@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import gc
 import posixpath
-import tempfile
 from collections.abc import Callable
 from typing import TypeVar
 
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomograph.session import small_batches as small_batches  # for the operators
+from nomograph.session import checkpoint_dir as checkpoint_dir, cut as cut, small_batches as small_batches  # for the operators
 
 #: The bytes 0x09-0x0D and 0x20 separate words. bytes.split() without arguments splits on exactly these.
 SPACE = " \t\n\x0b\x0c\r"
@@ -21,20 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only where driver and executors are one process, a temporary one may stand in for it."""
-    sc = spark.sparkContext
-    known = sc.getCheckpointDir()
-    if known is None:
-        known = spark.conf.get("spark.checkpoint.dir", None)
-        if known is None:
-            if sc.master.split("[")[0] != "local":
-                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            known = tempfile.mkdtemp(prefix="nomograph-")
-        sc.setCheckpointDir(known)
-    return known
-
-
 def folder_in(spark: SparkSession, *parts: str) -> str:
     """A path in the shared folder."""
     return posixpath.join(checkpoint_dir(spark), *parts)
@@ -55,12 +40,6 @@ def remove(spark: SparkSession, folder: str) -> None:
     system.delete(path, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df to the shared checkpoint folder and returns it without its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 Table = TypeVar("Table")
 _kept: dict[str, object] = {}
 
