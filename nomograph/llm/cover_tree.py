@@ -88,6 +88,7 @@ class Tree:
         first = (np.arange(x.shape[1]) if spread is None else spread)[: max(1, round(HEAD * x.shape[1]))]
         self.head = np.ascontiguousarray(self.u[:, first])
         self.rest = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", self.head, self.head)))
+        self.u32 = self.u.astype(np.float32)
         path, n = path[order], len(order)
         self.centre, self.radius, self.low, self.high = [], [], [], []
         starts = []
@@ -133,10 +134,16 @@ class Traversal:
 
     def _top(self) -> None:
         a, b = self.a, self.b
-        ua, ub = a.u[a.centre[0]], b.u[b.centre[0]]
+        # in single precision, with its error as a margin: _visit measures what is left in double
+        ua, ub = a.u32[a.centre[0]], b.u32[b.centre[0]]
+        margin = 1e-6 + 1.2e-7 * ua.shape[1]
+        ra, rb = (self.t + a.radius[0]).astype(np.float32), b.radius[0].astype(np.float32)
         for at in range(0, len(ua), 512):
-            reach = np.minimum(2.0, self.t + a.radius[0][at : at + 512, None] + b.radius[0][None, :])
-            i, j = np.nonzero(ua[at : at + 512] @ ub.T >= 1 - reach * reach / 2 - _EPS)
+            reach = np.minimum(np.float32(2), ra[at : at + 512, None] + rb[None, :])
+            reach *= reach
+            reach *= np.float32(-0.5)
+            reach += np.float32(1 - margin)
+            i, j = np.nonzero(ua[at : at + 512] @ ub.T >= reach)
             i += at
             if self.same:
                 keep = i <= j
