@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,6 +198,40 @@ def test_embeddings_without_or_with_shared_ids(spark):
     assert got == sorted([(None, 4, 1, None), (1, 4, 1, True), (2, 4, 1, False), (7, 4, 1, False), (8, 4, 1, False), (None, 0, None, None), (None, 0, None, None), (7, 0, 7, True), (8, 0, 8, True)], key=str)
 
 
+def test_vectors_without_structure_open_few_nodes(monkeypatch):
+    """Radii tell nothing here: the traversal gets the pairs of nodes with near vectors, not nearly all."""
+    g = np.random.default_rng(5)
+    x = g.normal(size=(3000, 64))
+    x[::100] = x[1::100] + g.normal(size=(30, 64)) * 0.05
+    tree = cover_tree.Tree(np.arange(3000), np.ones(3000, int), x, cover_tree.build(cover_tree._unit(x)))
+    opened, visit = [], cover_tree.Traversal._visit
+    monkeypatch.setattr(cover_tree.Traversal, "_visit", lambda self, level, i, j: (opened.append(len(i)) if level == 0 else None, visit(self, level, i, j))[1])
+    linked = cover_tree.Traversal(tree, None).linked
+    assert linked.sum() == 60 and sum(opened) == 30
+    a, b = (cover_tree.Tree(np.arange(1500), np.ones(1500, int), y, cover_tree.build(cover_tree._unit(y))) for y in (x[::2], x[1::2]))
+    opened.clear()
+    assert cover_tree.Traversal(a, b).linked.sum() == 60 and sum(opened) == 30
+
+
+@pytest.mark.parametrize("few, opened, many, tile", [(1e9, 0.05, 0.02, (7, 5)), (0, 0.0, 0.02, (7, 5)), (0, 0.0, 1, (64, 64)), (1e9, 0, 0, (3, 4))])
+def test_embeddings_however_nodes_are_looked_at(spark, monkeypatch, few, opened, many, tile):
+    for name, value in (("FEW", few), ("OPENED", opened), ("MANY", many), ("TILE", tile), ("BLOCK", 30), ("OPEN", 50)):
+        monkeypatch.setattr(cover_tree, name, value)
+    g = np.random.default_rng(9)
+    rows = [(i, (np.eye(8)[i % 5] + g.normal(size=8) * g.choice([0.02, 0.1, 0.5])).tolist()) for i in range(140)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in cover_tree.near_duplicates(df).collect()} == brute_vectors(rows)
+
+
+def test_a_block_of_vectors_travels_as_one_row():
+    x = np.random.default_rng(1).normal(size=(50, 6)).astype(np.float32)
+    block = pa.table({"rep": pa.array(range(50), pa.int64()), "rows": pa.array([2] * 50, pa.int64()), "size": pa.array([6] * 50, pa.int32()), "embedding": pa.array(x.tolist(), pa.list_(pa.float32())), "cell": pa.array([3] * 50, pa.int32()), "salt": pa.array([1] * 50, pa.int32())})
+    packed = cover_tree._planted(block)
+    assert packed.num_rows == 1 and packed["vectors"][0].as_py() == x.tobytes()
+    tree = cover_tree._tree(packed, {})
+    assert sorted(tree.ids.tolist()) == list(range(50)) and (tree.counts == 2).all() and np.allclose(tree.u, cover_tree._unit(x.astype(float))[tree.ids])
+
+
 # --- mixing ---
 
 
