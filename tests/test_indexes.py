@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nomograph.operators import facets, fulltext, graph, search, temporal
+from nomograph.functions import tables
+from nomograph.operators import facets, fulltext, graph, search, structure, temporal
 from nomograph.plans.requests import CaseRequest, SearchRequest
 from nomograph.sources.corpus import Corpus
 from nomograph.sources.mirror import Mirror
@@ -262,3 +263,17 @@ def test_sessions_touch(spark):
     rows = [(1, at(0), 1, "a", 1.0), (2, at(480), 1, "b", 2.0), (3, at(961), 1, "a", 4.0), (3, at(961), 1, "a", 4.0), (4, at(0), None, "c", None)]
     got = {(r.user_id, r.n, r.total, r.kinds) for r in sessions(spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double")).collect()}
     assert got == {(1, 2, 3.0, "a,b"), (1, 1, 4.0, "a"), (None, 1, None, "c")}
+
+
+def test_outline_function_keeps_bodies_in_their_rows(spark):
+    """No window and no join carries a body along with each of its lines; long bodies, blank lines and other scripts give what the operator gives."""
+    lines = ["", "(1) before é😀", "Article 1", "", " <b>Title</b> ", "CHAPTER iv", "Article 2a", "(2) after", "text &#233; &amp; more", "ANNEX II - On things", "SECTION 3", "x" * 201]
+    bodies = [(k, "\n".join(lines[(i * k) % len(lines)] for i in range(n))) for k, n in ((1, 12), (5, 64), (7, 65), (11, 1000))] + [(20, ""), (21, "(1) no article"), (22, None), (23, "Article 9")]
+    df = spark.createDataFrame(bodies, "doc_id int, body string")
+    df.createOrReplaceTempView("bodies_of_outline")
+    tables.register(spark)
+    found = spark.sql("SELECT b.doc_id, h.* FROM bodies_of_outline b, LATERAL outline(b.body) h")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and "Exchange" not in plan
+    mine, theirs = ([tuple(r) for r in x.collect()] for x in (found, structure.outline_lines(structure.lines_of(df))))
+    assert len(mine) > 500 and sorted(mine, key=str) == sorted(theirs, key=str)
