@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nomograph.operators.search import hits
 from nomograph.plans.requests import SearchRequest
+from nomograph.session import dealt
 from nomograph.sources.corpus import Corpus
 
 #: A sketch of 2**LG_K registers: its relative standard error is about 0.8 / 2**(LG_K / 2), 1.3 % here.
@@ -14,29 +15,30 @@ LG_K = 12
 ERROR = 0.8 / 2 ** (LG_K / 2)
 
 
-def _pairs(corpus: Corpus, request: SearchRequest) -> DataFrame:
-    """work_uri, facet, value: each work of the search with each of its values once. Works with several types or subjects don't multiply each other's."""
+def _works(corpus: Corpus, request: SearchRequest) -> DataFrame:
+    """work_uri and pairs (facet, value) of each work of the search, each pair once. One shuffle by work: works with several types or subjects don't multiply each other's."""
     works, types = hits(corpus, request)
-    works = works.select("work_uri", "doc_date")
-    parts = {
-        "type": works.join(types, "work_uri").select("work_uri", F.col("type_uri").alias("value")),
-        "year": works.where("doc_date IS NOT NULL").select("work_uri", F.year("doc_date").cast("string").alias("value")),
-        "subject": works.join(corpus["work_subjects"], "work_uri").select("work_uri", F.col("concept_uri").alias("value")),
-    }
-    rows = None
-    for facet, part in parts.items():
-        part = part.select("work_uri", F.lit(facet).alias("facet"), "value").distinct()
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    there = F.col("work_uri").isNotNull()
+    year = F.year("doc_date").cast("string")
+    rows = works.select("work_uri", F.when(year.isNotNull(), "year").alias("facet"), year.alias("value"), F.lit(True).alias("hit"))
+    for facet, part in {"type": types.select("work_uri", F.col("type_uri").alias("value")), "subject": corpus.repeated("work_subjects").select("work_uri", F.col("concept_uri").alias("value"))}.items():
+        rows = rows.unionByName(part.where(there).select("work_uri", F.lit(facet).alias("facet"), "value", F.lit(None).cast("boolean").alias("hit")))
+    pair = F.when(F.col("facet").isNotNull(), F.struct("facet", "value"))
+    return dealt(rows, "work_uri").groupBy("work_uri").agg(F.bool_or("hit").alias("hit"), F.collect_set(pair).alias("pairs")).where("hit").select("work_uri", "pairs")
 
 
 def facets(corpus: Corpus, request: SearchRequest) -> DataFrame:
     """facet, value, n_works (exact), sketch, n_about: works with each value, with any value of a facet (value null), and with any of any facet (both null).
 
-    One grouping of sets over all works of the search. Sketches merge: those of several searches, days or clusters are put
+    A work counts once for each of its pairs, for each of their facets and for all, so counts need no sets of works. Sketches merge: those of several searches, days or clusters are put
     together by merged() without their works."""
-    grouped = _pairs(corpus, request).groupingSets([["facet", "value"], ["facet"], []], "facet", "value")
-    counted = grouped.agg(F.count_distinct("work_uri").alias("n_works"), F.hll_sketch_agg("work_uri", LG_K).alias("sketch"))
+    none = F.lit(None).cast("string")
+    of = lambda level, facet, value: F.struct(F.lit(level).alias("level"), facet.alias("facet"), value.alias("value"))
+    values = F.transform("pairs", lambda p: of(2, p["facet"], p["value"]))
+    kinds = F.transform(F.array_distinct(F.transform("pairs", lambda p: p["facet"])), lambda f: of(1, f, none))
+    whole = F.when(F.size("pairs") > 0, F.array(of(0, none, none))).otherwise(F.array().cast("array<struct<level:int,facet:string,value:string>>"))
+    each = _works(corpus, request).select("work_uri", F.explode(F.concat(values, kinds, whole)).alias("g")).select("work_uri", "g.*")
+    counted = each.groupBy("level", "facet", "value").agg(F.count("work_uri").alias("n_works"), F.hll_sketch_agg("work_uri", LG_K).alias("sketch")).drop("level")
     return counted.withColumn("n_about", F.hll_sketch_estimate("sketch"))
 
 

@@ -61,6 +61,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return known
 
 
+#: Tasks at least that dealt() makes.
+TASKS = 64
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df by keys, in as many tasks as the session's shuffles have. Adaptive execution puts parts together by their size as written: addresses shrink there to a tenth, and a task of 64 MB holds most of a GB once it is read."""
+    return df.repartition(max(TASKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder and returns it without its lineage: for what a plan reads more than once, or an iteration hands on."""
     checkpoint_dir(df.sparkSession)

@@ -111,6 +111,7 @@ class Corpus:
         self.spark, self.folder, self.settings, self.given = spark, folder, settings or Settings(), dict(tables)
         #: An index of English titles (fulltext.PhraseIndex) that searches use in place of the titles, if there is one.
         self.titles = None
+        self._derived: dict[str, DataFrame | None] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.given:
@@ -120,8 +121,19 @@ class Corpus:
             else:
                 used = {t: self[t] for t in (*CARRIERS, "lines") if "{" + t + "}" in statement}
                 self.given[name] = self.spark.sql(statement, **used)
+                self._derived[name] = self.given[name]
         return self.given[name]
 
+    def repeated(self, name: str) -> DataFrame:
+        """The table, but rows may come several times: for operators that make sets themselves, so that rows aren't shuffled twice for it."""
+        if name in self.given and name not in self._derived or " DISTINCT " not in TABLES.get(name, ""):
+            return self[name]
+        key = f"{name}, repeated"
+        if key not in self._derived:
+            statement = TABLES[name].replace("SELECT DISTINCT", "SELECT")
+            self._derived[key] = self.spark.sql(statement, **{t: self[t] for t in (*CARRIERS, "lines") if "{" + t + "}" in statement})
+        return self._derived[key]
+
     def tables(self) -> list[str]:
         """The names of the tables that there are: all with a folder, else those given."""
         return list(TABLES) if self.folder is not None else [n for n in TABLES if n in self.given]

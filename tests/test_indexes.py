@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nomograph.functions import tables
-from nomograph.operators import facets, fulltext, graph, search, structure, temporal
+from nomograph.operators import document, facets, fulltext, graph, search, structure, temporal
 from nomograph.plans.requests import CaseRequest, SearchRequest
 from nomograph.sources.corpus import Corpus
 from nomograph.sources.mirror import Mirror
@@ -277,3 +277,34 @@ def test_outline_function_keeps_bodies_in_their_rows(spark):
     assert "Window" not in plan and "Join" not in plan and "Exchange" not in plan
     mine, theirs = ([tuple(r) for r in x.collect()] for x in (found, structure.outline_lines(structure.lines_of(df))))
     assert len(mine) > 400 and sorted(mine, key=str) == sorted(theirs, key=str)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facets_take_one_shuffle_of_works(spark):
+    """Counts need no set of works for each value, and adaptive execution doesn't put the parts by work together."""
+    plan = _plan(facets.facets(Corpus(spark, DATA), SearchRequest(in_force=True)))
+    assert "Expand" not in plan and plan.count("Exchange") == 2 and plan.count("REPARTITION_BY_NUM") == 1
+
+
+def test_facets_of_repeated_rows_and_missing_values(spark):
+    works = spark.createDataFrame([("a", "1", date(2000, 1, 1)), ("a", "1", date(2000, 1, 1)), ("b", "2", None), ("c", None, date(2001, 1, 1))], "work_uri string, celex string, doc_date date").withColumn("in_force", F.lit(True))
+    types = spark.createDataFrame([("a", "T"), ("a", "T"), ("b", None), ("c", "T"), (None, "T"), ("gone", "T")], "work_uri string, type_uri string")
+    subjects = spark.createDataFrame([("a", "S"), ("a", "S"), ("a", "R")], "work_uri string, concept_uri string")
+    got = {(r.facet, r.value, r.n_works, r.n_about) for r in facets.facets(Corpus(spark, works=works, work_types=types, work_subjects=subjects), SearchRequest(in_force=True)).collect()}
+    assert got == {("type", "T", 1, 1), ("type", None, 1, 1), ("type", None, 2, 2), ("year", "2000", 1, 1), ("year", None, 1, 1), ("subject", "S", 1, 1), ("subject", "R", 1, 1), ("subject", None, 1, 1), (None, None, 2, 2)}
+
+
+def test_concepts_are_rolled_up_in_as_many_tasks_as_shuffles_have(spark):
+    """What meets by concept, and by work, stays dealt: parts aren't put together by their packed size."""
+    assert _plan(graph.rolled_up(Corpus(spark, DATA))).count("REPARTITION_BY_NUM") >= 4
+
+
+def test_facts_of_works_are_made_sets_once(spark):
+    c = Corpus(spark, DATA)
+    assert "HashAggregate" not in _plan(document._facts(c))
+    assert c.repeated("work_subjects").distinct().count() == c["work_subjects"].count() <= c.repeated("work_subjects").count()
+    given = Corpus(spark, DATA, work_subjects=spark.createDataFrame([("a", "b")], "work_uri string, concept_uri string"))
+    assert given.repeated("work_subjects").count() == 1
