@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nomograph.functions.dims import RELATIONS
-from nomograph.session import cut
+from nomograph.session import cut, dealt
 from nomograph.sources.corpus import Corpus
 
 
@@ -58,10 +58,13 @@ def ancestors(broader: DataFrame, used: DataFrame, rounds: list[int] | None = No
 
 def rolled_up(corpus: Corpus) -> DataFrame:
     """concept_uri, n_direct, n_works of every concept: works of its own, and works of it and of all that is narrower, each work once."""
-    own = corpus["work_subjects"].select("work_uri", "concept_uri").distinct()
+    subjects = corpus.repeated("work_subjects").select("work_uri", "concept_uri")
+    own = dealt(subjects, "work_uri").distinct()
     direct = own.groupBy("concept_uri").agg(F.count("*").alias("n_direct"))
-    up = ancestors(corpus["concept_broader"], own.select("concept_uri"))
-    under = own.join(up, "concept_uri").select(F.col("ancestor").alias("concept_uri"), "work_uri").distinct()
+    up = ancestors(corpus["concept_broader"], subjects.select("concept_uri"))
+    # dealt by concept to meet all that is broader, then by work, where each concept counts once
+    met = dealt(own, "concept_uri").join(dealt(up, "concept_uri"), "concept_uri").select(F.col("ancestor").alias("concept_uri"), "work_uri")
+    under = dealt(met, "work_uri").distinct()
     whole = under.groupBy("concept_uri").agg(F.count("*").alias("n_works"))
     every = corpus["concepts"].select("concept_uri").distinct().join(direct, "concept_uri", "left").join(whole, "concept_uri", "left")
     return every.select("concept_uri", F.coalesce("n_direct", F.lit(0)).alias("n_direct"), F.coalesce("n_works", F.lit(0)).alias("n_works"))
