@@ -19,13 +19,13 @@ BASIS = dims.RELATIONS["legal_basis"][0]
 
 
 def _facts(corpus: Corpus) -> DataFrame:
-    """All that is told of works, one value a row: work_uri, tag, value."""
+    """All that is told of works, one value a row, some of them several times: work_uri, tag, value."""
     tables = {
         "title": (corpus["expressions"].where(F.col("language_uri") == dims.ENGLISH), "work_uri", "title"),
         "type": (corpus["work_types"], "work_uri", "type_uri"),
-        "author": (corpus["work_agents"], "work_uri", "agent_uri"),
-        "basis": (corpus["edges"].where(F.col("predicate") == BASIS), "src_uri", "dst_uri"),
-        "subject": (corpus["work_subjects"], "work_uri", "concept_uri"),
+        "author": (corpus.repeated("work_agents"), "work_uri", "agent_uri"),
+        "basis": (corpus.repeated("edges").where(F.col("predicate") == BASIS), "src_uri", "dst_uri"),
+        "subject": (corpus.repeated("work_subjects"), "work_uri", "concept_uri"),
     }
     rows = [t.select(F.col(key).alias("work_uri"), F.lit(tag).alias("tag"), F.col(value).alias("value")) for tag, (t, key, value) in tables.items()]
     return reduce(DataFrame.unionByName, rows)
