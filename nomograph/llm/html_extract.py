@@ -1,18 +1,23 @@
-"""Main text of web pages: structure first, nearest-URL page differencing for what structure leaves open.
+"""Main text of web pages: nearest-URL page differencing over the lines that structure leaves, checked by the page's marks.
 
 A page's lines are its blocks of text. Elements that are menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles or reader comments by tag, role or class go. If the page marks its article (article, main, or the role
-main), the lines inside are its text. If it doesn't, its lines are aligned by longest common subsequence with those of
-its partner, and shared lines go. The partner is the page of the nearest URL path on the same host that shares some of
-its distinct lines but not all: one that shares all is a copy, one that shares none has another layout. The nearest has
-the longest common beginning of the path; of equals those before in the order of (path, lines) come first, the closer
-first. Without a partner the page keeps its lines. The result depends on the host's pages alone, not on how rows are dealt.
-
-Only pages of hosts with a page that marks no article are paired. Equal pages count once. All are ranked by host, path and
-lines; blocks of consecutive ranks, with NEAR neighbours at their ends, find the partners that are close. What they leave
-open is searched through an index of lines: for each line and each block of ranks of a level, the combined hash of the
-pages that hold it. Where these hashes differ among a page's lines, the block has a page that shares some of them but
-not all; the search goes outwards from level to level and then down, a join for each. No task holds a host.
+scripts, styles or reader comments by tag, role or class go. The lines left, of every page, are aligned by longest common
+subsequence with those of its partner: shared lines are the site's, the others the page's own. The partner is the page of
+the nearest URL path on the same host that shares some of its distinct lines but not all: one that shares all is a copy,
+one that shares none has another layout. The nearest has the longest common beginning of the path; of equals those before
+in the order of (path, digest) come first, the closer first. Without a partner all lines are the page's own. The result
+depends on the host's pages alone, not on how rows are dealt.
+
+The page's own lines are its text, after one check: if the page marks its article (article, main, or the role main), the
+lines inside are its text, shared passages too. Differencing sets aside a mark that is the site's: one of which the
+partner has every line, while the page's own lines outside hold more characters.
+
+Equal pages count once. All are ranked by host, path and digest; blocks of consecutive ranks, with NEAR neighbours at
+their ends, find the partners that are close. What they leave open is searched through an index of the lines that several
+pages hold: for each line and each block of ranks of a level, the combined hash of the pages that hold it. Where these
+hashes differ among a page's lines, the block has a page that shares some of them but not all; the search goes outwards
+from level to level and then down, a join for each. No task holds a host. Lines travel as hashes of host and line; only
+if many pages' texts differ from their marks are texts shuffled.
 
 Differencing alone can't decide marked articles: there menus and adverts differ from page to page, while
 articles share passages and whole copies. extract(structure=False) shows what it gives alone.
@@ -27,7 +32,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator, Sequence
 from html import unescape
 from os.path import commonprefix
 
@@ -37,8 +42,8 @@ from pyspark.sql import functions as F
 
 from nomograph.llm.common import cut, no_table, pick, small_batches, table
 
-#: Hosts to broadcast at most.
-BROADCAST_HOSTS = 100_000
+#: Bytes to broadcast at most of what differencing decided against the marks.
+BROADCAST_BYTES = 16 << 20
 #: Neighbours before and after that a block of ranks looks at, ranks in a block, and blocks that make up one of the index's next level.
 NEAR, BLOCK, FAN = 16, 512, 8
 _QUOTED = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
@@ -185,10 +190,10 @@ class _Open:
         return at if at >= 0 and at >= self.last(self.frames, self.furniture) else len(self.stack)
 
 
-def lines_of(html: str | None, structure: bool = True) -> tuple[list[str], bool]:
-    """The page's lines without furniture, and whether they are those of a marked article. Without structure, all lines, unmarked."""
+def blocks_of(html: str | None, structure: bool = True) -> tuple[list[str], list[bool]]:
+    """The page's lines without furniture, and of each whether it is inside what the page marks as its article. Without structure, all lines, unmarked."""
     everything: list[str] = []
-    inside: tuple[list[str], list[str]] = ([], [])  # of content by name, of marked articles
+    ranks: list[int] = []  # of each line: 1 inside content by name, 2 inside a marked article, 3 both
     elements = _Open()
     gone, depth = 0, [0, 0, 0]  # whether furniture is open (2; 1 if by words within names alone), and open elements by mark
     buffer: list[str] = []
@@ -199,9 +204,7 @@ def lines_of(html: str | None, structure: bool = True) -> tuple[list[str], bool]
             line = " ".join("".join(buffer).split())
             if line:
                 everything.append(line)
-                for rank in (1, 2):
-                    if depth[rank]:
-                        inside[rank - 1].append(line)
+                ranks.append((depth[1] > 0) + 2 * (depth[2] > 0))
             buffer = []
 
     def keep(n: int) -> None:
@@ -241,12 +244,19 @@ def lines_of(html: str | None, structure: bool = True) -> tuple[list[str], bool]
         elements.push(tag, bad if bad > gone else 0, rank, gone)
         gone, depth[rank] = now, depth[rank] + 1
     flush()
-    best = inside[1] or inside[0]
-    return (best, True) if best else (everything, False)
+    best = 2 if any(rank & 2 for rank in ranks) else 1
+    return everything, [rank & best > 0 for rank in ranks]
+
+
+def lines_of(html: str | None, structure: bool = True) -> tuple[list[str], bool]:
+    """The page's lines without furniture, and whether they are those of a marked article. Without structure, all lines, unmarked."""
+    lines, marked = blocks_of(html, structure)
+    best = [line for line, inside in zip(lines, marked, strict=True) if inside]
+    return (best, True) if best else (lines, False)
 
 
-def common_lines(a: list[str], b: list[str]) -> list[int]:
-    """Positions in a of a longest common subsequence of a and b. One row of the table is one number, a bit for each line of a
+def common_lines(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[int]:
+    """Positions in a of a longest common subsequence of a and b, which are lines or their hashes. One row of the table is one number, a bit for each line of a
     (Hyyrö's bit-parallel form); rows are kept at intervals and made again in between, so that memory stays small."""
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
@@ -258,12 +268,12 @@ def common_lines(a: list[str], b: list[str]) -> list[int]:
     common = set(x) & set(y)
     kept = [i for i, line in enumerate(x) if line in common]
     x, y = [x[i] for i in kept], [line for line in y if line in common]
-    where: dict[str, list[int]] = {}
+    where: dict[Hashable, list[int]] = {}
     for i, line in enumerate(x):
         where.setdefault(line, []).append(i)
     masks, full = {line: _bits(places, len(x)) for line, places in where.items()}, (1 << len(x)) - 1
 
-    def rows(row: int, lines: list[str]) -> Iterator[int]:
+    def rows(row: int, lines: list[Hashable]) -> Iterator[int]:
         for line in lines:
             u = row & masks[line]
             row = (row + u | row - u) & full
@@ -302,6 +312,14 @@ def own_lines(lines: list[str], partner: list[str] | None) -> list[str]:
     return [line for i, line in enumerate(lines) if i not in shared]
 
 
+def chosen(sizes: list[int], shared: set[int]) -> tuple[list[int], bool]:
+    """Positions of the lines that are the page's text, and whether they are just those inside its mark. sizes: each line's characters, negative inside the mark; shared: positions of the lines that the partner has too."""
+    inside = [i for i, n in enumerate(sizes) if n < 0]
+    own = [i for i in range(len(sizes)) if i not in shared]
+    stands = bool(inside) and (any(i not in shared for i in inside) or sum(sizes[i] for i in own) <= -sum(sizes[i] for i in inside))
+    return (inside, True) if stands else (own, own == inside)
+
+
 def _close(block: pa.Table) -> pa.Table:
     """For each page of the block itself the rank of its partner; -1 if it has none, -2 if a page out of sight may be nearer."""
     block = block.sort_by("rank")
@@ -332,17 +350,21 @@ def _close(block: pa.Table) -> pa.Table:
 
 
 def ranked(pages: DataFrame) -> DataFrame:
-    """pages: host, path, lines, and open (whether a row wants a partner). Each distinct page once, with its rank in the order of host, path and its lines' digest, and its distinct lines' hashes. Checkpointed."""
-    each = pages.groupBy("host", "path", _digest()).agg(F.any_value("lines").alias("lines"), F.bool_or("open").alias("open"))
+    """pages: host, path, digest, hashes and sizes of its lines in order, and open (whether a row wants a partner). Each distinct page once, with its rank in the order of host, path and digest. From a checkpoint."""
     keys = ["host", "path", "digest"]
+    each = pages.groupBy(*keys).agg(F.any_value("hashes").alias("hashes"), F.any_value("sizes").alias("sizes"), F.bool_or("open").alias("open"))
     ordered = cut(each.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn("_id", F.monotonically_increasing_id())
     part = F.shiftright("_id", 33)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))  # as many rows as partitions
-    starts = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    starts = cut(counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
     placed = ordered.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    hashes = F.array_distinct(F.transform("lines", lambda x: F.xxhash64(x)))
-    return cut(placed.select((F.col("start") + F.col("_id").bitwiseAND((1 << 33) - 1)).alias("rank"), *keys, "lines", hashes.alias("hashes"), "open"))
+    return placed.select((F.col("start") + F.col("_id").bitwiseAND((1 << 33) - 1)).alias("rank"), *keys, "hashes", "sizes", "open")
+
+
+def _hashes() -> Column:
+    """Hashes of the lines, each together with its host."""
+    return F.transform("lines", lambda x: F.xxhash64("host", x)).alias("hashes")
 
 
 def _digest() -> Column:
@@ -359,20 +381,27 @@ def close_partners(pages: DataFrame) -> DataFrame:
 
 
 def far_partners(pages: DataFrame, left: DataFrame) -> DataFrame:
-    """pages as ranked; left: rank. For each page of left the nearest page before and after it that shares some of its lines but not all: rank, partner."""
-    lines = lambda df: df.select("rank", "host", F.explode("hashes").alias("line"))
-    mine = cut(lines(pages.join(left, "rank", "left_semi")))
-    held = cut(lines(pages).join(mine.select("host", "line").distinct(), ["host", "line"], "left_semi"))
+    """pages as ranked; left: rank. For each page of left the nearest page before and after it that shares some of its lines but not all: rank, partner.
+
+    Only lines that several pages hold are looked up: with a line of its own (alone) a page has none whose every line another shares, and with no other lines it has no partner."""
+    lines = lambda df: df.select("rank", F.explode(F.array_distinct("hashes")).alias("line"))
+    every = lines(pages.join(left, "rank", "left_semi"))
+    held = lines(pages).join(every.select("line").distinct(), "line", "left_semi")
+    several = cut(held.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select("line"))
+    mine = every.join(several.withColumn("known", F.lit(True)), "line", "left")
+    alone = mine.groupBy("rank").agg(F.bool_or(F.col("known").isNull()).alias("alone"), F.bool_or("known").alias("known")).where("known").select("rank", "alone")
+    mine = cut(mine.where("known").select("rank", "line").join(alone, "rank"))
+    held = cut(lines(pages).join(several, "line", "left_semi"))
     levels = max(1, math.ceil(math.log(max(2, pages.agg(F.max("rank")).first()[0] + 1), FAN)))
-    hashes = [held.groupBy("host", "line", F.floor(F.col("rank") / FAN**k).alias("block")).agg(F.bit_xor(F.xxhash64("rank")).alias("h")) for k in range(levels)]
+    hashes = [held.groupBy("line", F.floor(F.col("rank") / FAN**k).alias("block")).agg(F.bit_xor(F.xxhash64("rank")).alias("h")) for k in range(levels)]
 
     def nearest(asked: DataFrame, level: int) -> DataFrame:
         """asked: rank, side, block. Of each page's blocks on a side the nearest that has a page of the kind looked for: there its lines lie in different pages."""
-        found = asked.join(mine, "rank").join(hashes[level], ["host", "line", "block"], "left").groupBy("rank", "side", "block")
-        found = found.agg(F.min(F.coalesce("h", F.lit(0))).alias("low"), F.max(F.coalesce("h", F.lit(0))).alias("high")).where("low <> high")
+        found = asked.join(mine, "rank").join(hashes[level], ["line", "block"], "left").groupBy("rank", "side", "block", "alone")
+        found = found.agg(F.min(F.coalesce("h", F.lit(0))).alias("low"), F.max(F.coalesce("h", F.lit(0))).alias("high")).where("low <> high OR alone AND low <> 0")
         return found.groupBy("rank", "side").agg(F.min(F.abs(F.col("block") - F.floor(F.col("rank") / FAN**level))).alias("away")).select("rank", "side", (F.floor(F.col("rank") / FAN**level) + F.col("away") * F.col("side")).alias("block"))
 
-    todo = cut(left.select("rank", F.explode(F.array(F.lit(-1), F.lit(1))).alias("side")))
+    todo = cut(mine.select("rank").distinct().select("rank", F.explode(F.array(F.lit(-1), F.lit(1))).alias("side")))
     hits: list[DataFrame] = []
     for k in range(levels):  # outwards: the other blocks of the same block of the next level
         own = F.floor(F.col("rank") / FAN**k)
@@ -388,32 +417,46 @@ def far_partners(pages: DataFrame, left: DataFrame) -> DataFrame:
     return hits[0].select("rank", F.col("block").alias("partner"))
 
 
-def differenced(pages: DataFrame) -> DataFrame:
-    """pages: host, path, lines, open. host, path, digest and text of every distinct page with an open row."""
+def decided(pages: DataFrame) -> DataFrame:
+    """pages: host, path, digest, hashes, sizes, open. host, path and digest of every distinct page with an open row, the positions of the lines that are its text (kept), and whether they are just those inside its mark (as_marked)."""
     known = ranked(pages)
     partners = cut(close_partners(known))
-    left = cut(partners.where("partner = -2").select("rank"))
+    left = partners.where("partner = -2").select("rank")
     partners = partners.where("partner >= 0")
     if not left.isEmpty():
         partners = partners.unionByName(far_partners(known, left))
-    other = known.select(F.col("rank").alias("partner"), F.col("path").alias("other_path"), F.col("lines").alias("other_lines"))
-    sides = partners.join(other, "partner").groupBy("rank").agg(F.collect_list(F.struct((F.col("partner") > F.col("rank")).alias("after"), F.col("other_path").alias("path"), F.col("other_lines").alias("lines"))).alias("sides"))
-    rows = known.where("open").join(sides, "rank", "left").select("host", "path", "digest", "lines", "sides")
+    other = known.select(F.col("rank").alias("partner"), F.col("path").alias("other_path"), F.col("hashes").alias("other"))
+    sides = partners.join(other, "partner").groupBy("rank").agg(F.collect_list(F.struct((F.col("partner") > F.col("rank")).alias("after"), F.col("other_path").alias("path"), F.col("other").alias("hashes"))).alias("sides"))
+    rows = known.where("open").join(sides, "rank", "left").select("host", "path", "digest", "hashes", "sizes", "sides")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_table()
         for batch in batches:
-            texts = []
-            for path, lines, sides in zip(*[batch.column(k).to_pylist() for k in (1, 3, 4)], strict=True):
+            found = []
+            for path, mine, sizes, sides in zip(*[batch.column(k).to_pylist() for k in (1, 3, 4, 5)], strict=True):
                 best = min(sides or [], key=lambda s: (-len(commonprefix([s["path"], path])), s["after"]), default=None)  # noqa: B023
-                texts.append("\n\n".join(own_lines(lines, best and best["lines"])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.string())], ["host", "path", "digest", "text"])
+                found.append(chosen(sizes, set(common_lines(mine, best["hashes"])) if best else set()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([x for _, x in found], pa.bool_())], ["host", "path", "digest", "kept", "as_marked"])
+
+    return rows.mapInArrow(run, "host string, path string, digest string, kept array<int>, as_marked boolean")
+
+
+def _text() -> Column:
+    return F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n\n").alias("text")
+
 
-    return rows.mapInArrow(run, "host string, path string, digest string, text string")
+def differenced(pages: DataFrame) -> DataFrame:
+    """pages: host, path, lines, open. host, path, digest and text of every distinct page with an open row, by differencing alone."""
+    pages = pages.withColumn("digest", _digest())
+    found = decided(pages.select("host", "path", "digest", _hashes(), F.transform("lines", F.length).alias("sizes"), "open"))
+    texts = pages.groupBy("host", "path", "digest").agg(F.any_value("lines").alias("lines"))
+    return found.join(texts, ["host", "path", "digest"]).select("host", "path", "digest", _text())
 
 
 def extract(pages: DataFrame, structure: bool = True) -> DataFrame:
-    """page_id, url, text, n_chars of every row of pages (page_id, url, html). Pages that mark their article need no shuffle. Without structure, differencing alone decides, for all pages."""
+    """page_id, url, text, n_chars of every row of pages (page_id, url, html). Without structure, differencing alone decides.
+
+    Pages are read twice, so that lines needn't be kept: once for the differencing, and once for the texts."""
     small_batches(pages.sparkSession)
     address = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)"
     rows = pick(pages, "page_id", "url", "html").select(
@@ -423,32 +466,23 @@ def extract(pages: DataFrame, structure: bool = True) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_table()
         for batch in batches:
-            found = [lines_of(html, structure) for html in batch.column(4).to_pylist()]
-            lines, fixed = pa.array([x for x, _ in found], pa.list_(pa.string())), pa.array([x for _, x in found], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], lines, fixed], ["page_id", "url", "host", "path", "lines", "fixed"])
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        no_table()
-        for batch in batches:
-            found = [(i, url, "\n\n".join(lines)) for i, url, html in zip(*[batch.column(k).to_pylist() for k in (0, 1, 4)], strict=True) for lines, fixed in [lines_of(html, structure)] if fixed]
-            yield _batch([(*row, len(row[2])) for row in found])
-
-    parsed = rows.mapInArrow(read, "page_id long, url string, host string, path string, lines array<string>, fixed boolean")
-    schema = "page_id long, url string, text string, n_chars long"
-    hosts = cut(parsed.where(~F.col("fixed")).select(F.col("host").alias("_host")).distinct())
-    n = hosts.count()
-    done = rows.mapInArrow(marked, schema)
-    if not n:
-        return done
-    together = cut(parsed.join(F.broadcast(hosts) if n <= BROADCAST_HOSTS else hosts, F.col("host") == F.col("_host"), "left_semi"))
-    texts = differenced(together.select("host", "path", "lines", (~F.col("fixed")).alias("open")))
-    own = together.where(~F.col("fixed")).select("page_id", "url", "host", "path", _digest()).join(texts, ["host", "path", "digest"])
-    return done.unionByName(own.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], ["page_id", "url", "text", "n_chars"])
+            found = [blocks_of(html, structure) for html in batch.column(4).to_pylist()]
+            sizes = [[-len(line) if inside else len(line) for line, inside in zip(*x, strict=True)] for x in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([x for x, _ in found], pa.list_(pa.string())), pa.array(sizes, pa.list_(pa.int32()))], ["page_id", "url", "host", "path", "lines", "sizes"])
+
+    parsed = rows.mapInArrow(read, "page_id long, url string, host string, path string, lines array<string>, sizes array<int>")
+    # equal lines under other marks are another page
+    digest = F.sha2(F.concat(F.array_join("lines", "\n"), F.lit("\0"), F.array_join(F.transform("sizes", lambda n: F.signum(n).cast("string")), "")), 256)
+    parsed = parsed.withColumn("digest", digest)
+    others = cut(decided(parsed.select("host", "path", "digest", _hashes(), "sizes", F.lit(True).alias("open"))).where("NOT as_marked").drop("as_marked"))
+    size = others.agg(F.coalesce(F.sum(F.length("host") + F.length("path") + 200 + 4 * F.size("kept")), F.lit(0))).first()[0]
+    inside = F.filter(F.transform("sizes", lambda n, i: F.when(n < 0, i)), lambda i: i.isNotNull())
+    if size:
+        parsed = parsed.join(F.broadcast(others) if size <= BROADCAST_BYTES else others, ["host", "path", "digest"], "left")
+        parsed = parsed.withColumn("kept", F.coalesce("kept", inside))
+    else:
+        parsed = parsed.withColumn("kept", inside)
+    return parsed.select("page_id", "url", _text()).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -361,6 +361,24 @@ def test_differencing_goes_on_beyond_copies(spark):
         assert sorted(got) == sorted([(i, "copied") for i, _, _ in copies * 2] + [(20 + i, f"stranger {i}") for i in range(12)] + [(40, "far")])
 
 
+def test_marked_pages_are_differenced_too(spark):
+    """A mark whose lines the partner has too is the site's, if the page's own lines outside outweigh it; an article's shared passages stay."""
+    teaser = "<article class='card'><p>Read this too</p></article><div>Site line</div>"
+    shared = "<article><h1>Title</h1><p>a passage that many pages share, and long enough</p></article>"
+    rows = [(k, f"http://h/{k}", f"<body>{teaser}<p>the text of page {k}, which nothing marks</p></body>") for k in range(3)]
+    rows += [(10 + k, f"http://g/{k}", f"<body>{shared}<p>{k} min</p></body>") for k in range(3)]  # all of the mark is shared, but the rest is slight
+    rows += [(20 + k, f"http://f/{k}", f"<body><article><p>shared passage</p><p>own {k}</p></article><p>outside the article, of page {k} alone</p></body>") for k in range(3)]
+    rows += [(30, "http://e/1", f"<body>{teaser}<p>no other page on its host to tell</p></body>")]
+    wanted = {k: f"the text of page {k}, which nothing marks" for k in range(3)}
+    wanted |= {10 + k: "Title\n\na passage that many pages share, and long enough" for k in range(3)}
+    wanted |= {20 + k: f"shared passage\n\nown {k}" for k in range(3)} | {30: "Read this too"}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for most in (html_extract.BROADCAST_BYTES, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(html_extract, "BROADCAST_BYTES", most)
+            assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == wanted
+
+
 @pytest.mark.parametrize("near, block, fan, partitions", [(16, 128, 8, 4), (2, 4, 2, 4), (1, 3, 3, 9), (0, 2, 8, 1)])
 def test_partners_depend_on_no_size(spark, monkeypatch, near, block, fan, partitions):
     """Close neighbours, the index of lines, or both, on any number of partitions, give what a search through all pages gives."""
