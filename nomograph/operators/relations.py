@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +32,9 @@ def relation_rows(corpus: Corpus, sources: DataFrame, types: tuple[str, ...] = t
     specs, edges = F.broadcast(_specs(corpus, types)), corpus["edges"]
     arms = []
     for direction, near, far in (("outgoing", "src_uri", "dst_uri"), ("incoming", "dst_uri", "src_uri")):
-        own = edges.join(specs.where(F.col("direction") == direction), "predicate")
+        # told as values, so that a table of several kinds of edges gives up those that aren't asked for before it is made
+        asked = [F.col("predicate") == RELATIONS[t][0] for t in types if RELATIONS[t][1] in (direction, "both")]
+        own = edges.where(reduce(or_, asked, F.lit(False))).join(specs.where(F.col("direction") == direction), "predicate")
         arms.append(own.join(sources, F.col(near) == F.col("source_uri")).select("source_uri", "source_celex", "ordinal", "relation_type", "direction", F.col(far).alias("related_work_uri")))
     works = corpus["works"].select(F.col("work_uri").alias("related_work_uri"), F.col("celex").alias("related_celex_number"), F.col("doc_date").alias("related_date"))
     rows = arms[0].unionByName(arms[1]).join(works, "related_work_uri", "left")

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nomograph.functions import tables
-from nomograph.operators import document, facets, fulltext, graph, search, structure, temporal
+from nomograph.operators import document, facets, fulltext, graph, relations, search, structure, temporal
 from nomograph.plans.requests import CaseRequest, SearchRequest
 from nomograph.sources.corpus import Corpus
 from nomograph.sources.mirror import Mirror
@@ -335,3 +335,15 @@ def test_facts_of_works_are_made_sets_once(spark):
     assert c.repeated("work_subjects").distinct().count() == c["work_subjects"].count() <= c.repeated("work_subjects").count()
     given = Corpus(spark, DATA, work_subjects=spark.createDataFrame([("a", "b")], "work_uri string, concept_uri string"))
     assert given.repeated("work_subjects").count() == 1
+
+
+def test_edges_that_are_not_asked_for_are_not_made(spark):
+    """Consolidated versions come from one kind of edges; the join that makes the others isn't run for them."""
+    corpus = Corpus(spark, DATA)
+    sources = corpus["works"].where("celex IS NOT NULL").select(F.col("work_uri").alias("source_uri"), F.col("celex").alias("source_celex"))
+    plan = lambda types: relations.relation_rows(corpus, sources, types)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_partkey" not in plan(("consolidated_version",)) and "l_partkey" in plan(("legal_basis", "consolidated_version"))
+    every = relations.relation_rows(corpus, sources).where("relation_type = 'consolidated_version'").drop("ordinal")
+    alone = relations.relation_rows(corpus, sources, ("consolidated_version",)).drop("ordinal")
+    assert alone.count() > 0 and sorted(map(str, every.collect())) == sorted(map(str, alone.collect()))
+    assert relations.relation_rows(corpus, sources, ()).count() == 0
