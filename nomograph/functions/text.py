@@ -12,6 +12,7 @@ ACT_CORE = r"^[0-9A-Z](\d{4}[A-Z]{1,2}\d+)"
 CONSOLIDATED = r"^0(\d{4}[A-Z]{1,2}\d+)-(\d{4})(\d{2})(\d{2})$"
 CASE_NUMBER = r"^([CT])-(\d+)/(\d{2,4})$"
 CELEX = r"^[1-9]\d{4}[A-Z]+\d+"
+ELI_ACT = r"^http://data\.europa\.eu/eli/[^/]+/\d{4}/[^/]+"
 
 
 def _group(text: Column, pattern: str, group: int = 1) -> Column:

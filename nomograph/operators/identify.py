@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from nomograph.functions import text
@@ -22,18 +22,38 @@ def resolve(corpus: Corpus, identifiers: DataFrame) -> DataFrame:
 
 
 def answers(corpus: Corpus, identifiers: DataFrame) -> DataFrame:
-    """identifiers: identifier, kind (celex, eli or work_uri). identifier, kind, work_uri, celex and doc_date of those that a work answers to.
+    """identifiers: identifier, kind (celex, eli or work_uri). identifier, kind, work_uri, celex and doc_date of those that a work answers to."""
+    return answered(corpus, identifiers.select("identifier", "kind")).where(F.col("work_uri").isNotNull())
+
+
+def answered(corpus: Corpus, requests: DataFrame) -> DataFrame:
+    """requests: identifier, kind (celex, eli or work_uri), and what else goes along. Each distinct row with the work_uri, celex and doc_date that answer to it, null if nothing does.
 
     A bare ELI that misses is tried once more as that of its official publication. Of several works the one with the
-    least URI answers."""
-    tries = identifiers.select("identifier", "kind", F.trim("identifier").alias("value")).select(
-        "identifier", "kind", F.posexplode(F.when(F.col("kind") == "eli", text.eli_candidates(F.col("value"))).otherwise(F.array("value"))).alias("priority", "value")
-    )
+    least URI answers. Requests and names are shuffled once, by what both tries of an ELI have in common."""
+    given_, value = requests.columns, F.trim("identifier")
     works = corpus["works"].where(F.col("celex").isNotNull()).select("work_uri", "celex", "doc_date", "eli")
-    names = works.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in (("celex", "celex"), ("eli", "eli"), ("work_uri", "work_uri"))])).alias("n"))
-    names = names.select(F.col("n.kind").alias("kind"), F.col("n.value").alias("value"), "work_uri", "celex", "doc_date").where(F.col("value").isNotNull())
-    best = tries.join(names, ["kind", "value"]).groupBy("identifier", "kind").agg(F.min(F.struct("priority", "work_uri", "celex", "doc_date")).alias("w"))
-    return best.select("identifier", "kind", "w.work_uri", "w.celex", "w.doc_date")
+    # many works have one CELEX: the least of them is found before names are shuffled
+    by_celex = works.groupBy("celex").agg(F.min(F.struct("work_uri", "doc_date")).alias("w")).select(F.lit("celex").alias("kind"), F.col("celex").alias("value"), "w.work_uri", "celex", "w.doc_date")
+    # an address that is the name itself isn't told twice
+    kinds = (("eli", F.col("eli"), F.col("work_uri")), ("work_uri", F.col("work_uri"), F.lit(None)))
+    others = works.select("celex", "doc_date", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value"), u.cast("string").alias("work_uri")) for k, v, u in kinds])).alias("n"))
+    names = by_celex.unionByName(others.select("n.kind", "n.value", "n.work_uri", "celex", "doc_date").where(F.col("value").isNotNull()))
+    of = _stem(F.col("kind"), F.col("value"))
+    names = names.select(F.col("kind").alias("_kind"), of.alias("_of"), F.substr("value", F.length(of) + 1).alias("_end"), *[F.col(c).alias("_" + c) for c in ("work_uri", "celex", "doc_date")])
+    name = F.concat("_of", "_end")
+    tries = F.when(F.col("kind") == "eli", text.eli_candidates(value)).otherwise(F.array(value))
+    place = F.array_position(tries, name)
+    same = (F.col("kind") == F.col("_kind")) & (F.col("_stem") == F.col("_of")) & (place > 0)
+    found = requests.withColumn("_stem", _stem(F.col("kind"), value)).join(names, same, "left")
+    work = F.struct(place.alias("place"), F.coalesce("_work_uri", name).alias("work_uri"), F.col("_celex").alias("celex"), F.col("_doc_date").alias("doc_date"))
+    best = F.min(F.when(F.col("_kind").isNotNull(), work)).alias("w")
+    return found.groupBy("_stem", *given_).agg(best).select(*given_, "w.work_uri", "w.celex", "w.doc_date")
+
+
+def _stem(kind: Column, value: Column) -> Column:
+    """An ELI up to its act's number, which it shares with that of its official publication; any other name as it is."""
+    return F.when((kind == "eli") & value.rlike(text.ELI_ACT), F.regexp_extract(value, text.ELI_ACT, 0)).otherwise(value)
 
 
 @entry_point("lookup")

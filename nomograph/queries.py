@@ -435,15 +435,29 @@ FROM bod LEFT JOIN meta ON meta.celex_number = served"""
 )
 
 
+def _bodies_of_works(c: Corpus, offset: int, limit: int) -> DataFrame:
+    """The same bodies: a document's representations are cut to their windows side by side, and meet the works of its number in one join."""
+    number = F.col("doc_id").cast("string")
+    text = c["documents"].where("text IS NOT NULL AND doc_id IS NOT NULL")
+    own = F.struct(F.upper("lang").alias("language"), F.lit("text/html").alias("media_type"), F.col("text").alias("body"), F.lit(False).alias("english"))
+    english = F.struct(F.lit("EN").alias("language"), F.lit("application/xhtml+xml").alias("media_type"), F.concat(F.lit("English: "), "text").alias("body"), F.lit(True).alias("english"))
+    shown = text.select("doc_id", number.alias("number"), F.explode(F.when(F.col("doc_id") % 2 == 0, F.array(own, english)).otherwise(F.array(own))).alias("b"))
+    shown = content.windows(shown.select("number", F.col("doc_id").alias("part_seq"), F.lit("html").alias("format"), "b.*"), offset, limit)
+    uri = "http://works.example/"
+    name = F.regexp_extract("work_uri", f"^{uri}(c?)([0-9]+|-[0-9]+)$", 2)
+    works = c["works"].where("celex IS NOT NULL").select("celex", name.alias("number"), F.startswith("work_uri", F.lit(uri + "c")).alias("version")).where("number <> ''")
+    return shown.join(works, "number").where("NOT (english AND version)").drop("number", "english", "version")
+
+
 @query("document_fetch", _FETCH)
 def _(c: Corpus) -> DataFrame:
     spark, works = c.spark, c["works"]
-    given = Corpus(spark, c.folder, contents=spark.sql(_BODIES_OF_WORKS, documents=c["documents"], works=works))
-    ask = lambda df, column, kind, language, resolve: df.select(F.col(column).alias("identifier"), F.lit(kind).alias("kind"), F.lit(language).alias("language"), F.lit(resolve).alias("resolve")).distinct()
+    given = Corpus(spark, c.folder, contents=_bodies_of_works(c, offset=100, limit=1000))
+    ask = lambda df, column, kind, language, resolve: df.select(F.col(column).alias("identifier"), F.lit(kind).alias("kind"), F.lit(language).alias("language"), F.lit(resolve).alias("resolve"))
     known = works.where(F.col("celex").isNotNull())
-    requests = ask(known.where("celex LIKE '3%'"), "celex", "celex", "FR", "current_consolidated").unionByName(ask(known.where("eli IS NOT NULL"), "eli", "eli", "EN", "as_requested"))
+    requests = ask(known.where("celex LIKE '3%'").select("celex").distinct(), "celex", "celex", "FR", "current_consolidated").unionByName(ask(known.where("eli IS NOT NULL"), "eli", "eli", "EN", "as_requested"))
     requests = requests.unionByName(ask(known.where("celex LIKE '0%'"), "work_uri", "work_uri", "DE", "current_consolidated")).unionByName(ask(spark.range(1).select(F.lit("nothing").alias("x")), "x", "celex", "EN", "as_requested"))
-    found = document.documents(given, requests, offset=100, limit=1000)
+    found = document.documents(given, requests, offset=100, limit=1000, fields=("title", "author_institution"))
     columns = "identifier kind requested_celex celex_number is_superseded current_consolidated_celex consolidated_as_of work_uri title author_institution content_available language language_fallback content_chars_total has_more".split()
     return found.select(*columns, F.md5(F.col("content").cast("binary")).alias("window_md5"))
 

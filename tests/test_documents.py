@@ -1,11 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from nomograph.functions import dims
 from nomograph.operators import adhoc, content, document, identify, render, search, structure, subjects
 from nomograph.operators.markdown import to_markdown
 from nomograph.plans.config import Settings
 from nomograph.plans.errors import RECOVERY, RequestError
 from nomograph.plans.paging import Page
+from nomograph.queries import QUERIES
 from nomograph.sources.corpus import Corpus
 from nomograph.streaming.windows import event_counts
 from tests.conftest import DATA
@@ -290,3 +292,57 @@ def test_stream_and_table_agree(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("counts").select("window_start", "event_type", "n").collect())) == sorted(map(tuple, event_counts(events).select("window_start", "event_type", "n").collect()))
+
+
+def test_fetch_shuffles_windows_and_what_is_asked_for(spark):
+    """Whole texts stay where they are read, and facts of fields that aren't asked for aren't read."""
+    plan = QUERIES["document_fetch"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    ranks = [line for line in plan if "row_number()" in line and "windowspecdefinition" in line]
+    assert ranks and all("window#" in line and "body#" not in line for line in ranks)
+    under = "\n".join(plan)
+    assert "l_partkey" in under and dims.CONCEPT not in under and document.BASIS not in under
+
+
+def fetch_tables(spark):
+    eli = dims.ELI + "reg/2016/"
+    works = [("w2", "32016R0002", eli + "2/oj"), ("w1", "32016R0001", eli + "1"), ("w3", "32016R0001", eli + "1/oj"), ("w4", None, eli + "4"), ("w0", "32016R0005", eli + "oj/oj"), ("v1", "02016R0001-20200101", None)]
+    works = spark.createDataFrame(works, "work_uri string, celex string, eli string").withColumns({"doc_date": F.lit("2016-01-01").cast("date"), "in_force": F.lit(True)})
+    titles = spark.createDataFrame([("w3", dims.ENGLISH, "third"), ("w2", dims.ENGLISH, "second")], "work_uri string, language_uri string, title string")
+    agents = spark.createDataFrame([("w1", dims.BODY + "EP"), ("w3", dims.BODY + "COM"), ("w3", dims.BODY + "EP")], "work_uri string, agent_uri string")
+    edges = spark.createDataFrame([("v1", "act_consolidated_consolidates_resource_legal", "w1")], "src_uri string, predicate string, dst_uri string")
+    empty = {"work_types": "work_uri string, type_uri string", "work_subjects": "work_uri string, concept_uri string"}
+    return {"works": works, "expressions": titles, "work_agents": agents, "edges": edges} | {n: spark.createDataFrame([], s) for n, s in empty.items()}
+
+
+def test_fetch_of_many_ways_to_ask(spark):
+    long, eli = "".join(chr(97 + i % 26) for i in range(150)), dims.ELI + "reg/2016/"
+    table = bodies(spark, [("32016R0001", "EN", "html", "text/html", 1, "z" + long), ("32016R0001", "FR", "html", "text/html", 1, "y" + long), ("02016R0001-20200101", "EN", "html", "text/html", 1, "x" + long)])
+    corpus = Corpus(spark, contents=table, **fetch_tables(spark))
+    asks = [
+        ("32016R0001", "celex", "FR", "as_requested"), ("32016R0001", "celex", "FR", "as_requested"), ("32016R0001", "celex", "DE", "current_consolidated"), (eli + "2", "eli", "EN", "as_requested"), (eli + "2/", "eli", "EN", "as_requested"),
+        (eli + "1", "eli", None, "as_requested"), (eli + "oj", "eli", "EN", None), (eli + "4", "eli", "EN", "as_requested"), (" w3 ", "work_uri", "EN", "as_requested"), (None, "celex", "EN", "as_requested"), ("w2", None, "EN", "as_requested"),
+    ]
+    requests = spark.createDataFrame(asks, "identifier string, kind string, language string, resolve string")
+    got = document.documents(corpus, requests, offset=1, limit=3, fields=("title", "author_institution"))
+    shown = {(r.identifier, r.kind, r.requested_language, r.resolve): (r.celex_number, r.work_uri, r.title, r.author_institution, r.is_superseded, r.content, r.content_chars_total) for r in got.collect()}
+    com, first = "European Commission", ("32016R0001", "w3", "third")
+    assert got.count() == len(shown) == len(set(asks)) and shown == {
+        asks[0]: (*first, com, True, "abc", 151), asks[2]: ("02016R0001-20200101", "v1", None, None, True, "abc", 151), asks[3]: ("32016R0002", "w2", "second", None, False, "", 0), asks[4]: ("32016R0002", "w2", "second", None, False, "", 0),
+        asks[5]: (*first, com, True, "", 0), asks[6]: ("32016R0005", "w0", None, None, False, "", 0), asks[7]: (None, None, None, None, False, None, None), asks[8]: (*first, com, True, "abc", 151),
+        asks[9]: (None, None, None, None, False, None, None), asks[10]: (None, None, None, None, False, None, None),
+    }
+    whole = document.documents(corpus, requests, offset=1, limit=3).where("identifier = '32016R0001' AND resolve = 'as_requested'").first()
+    assert (whole.author_institution, whole.author_institutions, whole.eurovoc_subjects) == (com, [com, "European Parliament"], None)
+
+
+def test_windows_of_bodies_that_only_their_text_tells_apart(spark):
+    """The least text serves, though the windows are equal."""
+    long = "a" * 120
+    twins = bodies(spark, [("1", "EN", "html", "text/html", 1, long + "z"), ("1", "EN", "html", "text/html", 1, long + "bcd")])
+    assert [(r.window, r.content_chars_total) for r in content.windows(twins, 0, 5).collect()] == [("aaaaa", 123)]
+    apart = bodies(spark, [("1", "EN", "html", "text/html", 2, long + "z"), ("1", "EN", "html", "text/html", 1, "short"), ("1", "EN", "html", "text/html", 3, "awswaf" + long), ("1", "DE", "html", "text/html", 1, None)])
+    assert [(r.part_seq, r.window, r.content_chars_total) for r in content.windows(apart, 119, 5).collect()] == [(2, "az", 121)]
+    corpus = Corpus(spark, contents=twins, **(fetch_tables(spark) | {"works": spark.createDataFrame([("w", "1")], "work_uri string, celex string").withColumns({"eli": F.lit(None).cast("string"), "doc_date": F.lit(None).cast("date"), "in_force": F.lit(True)})}))
+    asked = spark.createDataFrame([("1", "celex", "EN", "as_requested")], "identifier string, kind string, language string, resolve string")
+    row = document.documents(corpus, asked, offset=0, limit=5).first()
+    assert (row.content, row.content_chars_total, row.content_chars_returned, row.has_more) == ("aaaaa", 123, 5, True)
